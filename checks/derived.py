@@ -280,12 +280,23 @@ def table_sql(table: str) -> str:
     return record_sql(TABLES[table].record_type)
 
 
+_readers: dict[tuple[str, str], DataFrame] = {}
+
+
+def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; the reader is kept, so its schema is found once."""
+    known = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if known not in _readers:
+        _readers[known] = spark.read.parquet(known[1])
+    return _readers[known]
+
+
 def record_rows(spark: SparkSession, sf_dir: str, record_type: str) -> DataFrame:
     """The same rows as a DataFrame."""
     rows = None
     for source, condition, expressions in _SOURCES[record_type]:
         branch = (
-            spark.read.parquet(f"{sf_dir}/{source}.parquet")
+            source_table(spark, sf_dir, source)
             .filter(condition)
             .selectExpr(*_branch_items(record_type, expressions))
         )
@@ -352,7 +363,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
         lines = raw_lines(spark, sf_dir).repartition(RAW_FILES, F.xxhash64("value"))
         writer = lines.write.option("mapreduce.output.basename", RAW_PREFIX)
         writer.text(folder)
-        other = spark.read.parquet(f"{sf_dir}/region.parquet").selectExpr("r_name as value")
+        other = source_table(spark, sf_dir, "region").selectExpr("r_name as value")
         other.write.mode("append").option("mapreduce.output.basename", "Other").text(folder)
         _raw_folders[known] = folder
     return _raw_folders[known]
@@ -360,7 +371,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file listing: path, length and checksum of every page."""
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+    return source_table(spark, sf_dir, "pages").select(
         F.col("url").alias("path"),
         F.length("html").cast("bigint").alias("length"),
         F.md5("html").alias("md5"),
@@ -383,4 +394,4 @@ STATUS_SQL = f"select {', '.join(STATUS_ITEMS)} from events"
 
 
 def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*STATUS_ITEMS)
+    return source_table(spark, sf_dir, "events").selectExpr(*STATUS_ITEMS)

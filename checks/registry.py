@@ -28,11 +28,11 @@ def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _shown(view: DataFrame) -> DataFrame:
     """Token arrays as one text, so that both engines compare strings."""
-    return view.withColumn("search_tokens", tokens.tokens_text(c("search_tokens")))
+    return view.withColumn("search_tokens", F.expr(tokens.tokens_text("search_tokens")))
 
 
 def _shape(table: str, *items) -> Query:
-    return lambda spark, sf_dir: _rows(spark, sf_dir, table).select(*items)
+    return lambda spark, sf_dir: _rows(spark, sf_dir, table).selectExpr(*items)
 
 
 # -- joins -------------------------------------------------------------------
@@ -128,17 +128,17 @@ def _join_organisation(spark, sf_dir):
 
 def _geo_line2(spark, sf_dir):
     columns = [name for name in _rows(spark, sf_dir, "lpi").columns if name.startswith("pao_")]
-    return _on_all_streets(spark, sf_dir, *columns).rows.select(
+    return _on_all_streets(spark, sf_dir, *columns).rows.selectExpr(
         "pro_order",
-        c("street_language").alias("language"),
-        ranges.geographic_line2(c("street_description")).alias("line2"),
+        "street_language as language",
+        f"{ranges.geographic_line2('street_description')} as line2",
     )
 
 
 def _country_lookup(spark, sf_dir):
     delivery = _rows(spark, sf_dir, "delivery_point").select("uprn", "postcode")
-    return delivery.join(_rows(spark, sf_dir, "blpu").select("uprn", "country"), "uprn").select(
-        "uprn", codes.country_code(c("country"), c("postcode")).alias("country_code")
+    return delivery.join(_rows(spark, sf_dir, "blpu").select("uprn", "country"), "uprn").selectExpr(
+        "uprn", f"{codes.country_code('country', 'postcode')} as country_code"
     )
 
 
@@ -288,7 +288,7 @@ def _list_files(spark, sf_dir):
 
 def _min_size(spark, sf_dir):
     kind = F.when(c("page_id") % 5 == 4, "XX").when(c("page_id") % 2 == 0, "GB").otherwise("IS")
-    bundles = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+    bundles = derived.source_table(spark, sf_dir, "pages").select(
         "page_id",
         F.concat(F.lit("AB76"), kind, F.lit("_CSV.zip")).alias("file_name"),
         (F.length("html").cast("bigint") * 1_000_000).alias("length"),
@@ -297,7 +297,7 @@ def _min_size(spark, sf_dir):
 
 
 def _md5(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = derived.source_table(spark, sf_dir, "pages")
     required = F.when(c("page_id") % 4 == 3, F.md5(F.concat("html", F.lit(" ")))).otherwise(
         F.md5("html")
     )
@@ -312,7 +312,7 @@ def _width(spark, sf_dir):
 def _width_documents(spark, sf_dir):
     """The same check on text that does break the limits."""
     widths = (("lang", 1), ("source", 6), ("text", 900))
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = derived.source_table(spark, sf_dir, "documents")
     return typed.width_counts(documents, dict(widths))
 
 
@@ -332,7 +332,7 @@ def _previous_finalised(spark, sf_dir):
 def _months(spark, sf_dir):
     month = F.trunc(c("o_orderdate").cast("date"), "month").alias("month")
     return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(month).agg(F.count("*").alias("n"))
+        derived.source_table(spark, sf_dir, "orders").groupBy(month).agg(F.count("*").alias("n"))
     )
 
 
@@ -368,7 +368,7 @@ def _finalise(spark, sf_dir):
 
 def _cleanup(spark, sf_dir):
     directories = (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        derived.source_table(spark, sf_dir, "orders")
         .select(F.concat(F.lit("/data/"), F.year("o_orderdate").cast("string")).alias("directory"))
         .distinct()
     )
@@ -387,84 +387,78 @@ def _where(query: Query, column: str, *values) -> Query:
     return lambda spark, sf_dir: _shown(lookups.find(query(spark, sf_dir), column, *values))
 
 
-def _typed_dp(*items) -> Query:
-    return _shape("delivery_point", *items)
+def _safe_name(spark, sf_dir):
+    name = "'AddressBase Premium ' || c_name || '.v' || cast(c_acctbal as string)"
+    return derived.source_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", f"{text.safe_name(name)} as safe_name"
+    )
+
+
+def _column(table: str, key: str, name: str, expression: str) -> Query:
+    return _shape(table, key, f"{expression} as {name}")
 
 
 _QUERIES: dict[str, Query] = {
     # shaping
-    "shape_blank_to_null": _typed_dp(
+    "shape_blank_to_null": _shape(
+        "delivery_point",
         "uprn",
-        text.blank_to_null(c("organisation_name")).alias("organisation_name"),
-        text.blank_to_null(c("building_name")).alias("building_name"),
+        f"{text.blank_to_null('organisation_name')} as organisation_name",
+        f"{text.blank_to_null('building_name')} as building_name",
     ),
-    "shape_org_name": _typed_dp(
-        "uprn", text.upper_or_null(c("organisation_name")).alias("organisation_name")
+    "shape_org_name": _column(
+        "delivery_point", "uprn", "organisation_name", text.upper_or_null("organisation_name")
     ),
-    "shape_dp_line1": _typed_dp(
+    "shape_dp_line1": _column(
+        "delivery_point",
         "uprn",
-        text.delivery_line1(c("po_box_number"), c("sub_building_name"), c("building_name")).alias(
-            "line1"
-        ),
+        "line1",
+        text.delivery_line1("po_box_number", "sub_building_name", "building_name"),
     ),
-    "shape_dp_line2": _typed_dp(
+    "shape_dp_line2": _column(
+        "delivery_point",
         "uprn",
+        "line2",
         text.delivery_line2(
-            c("po_box_number"),
-            c("building_number"),
-            c("dependent_thoroughfare"),
-            c("thoroughfare"),
-        ).alias("line2"),
-    ),
-    "shape_dp_line3": _typed_dp(
-        "uprn",
-        text.delivery_line3(c("double_dependent_locality"), c("dependent_locality")).alias(
-            "line3"
+            "po_box_number", "building_number", "dependent_thoroughfare", "thoroughfare"
         ),
     ),
-    "shape_subdivision": _shape(
-        "blpu", "uprn", codes.subdivision(c("country")).alias("subdivision")
+    "shape_dp_line3": _column(
+        "delivery_point",
+        "uprn",
+        "line3",
+        text.delivery_line3("double_dependent_locality", "dependent_locality"),
     ),
+    "shape_subdivision": _column("blpu", "uprn", "subdivision", codes.subdivision("country")),
     "shape_country_lookup": _country_lookup,
-    "shape_country_geographic": _shape(
-        "blpu",
-        "uprn",
-        codes.country_code(c("country"), c("postcode_locator")).alias("country_code"),
+    "shape_country_geographic": _column(
+        "blpu", "uprn", "country_code", codes.country_code("country", "postcode_locator")
     ),
     "shape_language": _shape(
         "street_descriptor",
         "usrn",
         "street_description",
-        codes.language_code(c("language")).alias("language"),
+        f"{codes.language_code('language')} as language",
     ),
-    "shape_postcode": _typed_dp("uprn", text.postcode(c("postcode")).alias("postcode")),
-    "shape_outcode": _typed_dp(
-        "uprn", text.outcode(text.postcode(c("postcode"))).alias("outcode")
+    "shape_postcode": _column("delivery_point", "uprn", "postcode", text.postcode("postcode")),
+    "shape_outcode": _column(
+        "delivery_point", "uprn", "outcode", text.outcode(text.postcode("postcode"))
     ),
-    "shape_location": _shape(
-        "blpu", "uprn", text.location(c("latitude"), c("longitude")).alias("location")
+    "shape_location": _column("blpu", "uprn", "location", text.location("latitude", "longitude")),
+    "shape_po_box": _column(
+        "delivery_point", "uprn", "pobox_number", text.upper_or_null("po_box_number")
     ),
-    "shape_po_box": _typed_dp("uprn", text.upper_or_null(c("po_box_number")).alias("pobox_number")),
-    "shape_range_sao": _shape("lpi", "pro_order", ranges.range_of("sao").alias("range_text")),
-    "shape_range_pao": _shape("lpi", "pro_order", ranges.range_of("pao").alias("range_text")),
-    "shape_geo_line1": _shape("lpi", "pro_order", ranges.geographic_line1().alias("line1")),
+    "shape_range_sao": _column("lpi", "pro_order", "range_text", ranges.range_of("sao")),
+    "shape_range_pao": _column("lpi", "pro_order", "range_text", ranges.range_of("pao")),
+    "shape_geo_line1": _column("lpi", "pro_order", "line1", ranges.geographic_line1()),
     "shape_geo_line2": _geo_line2,
     "shape_empty_for_null": _shape(
         "street_descriptor",
         "usrn",
         "language",
-        text.empty_for_null(c("locality")).alias("locality"),
-    ),
-    "shape_safe_name": lambda spark, sf_dir: spark.read.parquet(
-        f"{sf_dir}/customer.parquet"
-    ).select(
-        "c_custkey",
-        text.safe_name(
-            F.concat(
-                F.lit("AddressBase Premium "), "c_name", F.lit(".v"), c("c_acctbal").cast("string")
-            )
-        ).alias("safe_name"),
+        f"{text.empty_for_null('locality')} as locality",
     ),
+    "shape_safe_name": _safe_name,
     # joins and set operations
     "join_delivery_property": _join_delivery_property,
     "join_property_identifier_approved": _join_approved,
@@ -520,7 +514,7 @@ _QUERIES: dict[str, Query] = {
     "width_check_documents": _width_documents,
     "stream_load_counts": _stream_load_counts,
     # releases
-    "release_names": lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    "release_names": lambda spark, sf_dir: derived.source_table(spark, sf_dir, "events").select(
         "event_id",
         status.release_name(c("user_id").cast("string"), c("ts")).alias("release"),
     ),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values.
 SUBDIVISIONS = {"S": "GB-SCT", "E": "GB-ENG", "W": "GB-WLS", "N": "GB-NIR"}
 ISLANDS_BY_POSTCODE = {"G": "GG", "J": "JE"}
@@ -13,26 +10,24 @@ APPROVED = 1
 ENGLISH = "ENG"
 
 
-def _mapped(key: Column, values: dict[str, str]) -> Column:
-    pairs = [F.lit(text) for pair in values.items() for text in pair]
-    return F.element_at(F.create_map(*pairs), key)
+def _mapped(key: str, values: dict[str, str]) -> str:
+    pairs = ", ".join(f"'{a}', '{b}'" for a, b in values.items())
+    return f"element_at(map({pairs}), {key})"
 
 
-def subdivision(country: Column) -> Column:
+def subdivision(country: str) -> str:
     return _mapped(country, SUBDIVISIONS)
 
 
-def country_code(country: Column, postcode: Column) -> Column:
+def country_code(country: str, postcode: str) -> str:
     """Country of a property; the islands are told apart by their postcode."""
+    mainland = ", ".join(f"'{code}'" for code in SUBDIVISIONS)
+    island = _mapped(f"left({postcode}, 1)", ISLANDS_BY_POSTCODE)
     return (
-        F.when(country.isin(*SUBDIVISIONS), "GB")
-        .when(country == "M", "IM")
-        .when(country == "L", F.coalesce(
-            _mapped(F.left(postcode, F.lit(1)), ISLANDS_BY_POSTCODE), F.lit("NOT_FOUND")
-        ))
-        .otherwise("NOT_FOUND")
+        f"coalesce(case when {country} in ({mainland}) then 'GB' when {country} = 'M' then 'IM' "
+        f"when {country} = 'L' then {island} end, 'NOT_FOUND')"
     )
 
 
-def language_code(language: Column) -> Column:
-    return _mapped(F.lower(language), LANGUAGES)
+def language_code(language: str) -> str:
+    return _mapped(f"lower({language})", LANGUAGES)

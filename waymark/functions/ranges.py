@@ -2,47 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 NUMBER_WIDTH = 4
 
 
-def number_range(
-    start: Column, start_suffix: Column, end: Column, end_suffix: Column
-) -> Column:
+def number_range(start: str, start_suffix: str, end: str, end_suffix: str) -> str:
     """``12 ``, ``12A, ``, ``12-14 ``, ``12A-14C``: never NULL.
 
     A suffix has three states: given, empty, absent. Only an empty one leaves
     a blank after its number, and only a given one is printed.
     """
-    number1 = F.left(start.cast("string"), F.lit(NUMBER_WIDTH))
-    number2 = F.left(end.cast("string"), F.lit(NUMBER_WIDTH))
-    given1 = F.nullif(start_suffix, F.lit(""))
-    given2 = F.nullif(end_suffix, F.lit(""))
-    is_range = end.isNotNull()
-    middle = F.when(
-        is_range, F.when(start.isNotNull() | given2.isNotNull(), "-")
-    ).otherwise(
-        F.when(given1.isNotNull(), ", ").when(start.isNotNull() & (start_suffix == ""), " ")
+    middle = (
+        f"case when {end} is not null then if({start} is not null or {end_suffix} != '', '-', '') "
+        f"when {start_suffix} != '' then ', ' "
+        f"when {start_suffix} = '' and {start} is not null then ' ' end"
+    )
+    return (
+        f"concat_ws('', left(cast({start} as string), {NUMBER_WIDTH}), {start_suffix}, {middle}, "
+        f"left(cast({end} as string), {NUMBER_WIDTH}), "
+        f"if({end} is not null and {end_suffix} = '', ' ', ''), {end_suffix})"
     )
-    tail = F.when(is_range & (end_suffix == ""), " ")
-    return F.concat_ws("", number1, given1, middle, number2, tail, given2)
 
 
-def range_of(prefix: str) -> Column:
+def range_of(prefix: str) -> str:
     """The range of the ``sao`` (secondary) or ``pao`` (primary) columns."""
     return number_range(
-        F.col(f"{prefix}_start_number"),
-        F.col(f"{prefix}_start_suffix"),
-        F.col(f"{prefix}_end_number"),
-        F.col(f"{prefix}_end_suffix"),
+        f"{prefix}_start_number",
+        f"{prefix}_start_suffix",
+        f"{prefix}_end_number",
+        f"{prefix}_end_suffix",
     )
 
 
-def geographic_line1() -> Column:
-    return F.concat_ws("", F.col("sao_text"), range_of("sao"))
+def geographic_line1() -> str:
+    return f"concat_ws('', sao_text, {range_of('sao')})"
 
 
-def geographic_line2(street: Column) -> Column:
-    return F.concat_ws("", F.col("pao_text"), range_of("pao"), street)
+def geographic_line2(street: str) -> str:
+    return f"concat_ws('', pao_text, {range_of('pao')}, {street})"

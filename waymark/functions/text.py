@@ -1,96 +1,91 @@
-"""Text shaping of address parts. Everything here is a plain Column function."""
+"""Text shaping of address parts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from waymark.functions import quoted
 
 
-def blank_to_null(value: Column) -> Column:
+def blank_to_null(x: str) -> str:
     """Trim spaces (only spaces); nothing left means NULL."""
-    return F.nullif(F.trim(value), F.lit(""))
+    return f"nullif(trim({x}), '')"
 
 
-def empty_for_null(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
+def empty_for_null(x: str) -> str:
+    return f"coalesce({x}, '')"
 
 
-def upper_or_null(value: Column) -> Column:
+def upper_or_null(x: str) -> str:
     """Upper-cased organisation name or PO box number; NULL when blank."""
-    return F.upper(blank_to_null(value))
+    return f"upper({blank_to_null(x)})"
 
 
-def delivery_line1(po_box: Column, sub_building: Column, building: Column) -> Column:
-    box = blank_to_null(po_box)
-    premises = F.concat_ws(", ", blank_to_null(sub_building), blank_to_null(building))
-    return F.upper(F.coalesce(F.concat(F.lit("PO BOX "), box), premises))
+def joined(separator: str, *parts: str) -> str:
+    """Non-NULL parts with a separator; '' when there is none."""
+    return f"concat_ws('{separator}', {', '.join(parts)})"
 
 
-def delivery_line2(
-    po_box: Column, number: Column, dependent_thoroughfare: Column, thoroughfare: Column
-) -> Column:
-    street = F.concat_ws(
+def delivery_line1(po_box: str, sub_building: str, building: str) -> str:
+    premises = joined(", ", blank_to_null(sub_building), blank_to_null(building))
+    return f"upper(coalesce('PO BOX ' || {blank_to_null(po_box)}, {premises}))"
+
+
+def delivery_line2(po_box: str, number: str, dependent_thoroughfare: str, thoroughfare: str) -> str:
+    street = joined(
         " ",
-        number.cast("string"),
+        f"cast({number} as string)",
         blank_to_null(dependent_thoroughfare),
         blank_to_null(thoroughfare),
     )
-    return F.when(blank_to_null(po_box).isNotNull(), "").otherwise(F.upper(street))
+    return f"if({blank_to_null(po_box)} is null, upper({street}), '')"
 
 
-def delivery_line3(double_dependent_locality: Column, dependent_locality: Column) -> Column:
-    return F.upper(
-        F.concat_ws(
-            " ", blank_to_null(double_dependent_locality), blank_to_null(dependent_locality)
-        )
-    )
+def delivery_line3(double_dependent_locality: str, dependent_locality: str) -> str:
+    parts = blank_to_null(double_dependent_locality), blank_to_null(dependent_locality)
+    return f"upper({joined(' ', *parts)})"
 
 
 # What counts as space in a postcode (fixed value): blank, backslash, letter t.
 # "tidy" is real white space instead.
-POSTCODE_SPACE = {"literal": r"[ \\t]", "tidy": r"[ \t]"}
-_POSTCODE_REST = {"literal": r"[^ \\t]", "tidy": r"[^ \t]"}
+POSTCODE_SPACE = {"literal": r" \\t", "tidy": r" \t"}
 
 
-def postcode(value: Column, mode: str = "literal") -> Column:
+def postcode(x: str, mode: str = "literal") -> str:
     """The first run of space characters becomes one blank; upper case."""
-    first_run = f"^({_POSTCODE_REST[mode]}*){POSTCODE_SPACE[mode]}+"
-    return F.upper(F.regexp_replace(value, first_run, "$1 "))
+    space = POSTCODE_SPACE[mode]
+    first_run = quoted(f"^([^{space}]*)[{space}]+")
+    return f"upper(regexp_replace({x}, {first_run}, '$1 '))"
 
 
-def outcode(postcode_text: Column) -> Column:
+def outcode(x: str) -> str:
     """Text before the first blank, empty when there is none."""
-    length = F.greatest(F.instr(postcode_text, " ") - 1, F.lit(0))
-    return F.left(postcode_text, length)
+    return f"left({x}, greatest(instr({x}, ' ') - 1, 0))"
 
 
-def double_text(value: Column) -> Column:
+def double_text(x: str) -> str:
     """Shortest text of a double: 51, 51.25, 0.0005, 5e-05 (below 1e15)."""
-    java = value.cast("string")
-    plain = F.regexp_replace(java, r"\.0$", "")
-    spread = F.regexp_replace(java.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
-    small = F.regexp_replace(
-        F.regexp_replace(java, r"(\.0)?E-", "e-"), r"e-(\d)$", "e-0$1"
-    )
-    size = F.abs(value)
+    java = f"cast({x} as string)"
+    strip = quoted(r"\.?0+$")
+    small = rf"regexp_replace(regexp_replace({java}, r'(\.0)?E-', 'e-'), r'e-(\d)$', 'e-0$1')"
     return (
-        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), plain)
-        .when(size < 1e-4, small)
-        .otherwise(spread)
+        f"case when {x} = 0 or abs({x}) >= 1e-3 and abs({x}) < 1e7 "
+        rf"then regexp_replace({java}, r'\.0$', '') "
+        f"when abs({x}) < 1e-4 then {small} "
+        f"else regexp_replace(cast(cast({java} as decimal(38,18)) as string), {strip}, '') end"
     )
 
 
-def location(latitude: Column, longitude: Column) -> Column:
-    return F.concat(
-        empty_for_null(double_text(latitude)), F.lit(","), empty_for_null(double_text(longitude))
+def location(latitude: str, longitude: str) -> str:
+    return (
+        f"concat({empty_for_null(double_text(latitude))}, ',', "
+        f"{empty_for_null(double_text(longitude))})"
     )
 
 
 # Replacements that make a product name safe as an identifier (fixed values).
-SAFE_NAME = (("AddressBase Premium ", "ABP"), ("\\.", ""))
+SAFE_NAME = (("AddressBase Premium ", "ABP"), (".", ""))
 
 
-def safe_name(value: Column) -> Column:
-    for pattern, replacement in SAFE_NAME:
-        value = F.regexp_replace(value, pattern, replacement)
-    return value
+def safe_name(x: str) -> str:
+    for found, replacement in SAFE_NAME:
+        x = f"replace({x}, '{found}', '{replacement}')"
+    return x

@@ -8,11 +8,7 @@ only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
+from waymark.functions import quoted
 from waymark.functions.text import blank_to_null
 
 # English stop words (fixed values).
@@ -38,81 +34,49 @@ PLURAL_RULES = (
     (r"^([a-z]*[aeiouy][a-z]+)s$", "$1"),
 )
 
-TOKENS_TYPE = "array<struct<lexeme:string,positions:array<int>>>"
 
-
-def stem(word: Column) -> Column:
+def stem(word: str) -> str:
     """Cut a plural ending from a word of ASCII letters, three or longer."""
-    result = word
-    for pattern, replacement in reversed(PLURAL_RULES):
-        result = F.when(
-            word.rlike(pattern), F.regexp_replace(word, pattern, replacement)
-        ).otherwise(result)
-    return F.when(word.endswith("s") & word.rlike("^[a-z]{3,}$"), result).otherwise(word)
-
-
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
-
+    rules = " ".join(
+        f"when {word} rlike {quoted(ending)} "
+        f"then regexp_replace({word}, {quoted(ending)}, '{replacement}')"
+        for ending, replacement in PLURAL_RULES
+    )
+    plural = f"endswith({word}, 's') and {word} rlike '^[a-z]{{3,}}$'"
+    return f"case when not ({plural}) then {word} {rules} else {word} end"
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated a single time."""
-    return F.element_at(F.transform(F.array(value), use), 1)
 
+def tokens(text: str) -> str:
+    """Sorted lexemes of a text; a plain array, so it compares and hashes.
 
-def _grouped(placed: Column) -> Column:
-    lexemes = F.sort_array(F.array_distinct(F.transform(placed, lambda p: p["lexeme"])))
-    return F.transform(
-        lexemes,
-        lambda lexeme: F.struct(
-            lexeme.alias("lexeme"),
-            F.transform(
-                F.filter(placed, lambda p: p["lexeme"] == lexeme), lambda p: p["position"]
-            ).alias("positions"),
-        ),
+    The one-element array makes ``placed`` a variable: it is evaluated once
+    per row and not again for every lexeme.
+    """
+    stops = ", ".join(f"'{word}'" for word in STOP_WORDS)
+    placed = (
+        f"filter(transform(regexp_extract_all(lower({text}), {quoted(WORD_PATTERN)}, 0), "
+        f"(w, i) -> struct(if(w in ({stops}), null, {stem('w')}) as lexeme, i + 1 as position)), "
+        "p -> p.lexeme is not null)"
     )
-
-
-def tokens(text: Column) -> Column:
-    """Sorted lexemes of a text; a plain array, so it compares and hashes."""
-    placed = F.transform(
-        words_of(text),
-        lambda word, i: F.struct(
-            F.when(~word.isin(*STOP_WORDS), stem(word)).alias("lexeme"),
-            (i + 1).cast("int").alias("position"),
-        ),
+    grouped = (
+        "transform(sort_array(array_distinct(placed.lexeme)), x -> struct(x as lexeme, "
+        "transform(filter(placed, p -> p.lexeme = x), p -> p.position) as positions))"
     )
-    return _once(F.filter(placed, lambda p: p["lexeme"].isNotNull()), _grouped)
+    return f"transform(array({placed}), placed -> {grouped})[0]"
 
 
-def tokens_of_parts(*parts: Column) -> Column:
+def tokens_of_parts(*parts: str) -> str:
     """Tokens of the non-blank parts, joined by one blank."""
-    return tokens(F.concat_ws(" ", *[blank_to_null(part.cast("string")) for part in parts]))
+    cleaned = ", ".join(blank_to_null(f"cast({part} as string)") for part in parts)
+    return tokens(f"concat_ws(' ', {cleaned})")
 
 
-def tokens_text(value: Column) -> Column:
+def tokens_text(value: str) -> str:
     """``high:2,4 street:3``: one string per token list."""
-    return F.array_join(
-        F.transform(
-            value,
-            lambda t: F.concat(
-                t["lexeme"], F.lit(":"), F.array_join(t["positions"].cast("array<string>"), ",")
-            ),
-        ),
-        " ",
-    )
+    one = "t -> t.lexeme || ':' || array_join(cast(t.positions as array<string>), ',')"
+    return f"array_join(transform({value}, {one}), ' ')"
 
 
-def search_words(df: DataFrame, column: str) -> DataFrame:
-    """The lexemes of a free-text column, one array per row."""
-    return df.withColumn(
-        "lexemes", F.transform(tokens(F.col(column)), lambda t: t["lexeme"])
-    )
-
-
-def has_all(value: Column, lexemes: list[str]) -> Column:
+def has_all(value: str, lexemes: list[str]) -> str:
     """All lexemes occur in the row's own token list."""
-    own = F.transform(value, lambda t: t["lexeme"])
-    return F.size(F.array_intersect(own, F.array(*[F.lit(x) for x in lexemes]))) == len(
-        set(lexemes)
-    )
+    return " and ".join(f"array_contains({value}.lexeme, {quoted(x)})" for x in lexemes) or "true"

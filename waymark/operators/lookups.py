@@ -24,7 +24,7 @@ def bloom_filtered(*columns: str) -> dict[str, str]:
 
 
 def with_outcode(lookup: DataFrame) -> DataFrame:
-    return lookup.withColumn("outcode", text.outcode(F.col("postcode")))
+    return lookup.withColumn("outcode", F.expr(text.outcode("postcode")))
 
 
 def find(table: DataFrame, column: str, *values) -> DataFrame:
@@ -69,7 +69,7 @@ def find_words(
     checked against its own tokens again, since two rows of one key may hold
     the words between them.
     """
-    matches = tokens.has_all(F.col(column), lexemes)
+    matches = F.expr(tokens.has_all(column, lexemes))
     if token_rows is None:
         return view.filter(matches)
     candidates = keys_with_all(token_rows, lexemes, key)

@@ -247,11 +247,8 @@ class Releases:
 
     def find_words(self, release: str, text: str, table: str = LOOKUP) -> DataFrame:
         """Rows of a release whose tokens contain every word of ``text``."""
-        lexemes = (
-            self.spark.range(1)
-            .select(F.transform(tokens.tokens(F.lit(text)), lambda t: t["lexeme"]).alias("x"))
-            .head()["x"]
-        )
+        one = self.spark.createDataFrame([(text,)], "words string")
+        lexemes = one.selectExpr(f"{tokens.tokens('words')}.lexeme as lexemes").head()["lexemes"]
         return lookups.find_words(
             self.spark.table(f"`{checked_name(release)}`.`{table}`"),
             lexemes,

@@ -110,5 +110,5 @@ def release_name(epoch: Column, created: Column) -> Column:
 
 def cleanup_plan(directories: DataFrame, epoch: str) -> DataFrame:
     """Which epoch directories (``directory``, full name) stay."""
-    name = F.element_at(F.split(F.rtrim(F.lit("/"), F.col("directory")), "/"), -1)
+    name = F.element_at(F.split(F.rtrim(F.col("directory"), F.lit("/")), "/"), -1)
     return directories.select("directory", (name == epoch).alias("keep"))

@@ -38,6 +38,11 @@ _DELIVERY_COLUMNS = (
     "dependent_thoroughfare thoroughfare double_dependent_locality dependent_locality "
     "post_town postcode po_box_number"
 ).split()
+_LOOKUP_TOKEN_PARTS = (
+    "sub_building_name building_name building_number dependent_thoroughfare thoroughfare "
+    "post_town double_dependent_locality dependent_locality administrative_area po_box_number "
+    "organisation_name"
+).split()
 _PROPERTY_COLUMNS = (
     "uprn parent_uprn logical_status blpu_state latitude longitude local_custodian_code country"
 ).split()
@@ -98,49 +103,24 @@ def tie_columns(rows: DataFrame) -> list[str]:
 
 def shape_lookup(rows: DataFrame, postcode_mode: str = "literal") -> DataFrame:
     """The 19 columns of the lookup."""
-    c = F.col
-    return rows.select(
-        "uprn",
-        "parent_uprn",
-        "usrn",
-        text.upper_or_null(c("organisation_name")).alias("organisation_name"),
-        text.delivery_line1(c("po_box_number"), c("sub_building_name"), c("building_name")).alias(
-            "line1"
+    shaped = {
+        "organisation_name": text.upper_or_null("organisation_name"),
+        "line1": text.delivery_line1("po_box_number", "sub_building_name", "building_name"),
+        "line2": text.delivery_line2(
+            "po_box_number", "building_number", "dependent_thoroughfare", "thoroughfare"
         ),
-        text.delivery_line2(
-            c("po_box_number"),
-            c("building_number"),
-            c("dependent_thoroughfare"),
-            c("thoroughfare"),
-        ).alias("line2"),
-        text.delivery_line3(c("double_dependent_locality"), c("dependent_locality")).alias(
-            "line3"
-        ),
-        codes.subdivision(c("country")).alias("subdivision"),
-        codes.country_code(c("country"), c("postcode")).alias("country_code"),
-        "local_custodian_code",
-        codes.language_code(c("language")).alias("language"),
-        "blpu_state",
-        "logical_status",
-        F.upper("post_town").alias("posttown"),
-        text.postcode(c("postcode"), postcode_mode).alias("postcode"),
-        text.location(c("latitude"), c("longitude")).alias("location"),
-        text.upper_or_null(c("po_box_number")).alias("pobox_number"),
-        c("administrative_area").alias("local_authority"),
-        tokens.tokens_of_parts(
-            c("sub_building_name"),
-            c("building_name"),
-            c("building_number"),
-            c("dependent_thoroughfare"),
-            c("thoroughfare"),
-            c("post_town"),
-            c("double_dependent_locality"),
-            c("dependent_locality"),
-            c("administrative_area"),
-            c("po_box_number"),
-            c("organisation_name"),
-        ).alias("search_tokens"),
-    )
+        "line3": text.delivery_line3("double_dependent_locality", "dependent_locality"),
+        "subdivision": codes.subdivision("country"),
+        "country_code": codes.country_code("country", "postcode"),
+        "language": codes.language_code("language"),
+        "posttown": "upper(post_town)",
+        "postcode": text.postcode("postcode", postcode_mode),
+        "location": text.location("latitude", "longitude"),
+        "pobox_number": text.upper_or_null("po_box_number"),
+        "local_authority": "administrative_area",
+        "search_tokens": tokens.tokens_of_parts(*_LOOKUP_TOKEN_PARTS),
+    }
+    return rows.selectExpr(*[f"{shaped.get(name, name)} as {name}" for name in LOOKUP_COLUMNS])
 
 
 def lookup_view(tables: Tables, postcode_mode: str = "literal") -> DataFrame:
@@ -182,16 +162,14 @@ def identifiers_on_streets(tables: Tables) -> Side:
         [identifiers, skew.measured(descriptors, "_street_tag", "usrn")], "usrn"
     )
     return identifiers.derive(
-        joined.select(
+        joined.selectExpr(
             "uprn",
             "usrn",
-            ranges.geographic_line1().alias("line1"),
-            ranges.geographic_line2(F.col("street_description")).alias("line2"),
-            text.empty_for_null(F.col("locality")).alias("line3"),
-            text.empty_for_null(F.col("town_name")).alias("town"),
-            F.coalesce(F.col("street_language") == F.col("language"), F.lit(False)).alias(
-                "takes_organisation"
-            ),
+            f"{ranges.geographic_line1()} as line1",
+            f"{ranges.geographic_line2('street_description')} as line2",
+            f"{text.empty_for_null('locality')} as line3",
+            f"{text.empty_for_null('town_name')} as town",
+            "coalesce(street_language = language, false) as takes_organisation",
             *identifiers.carried,
         )
     )
@@ -219,26 +197,16 @@ def geographic_rows(tables: Tables, properties: Side | None = None) -> DataFrame
 
 def shape_geographic(rows: DataFrame) -> DataFrame:
     """The 12 columns of the geographic view."""
-    c = F.col
-    named = rows.select(
-        "uprn",
-        "parent_uprn",
-        "usrn",
-        text.empty_for_null(c("organisation")).alias("organisation_name"),
-        "line1",
-        "line2",
-        "line3",
-        "town",
-        codes.country_code(c("country"), c("postcode_locator")).alias("country_code"),
-        "local_custodian_code",
-        text.empty_for_null(c("postcode_locator")).alias("post_code"),
-    )
-    return named.withColumn(
-        "search_tokens",
-        tokens.tokens_of_parts(
-            c("organisation_name"), c("line1"), c("line2"), c("line3"), c("town"), c("post_code")
-        ),
+    shaped = {
+        "organisation_name": text.empty_for_null("organisation"),
+        "country_code": codes.country_code("country", "postcode_locator"),
+        "post_code": text.empty_for_null("postcode_locator"),
+    }
+    named = rows.selectExpr(
+        *[f"{shaped.get(name, name)} as {name}" for name in GEOGRAPHIC_COLUMNS[:-1]]
     )
+    parts = ("organisation_name", "line1", "line2", "line3", "town", "post_code")
+    return named.selectExpr("*", f"{tokens.tokens_of_parts(*parts)} as search_tokens")
 
 
 def geographic_view(tables: Tables) -> DataFrame:

@@ -70,7 +70,9 @@ def load_lines(
     raw.write_split(raw.route(lines), staging)
     split = raw.read_split(spark, staging)
     rows_of = {
-        table: typed.parse(split.filter(F.col("record_type") == layout.record_type), layout)
+        table: typed.parse(
+            split.filter(F.col("record_type") == layout.record_type), layout, widths=False
+        )
         for table, layout in TABLES.items()
     }
     return _append_all(spark, release, batch, rows_of)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waymark.sources.layouts import Layout
 
@@ -14,49 +13,66 @@ CSV_OPTIONS = {"nullValue": "\u0001", "escape": '"', "dateFormat": "yyyy-MM-dd"}
 _BAD = "_unparsed"
 
 
-def fitted(value: Column, width: int) -> Column:
+def fitted(column: str, width: int) -> str:
     """Drop surplus trailing spaces, as a bulk load into VARCHAR(n) does."""
-    surplus = F.substring(value, F.lit(width + 1), F.char_length(value))
-    blank = F.rtrim(surplus) == ""
-    return F.when((F.char_length(value) > width) & blank, F.substring(value, 1, width)).otherwise(
-        value
+    return (
+        f"if(char_length({column}) > {width}, "
+        f"left({column}, {width}) || rtrim(substr({column}, {width + 1})), {column})"
     )
 
 
-def too_wide(value: Column, width: int) -> Column:
-    return F.coalesce(F.char_length(fitted(value, width)) > width, F.lit(False))
+def _fitted_columns(layout: Layout) -> list[str]:
+    return [
+        f"{fitted(f.name, f.width)} as {f.name}" if f.width else f.name for f in layout.fields
+    ]
 
 
-def _parsed(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Typed columns plus ``problem``, NULL for a good line."""
-    schema = T.StructType(layout.schema.fields + [T.StructField(_BAD, T.StringType())])
+def too_wide(widths: dict[str, int]) -> str:
+    """Names of the columns that exceed their width, NULL when none does."""
+    names = ", ".join(f"if(char_length({c}) > {n}, '{c}', null)" for c, n in widths.items())
+    return f"nullif(concat_ws(', ', {names}), '')" if names else "cast(null as string)"
+
+
+def _unfitted(lines: DataFrame, layout: Layout) -> DataFrame:
+    """Typed columns plus ``problem``, NULL for a line of the right form."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.schema.fields)
     options = CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    row = lines.select("value", F.from_csv("value", ddl, options).alias("row")).select(
-        "value", "row.*"
+    row = F.from_csv("value", f"{ddl}, {_BAD} string", options)
+    return lines.select("value", row.alias("row")).selectExpr(
+        "value",
+        f"if(row.{_BAD} is null, null, 'malformed') as problem",
+        *[f"row.{name}" for name in layout.columns],
     )
-    wide = F.concat_ws(
-        ", ", *[F.when(too_wide(F.col(c), n), F.lit(c)) for c, n in layout.widths.items()]
-    )
-    problem = F.when(F.col(_BAD).isNotNull(), F.lit("malformed")).when(
-        wide != "", F.concat(F.lit("too wide: "), wide)
+
+
+def _parsed(lines: DataFrame, layout: Layout) -> DataFrame:
+    """As above, with surplus blanks cut and over-wide text as a problem too."""
+    fitting = _unfitted(lines, layout).selectExpr("value", "problem", *_fitted_columns(layout))
+    return fitting.selectExpr(
+        "value",
+        f"coalesce(problem, 'too wide: ' || {too_wide(layout.widths)}) as problem",
+        *layout.columns,
     )
-    shaped = [
-        (fitted(F.col(f.name), f.width) if f.width else F.col(f.name)).alias(f.name)
-        for f in layout.fields
-    ]
-    return row.select("value", problem.alias("problem"), *shaped)
 
 
-def parse(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Typed rows of one record type; any bad line fails the job."""
-    parsed = _parsed(lines, layout)
-    first = layout.columns[0]
-    failure = F.raise_error(F.concat_ws(": ", "problem", "value"))
-    checked = F.when(F.col("problem").isNull(), F.col(first)).otherwise(
-        failure.cast(layout.schema[first].dataType)
+def _strict(layout: Layout, problem: str) -> list[str]:
+    """All columns; taking the first one fails when there is a problem."""
+    first = layout.fields[0]
+    kind = layout.schema[first.name].dataType.simpleString()
+    checked = (
+        f"if({problem} is null, {first.name}, cast(raise_error({problem}) as {kind})) "
+        f"as {first.name}"
     )
-    return parsed.select(checked.alias(first), *layout.columns[1:])
+    return [checked, *layout.columns[1:]]
+
+
+def parse(lines: DataFrame, layout: Layout, widths: bool = True) -> DataFrame:
+    """Typed rows of one record type; any bad line fails the job.
+
+    ``widths=False`` leaves the width check to a table of VARCHAR(n) columns.
+    """
+    parsed = _parsed(lines, layout) if widths else _unfitted(lines, layout)
+    return parsed.selectExpr(*_strict(layout, "(problem || ': ' || value)"))
 
 
 def parse_lenient(lines: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
@@ -80,35 +96,22 @@ def read_headered_csv(spark: SparkSession, path: str, layout: Layout) -> DataFra
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    checked = []
-    for field in layout.fields:
-        value = F.col(field.name)
-        if field.width:
-            failure = F.raise_error(F.concat(F.lit(f"too wide: {field.name}: "), value))
-            value = F.when(too_wide(value, field.width), failure.cast("string")).otherwise(
-                fitted(value, field.width)
-            )
-        checked.append(value.alias(field.name))
-    return rows.select(*checked)
+    return rows.selectExpr(*_fitted_columns(layout)).selectExpr(
+        *_strict(layout, f"('too wide: ' || {too_wide(layout.widths)})")
+    )
 
 
 def width_counts(rows: DataFrame, widths: dict[str, int]) -> DataFrame:
     """Rows and width violations per column, all columns in one pass."""
-    columns = list(widths.items())
-    counts = rows.agg(
-        F.count("*").alias("n"),
-        *[F.count_if(too_wide(F.col(c), n)).alias(c) for c, n in columns],
+    counts = rows.selectExpr(
+        "count(*) as n",
+        *[f"count_if(char_length({fitted(c, n)}) > {n}) as {c}" for c, n in widths.items()],
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(n).alias("width"),
-            F.col("n").alias("checked"),
-            F.col(c).alias("violations"),
-        )
-        for c, n in columns
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    entries = ", ".join(
+        f"struct('{c}' as column_name, {n} as width, n as checked, {c} as violations)"
+        for c, n in widths.items()
+    )
+    return counts.selectExpr(f"inline(array({entries}))")
 
 
 def width_report(rows: DataFrame, layout: Layout) -> DataFrame:
