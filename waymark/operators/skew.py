@@ -123,7 +123,10 @@ class _Spread:
 
 
 def _spread(sides: list[Side], key: str, repeat_if: Column | None = None) -> _Spread:
-    """Give every heavy value to the side with most rows of it, and salt."""
+    """Give every heavy value to the side with most rows of it, and salt.
+
+    ``repeat_if`` tells which rows of the first side need copies at all.
+    """
     counts = [side.heavy.get(key, {}) for side in sides]
     owned: list[dict] = [{} for _ in sides]
     session = sides[0].rows.sparkSession
@@ -138,7 +141,7 @@ def _spread(sides: list[Side], key: str, repeat_if: Column | None = None) -> _Sp
     salted = []
     for i, side in enumerate(sides):
         others = {v: n for j, found in enumerate(owned) if j != i for v, n in found.items()}
-        salted.append(_salted(side, key, owned[i], others, repeat_if))
+        salted.append(_salted(side, key, owned[i], others, repeat_if if i == 0 else None))
     return _Spread(salted, [key, SALT], owned)
 
 
