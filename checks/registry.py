@@ -194,16 +194,10 @@ def _public_lookup(spark, sf_dir):
 
 
 def _lookup_from_raw(spark, sf_dir):
-    """Raw files, split, typed and joined."""
-    split = work_folder(spark, "split")
-    raw.write_split(raw.route(raw.read_raw(spark, derived.raw_folder(spark, sf_dir))), split)
-    lines = raw.read_split(spark, split)
-    names = ("blpu", "lpi", "delivery_point", "street_descriptor", "organisation")
-    tables = {}
-    for table in (f"abp_{name}" for name in names):
-        layout = TABLES[table]
-        tables[table] = typed.parse(lines.filter(c("record_type") == layout.record_type), layout)
-    return _shown(views.lookup_view(tables))
+    """Raw files, landing tables, lookup: the way of a release."""
+    release = _release(spark, "lookup")
+    landing.load_raw_batch(spark, release, "b0", derived.raw_folder(spark, sf_dir))
+    return _shown(views.lookup_view(landing.tables(spark, release)))
 
 
 def _token_table(spark, sf_dir):
@@ -280,6 +274,19 @@ def _batch_contents(spark, sf_dir):
     )
 
 
+def _epoch_of_path(spark, sf_dir):
+    files = derived.files(spark, sf_dir)
+    return files.select("path", listing.epoch_of(c("path")).alias("epoch"))
+
+
+def _landing_find(spark, sf_dir):
+    """A lookup by property key in a landing table."""
+    release = _release(spark, "find")
+    landing.load_raw_batch(spark, release, "b0", derived.raw_folder(spark, sf_dir))
+    found = lookups.find(landing.tables(spark, release)["abp_lpi"], "uprn", 2, 40, 77, 128)
+    return found.select("uprn", "usrn", "lpi_key", "logical_status", "start_date")
+
+
 def _list_files(spark, sf_dir):
     """The raw files on disk: in which directory, how many, how long."""
     found = listing.list_files(spark, derived.raw_folder(spark, sf_dir), "AddressBasePremium*")
@@ -508,6 +515,8 @@ _QUERIES: dict[str, Query] = {
     "batch_files": _batch_files,
     "batch_contents": _batch_contents,
     "list_files": _list_files,
+    "epoch_of_path": _epoch_of_path,
+    "landing_find_uprn": _landing_find,
     "min_size_check": _min_size,
     "md5_check": _md5,
     "width_check": _width,

@@ -9,6 +9,9 @@ from waymark.functions import text, tokens
 from waymark.operators import skew
 
 
+_BITS = 60  # lexemes per 64-bit number
+
+
 def clustered(rows: DataFrame, key: str, *ties: str) -> DataFrame:
     """Range-partition by ``key``: narrow min/max per file and row group.
 
@@ -20,7 +23,8 @@ def clustered(rows: DataFrame, key: str, *ties: str) -> DataFrame:
 
 def bloom_filtered(*columns: str) -> dict[str, str]:
     """Parquet options: a Bloom filter per row group on each column."""
-    return {f"parquet.bloom.filter.enabled#{column}": "true" for column in columns}
+    options = {f"parquet.bloom.filter.enabled#{column}": "true" for column in columns}
+    return options | {"parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 def with_outcode(lookup: DataFrame) -> DataFrame:
@@ -33,27 +37,30 @@ def find(table: DataFrame, column: str, *values) -> DataFrame:
 
 
 def token_table(view: DataFrame, key: str = "uprn", column: str = "search_tokens") -> DataFrame:
-    """One row per lexeme of every row: lexeme, key, positions."""
-    return view.select(key, F.inline(column)).select("lexeme", key, "positions")
+    """One row per lexeme of every row: lexeme, key, positions.
+
+    The outer form keeps Spark from adding a filter on the array, which would
+    work out the tokens of every row a second time below the join.
+    """
+    listed = view.selectExpr(key, f"inline_outer({column})")
+    return listed.filter("lexeme is not null").select("lexeme", key, "positions")
 
 
 def keys_with_all(token_rows: DataFrame, lexemes: list[str], key: str = "uprn") -> DataFrame:
     """Keys that have every lexeme, in some of their rows.
 
-    Each lexeme is one bit, so one partial aggregation does it.
+    Each lexeme is one bit of a number, so one partial aggregation does it.
     """
     wanted = sorted(set(lexemes))
-    bit = F.element_at(
-        F.create_map(*[F.lit(x) for i, w in enumerate(wanted) for x in (w, 1 << i)]),
-        F.col("lexeme"),
-    )
-    return (
-        token_rows.filter(F.col("lexeme").isin(*wanted))
-        .groupBy(key)
-        .agg(F.bit_or(bit).alias("_seen"))
-        .filter(F.col("_seen") == (1 << len(wanted)) - 1)
-        .select(key)
-    )
+    seen, complete = [], F.lit(True)
+    for i in range(0, len(wanted), _BITS):
+        chunk = wanted[i : i + _BITS]
+        pairs = [F.lit(x) for j, word in enumerate(chunk) for x in (word, 1 << j)]
+        bit = F.element_at(F.create_map(*pairs), F.col("lexeme"))
+        seen.append(F.bit_or(bit).alias(f"_seen{i}"))
+        complete = complete & (F.col(f"_seen{i}") == (1 << len(chunk)) - 1)
+    hits = token_rows.filter(F.col("lexeme").isin(*wanted))
+    return hits.groupBy(key).agg(*seen).filter(complete).select(key)
 
 
 def find_words(

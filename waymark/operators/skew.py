@@ -77,8 +77,8 @@ def heavy_keys(df: DataFrame, *keys: str) -> dict[str, dict]:
 def measured(scan: DataFrame, tag: str, *keys: str, drives: bool = False) -> Side:
     """A plain (filtered) scan as a join side; heavy keys found if it is large.
 
-    ``drives`` marks the input with most rows, which decides how many tasks
-    the joins run in when the tables are small.
+    ``drives`` marks an input with many rows, which decides how many tasks the
+    joins run in when the tables are small.
 
     The rows are numbered by their position in the input split. That is the
     same on every attempt of a task, which a random salt, or a number given

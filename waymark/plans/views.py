@@ -57,7 +57,7 @@ Tables = Mapping[str, DataFrame]
 
 def delivery_points(tables: Tables) -> Side:
     scan = tables["abp_delivery_point"].select(*_DELIVERY_COLUMNS)
-    return skew.measured(scan.filter("uprn is not null"), "_delivery_tag", "uprn")
+    return skew.measured(scan.filter("uprn is not null"), "_delivery_tag", "uprn", drives=True)
 
 
 def lookup_properties(tables: Tables) -> Side:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small shuffles of wide expressions (tokens) should still use all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
@@ -39,9 +41,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_work_folders: list[str] = []
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared root; nothing is created yet."""
-    return f"{shared_root(spark)}/waymark/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/waymark/{purpose}-{uuid.uuid4().hex}"
+    _work_folders.append(path)
+    return path
+
+
+def clear_work_folders(spark: SparkSession) -> None:
+    """Remove what this process has put into the shared folder.
+
+    For the end of a job: lazy results may still read these folders before.
+    """
+    while _work_folders:
+        delete_folder(spark, _work_folders.pop())
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

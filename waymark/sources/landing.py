@@ -7,19 +7,42 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.operators.lookups import bloom_filtered
 from waymark.session import delete_folder, work_folder
 from waymark.sources import raw, typed
 from waymark.sources.layouts import TABLE_FILES, TABLES
 
 
+# Columns the landing tables are looked up by (fixed values).
+LOOKUP_KEYS = {
+    "abp_blpu": ("uprn",),
+    "abp_delivery_point": ("uprn", "postcode"),
+    "abp_lpi": ("uprn",),
+    "abp_crossref": ("uprn",),
+    "abp_classification": ("uprn",),
+    "abp_street": ("usrn",),
+    "abp_street_descriptor": ("usrn",),
+    "abp_organisation": ("uprn",),
+    "abp_successor": ("uprn",),
+}
+
+
 def create_tables(spark: SparkSession, release: str) -> int:
-    """The nine landing tables; VARCHAR(n) makes every write check widths."""
+    """The nine landing tables.
+
+    VARCHAR(n) makes every write check widths; the options give the files a
+    Bloom filter on each lookup key.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{release}`")
     for table, layout in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.ddl_type}" for f in layout.fields)
+        options = ", ".join(
+            f"'{name}' = '{value}'"
+            for name, value in bloom_filtered(*LOOKUP_KEYS[table]).items()
+        )
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{release}`.`{table}` ({columns}, batch STRING) "
-            "USING parquet PARTITIONED BY (batch)"
+            f"USING parquet OPTIONS ({options}) PARTITIONED BY (batch)"
         )
     return len(TABLES)
 
