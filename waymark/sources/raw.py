@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from waymark.sources.layouts import LAYOUTS, RAW_PREFIX, RECORD_TYPES
 
 
+SPLIT_BLOCK_BYTES = 16 * 1024 * 1024
+
+
 def read_raw(spark: SparkSession, directory: str, prefix: str = RAW_PREFIX) -> DataFrame:
     """Lines of the raw files directly inside ``directory``.
 
@@ -52,9 +55,15 @@ def write_split(routed: DataFrame, path: str) -> None:
     """Split the lines by record type in a single pass, lines unchanged.
 
     Each task appends to one file per type it meets: no shuffle, and the typed
-    loads that follow read only their own part of the data.
+    loads that follow read only their own part of the data. Small row groups
+    bound the memory of the files that are open together.
     """
-    routed.select("record_type", "value").write.partitionBy("record_type").parquet(path)
+    (
+        routed.select("record_type", "value")
+        .write.option("parquet.block.size", SPLIT_BLOCK_BYTES)
+        .partitionBy("record_type")
+        .parquet(path)
+    )
 
 
 def read_split(spark: SparkSession, path: str) -> DataFrame:
