@@ -197,6 +197,7 @@ def _lookup_from_raw(spark, sf_dir):
     """Raw files, landing tables, lookup: the way of a release."""
     release = _release(spark, "lookup")
     landing.load_raw_batch(spark, release, "b0", derived.raw_folder(spark, sf_dir))
+    landing.measure_sizes(spark, release)
     return _shown(views.lookup_view(landing.tables(spark, release)))
 
 

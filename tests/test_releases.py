@@ -130,6 +130,12 @@ def test_release_life_cycle(spark):
     assert same(found.select("uprn", "usrn"), stored.filter("line2 like '%HIGH STREET'").select("uprn", "usrn").union(
         stored.filter("line2 = ''").select("uprn", "usrn")))
 
+    renamed = Releases(
+        spark, "lc_control", "lc_public", {"lookup": "addresses", "search_tokens": "ft_col"}
+    )
+    renamed.publish(first)
+    assert spark.table("lc_public.addresses").columns == [*views.LOOKUP_COLUMNS[:-1], "ft_col"]
+
     second = work.initialise("79", datetime(2024, 2, 1))
     work.load(second, "0", folder)
     work.load(second, "1", folder)  # twice the size: out of tolerance

@@ -31,6 +31,17 @@ def test_small_tables_are_not_measured(spark, folder):
     assert side.heavy == {} and side.tag is None
 
 
+def test_heavy_keys_of_many_rows_few_rows_and_none(spark):
+    rows = spark.range(1_000_000).selectExpr(
+        "case when id % 100 < 3 then id % 100 when id % 250 = 50 then -5 else id end as k",
+        "if(id % 3 = 0, 'it''s', string(id)) as s",
+    )
+    found = skew.heavy_keys(rows, "k", "s")
+    assert set(found["k"]) == {0, 1, 2, -5} and set(found["s"]) == {"it's"}
+    assert skew.heavy_keys(rows.filter("k = -77"), "k", "s") == {"k": {}, "s": {}}
+    assert skew.heavy_keys(rows.selectExpr("cast(null as bigint) as k"), "k") == {"k": {}}
+
+
 @pytest.mark.usefixtures("salting")
 def test_heavy_keys_are_found_and_split(spark, folder):
     table = skewed(spark, "a", 3000, folder)

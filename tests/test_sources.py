@@ -3,7 +3,7 @@ import os
 import pytest
 
 from checks import derived
-from waymark.session import work_folder
+from waymark.session import estimated_bytes, work_folder
 from waymark.sources import integrity, landing, listing, raw, typed
 from waymark.sources.layouts import LAYOUTS, TABLES, Field, Layout
 
@@ -117,6 +117,20 @@ def test_load_is_idempotent_and_appends_batches(spark):
     assert stored.exceptAll(expected).count() == 0 and expected.exceptAll(stored).count() == 0
 
 
+def test_sizes_are_known_after_measuring(spark):
+    landing.create_tables(spark, "sized")
+    landing.load_raw_batch(spark, "sized", "b0", derived.raw_folder(spark, SF))
+    landing.measure_sizes(spark, "sized")
+    assert 0 < estimated_bytes(landing.tables(spark, "sized")["abp_lpi"]) < 10_000_000
+
+
+def test_split_is_read_by_type(spark, folder):
+    raw.write_split(raw.route(raw.read_raw(spark, derived.raw_folder(spark, SF))), folder + "/s")
+    one = raw.read_split(spark, folder + "/s").filter("record_type = '24'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(record_type" in plan
+
+
 def test_landing_table_rejects_wide_text(spark):
     landing.create_tables(spark, "wide")
     line = "31,I,1,5,O1," + "x" * 101 + ",,,,,"

@@ -1,7 +1,7 @@
 """Equi-joins that stay balanced when one key holds a large part of the rows.
 
 Adaptive execution already splits moderately large partitions. For tables big
-enough to matter, the few keys that hold at least one percent of a table are
+enough to matter, the few keys that hold at least 0.2 percent of a table are
 found with a bounded sketch. The table that holds most rows of such a key is
 spread over salted parts by row position; the other tables repeat their rows of
 that key once per part. Every pair of rows still meets exactly once.
@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.functions import quoted
 from waymark.session import estimated_bytes, fill_cores
 
 SALT = "_salt"
@@ -28,9 +29,10 @@ MIN_BYTES = 256 * 1024 * 1024
 PART_ROWS_KEY = "spark.waymark.skew.partRows"
 PART_ROWS = 2_000_000
 
-HOT_SHARE = 0.01
-HOT_KEYS = 100
-TRACKED = 1024  # sketch size: misses no key above 0.4 percent of the rows
+HOT_SHARE = 0.002
+HOT_KEYS = 500  # no more keys than this can have that share
+TRACKED = 4096  # sketch size: misses no key above 0.1 percent of the rows
+MERGE_TASKS = 256
 
 
 @dataclass(frozen=True)
@@ -60,9 +62,30 @@ def is_large(df: DataFrame) -> bool:
 
 
 def heavy_keys(df: DataFrame, *keys: str) -> dict[str, dict]:
-    """Per key column at most 100 values that hold one percent of the rows."""
-    sketches = [F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED})").alias(key) for key in keys]
-    found = df.agg(F.count("*").alias("_rows"), *sketches).head()
+    """Per key column the values that hold 0.2 percent of the rows or more.
+
+    Every task sends one sketch of bounded size per key; the sketches are
+    merged in groups first, so the last task never gets one per input split.
+    """
+    groups = (F.spark_partition_id() % MERGE_TASKS).alias("_group")
+    split = [
+        F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias(key) for key in keys
+    ]
+    merged = [
+        F.expr(f"approx_top_k_combine(`{key}`, {TRACKED})").alias(key) for key in keys
+    ]
+    counted = df.groupBy(groups).agg(F.count("*").alias("_rows"), *split)
+    # Grouped, so that no rows give no result: an empty sketch cannot be merged.
+    found = (
+        counted.groupBy(F.lit(0).alias("_all"))
+        .agg(F.sum("_rows").alias("_rows"), *merged)
+        .selectExpr(
+            "_rows", *[f"approx_top_k_estimate(`{key}`, {HOT_KEYS}) as `{key}`" for key in keys]
+        )
+        .head()
+    )
+    if found is None:
+        return {key: {} for key in keys}
     least = HOT_SHARE * found["_rows"]
     return {
         key: {
@@ -93,10 +116,14 @@ def measured(scan: DataFrame, tag: str, *keys: str, drives: bool = False) -> Sid
 
 
 def _parts_of(key: str, parts: dict) -> Column:
+    """Number of parts a row's key is cut into: 1 but for the heavy ones."""
     if not parts:
         return F.lit(1)
-    pairs = [F.lit(x) for pair in parts.items() for x in pair]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(1))
+    values = ", ".join(quoted(v) if isinstance(v, str) else str(v) for v in parts)
+    numbers = ", ".join(str(n) for n in parts.values())
+    return F.expr(
+        f"coalesce(element_at(map_from_arrays(array({values}), array({numbers})), `{key}`), 1)"
+    )
 
 
 def _salted(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from waymark.functions import tokens
 from waymark.operators import lookups
 from waymark.plans import status, views
+from waymark.session import tune
 from waymark.sources import landing
 
 LOOKUP = "lookup"
@@ -43,12 +45,23 @@ def checked_name(name: str) -> str:
 
 
 class Releases:
+    """Releases of one gazetteer.
+
+    ``public_names`` renames what readers see: the public views ``lookup`` and
+    ``lookup_combined``, and any of their columns.
+    """
+
     def __init__(
-        self, spark: SparkSession, control: str = "gazetteer_control", public: str = "gazetteer"
+        self,
+        spark: SparkSession,
+        control: str = "gazetteer_control",
+        public: str = "gazetteer",
+        public_names: Mapping[str, str] | None = None,
     ):
-        self.spark = spark
+        self.spark = tune(spark)
         self.control = checked_name(control)
         self.public = checked_name(public)
+        self.public_names = {k: checked_name(v) for k, v in (public_names or {}).items()}
 
     # -- status log -------------------------------------------------------
 
@@ -136,7 +149,8 @@ class Releases:
         steps = iter(status.LOOKUP_STEPS)
         self.record(release, next(steps))
         try:
-            rows = views.lookup_rows(landing.tables(self.spark, checked_name(release)))
+            landing.measure_sizes(self.spark, checked_name(release))
+            rows = views.lookup_rows(landing.tables(self.spark, release))
             rows = lookups.clustered(rows, "uprn", *views.tie_columns(rows))
             view = views.shape_lookup(rows, postcode_mode)
             self._save(
@@ -237,13 +251,17 @@ class Releases:
         self.record(release, status.FINALISED, row["error_message"], row["timestamp"])
 
     def _publish_view(self, release: str, table: str, columns: list[str]) -> None:
+        listed = ", ".join(f"{name} AS {self.public_names.get(name, name)}" for name in columns)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW `{self.public}`.`{table}` AS "
-            f"SELECT {', '.join(columns)} FROM `{checked_name(release)}`.`{table}`"
+            f"CREATE OR REPLACE VIEW {self._public_view(table)} AS "
+            f"SELECT {listed} FROM `{checked_name(release)}`.`{table}`"
         )
 
+    def _public_view(self, table: str) -> str:
+        return f"`{self.public}`.`{self.public_names.get(table, table)}`"
+
     def public_table(self, table: str = LOOKUP) -> DataFrame:
-        return self.spark.table(f"`{self.public}`.`{table}`")
+        return self.spark.table(self._public_view(table))
 
     def find_words(self, release: str, text: str, table: str = LOOKUP) -> DataFrame:
         """Rows of a release whose tokens contain every word of ``text``."""

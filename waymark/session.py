@@ -15,6 +15,8 @@ DEFAULTS = {
     # Small shuffles of wide expressions (tokens) should still use all cores.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed partitions also below a join that then has to shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A split by record type keeps its twelve files open instead of sorting.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.session.timeZone": "UTC",

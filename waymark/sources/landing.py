@@ -110,6 +110,16 @@ def load_record_files(spark: SparkSession, release: str, batch: str, directory:
     return _append_all(spark, release, batch, rows_of)
 
 
+def measure_sizes(spark: SparkSession, release: str) -> None:
+    """Record the file sizes of the landing tables in the catalog.
+
+    A partitioned table has no known size otherwise, and the planner takes it
+    for enormous: no broadcast, and a needless search for heavy keys.
+    """
+    for table in TABLES:
+        spark.sql(f"ANALYZE TABLE `{release}`.`{table}` COMPUTE STATISTICS NOSCAN")
+
+
 def tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
     return {
         name: spark.table(f"`{release}`.`{name}`").select(*layout.columns)
