@@ -15,7 +15,7 @@ from waymark.operators.skew import Side
 from waymark.plans import status, views
 from waymark.session import materialise, tune, work_folder
 from waymark.sources import integrity, landing, listing, raw, typed
-from waymark.sources.layouts import LAYOUTS, TABLES
+from waymark.sources.layouts import LAYOUTS
 from waymark.streaming import loads, statuses
 
 Query = Callable[[SparkSession, str], DataFrame]
