@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle, registry
 from checks.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), oracle.statements()
 DUCK_TYPES = {
     "bigint": {"BIGINT"},
     "int": {"INTEGER"},
