@@ -1,0 +1,176 @@
+"""Personal data (1) and secrets (8) against plain regular expressions."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from waymark.llm import credentials, disclosure
+
+ASSIGN = re.compile(
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(v - 9 if v > 9 else v for v in doubled) % 10 == 0
+
+
+def personal(text):
+    def found(kind, pattern, keep=lambda match: True):
+        return [(kind, *m.span()) for m in re.finditer(pattern, text) if keep(m[0])]
+
+    def digits(part):
+        return re.sub("[^0-9]", "", part)
+
+    return [
+        *found("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        *found(
+            "ip",
+            r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            lambda m: all(int(p) <= 255 for p in m.split(".")),
+        ),
+        *found(
+            "card",
+            r"[0-9]([\x20-]?[0-9])+",
+            lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m)),
+        ),
+        *found("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    ]
+
+
+def secrets(text):
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [
+        (m.start(), 1, m.end(), "access")
+        for m in re.finditer("AKIA[A-Z0-9]+", text)
+        if len(m[0]) >= 20
+    ]
+    found += [
+        (m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24
+    ]
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def digest(spans):
+    joined = ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+    return hashlib.sha256(joined.encode()).hexdigest()
+
+
+def noise(seed, pieces, count):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(count)]
+
+
+PERSONAL_PIECES = [
+    "a", "b.c", "@", "@d.e", "f-g", ".", "_", "%", " ", "+1", "+", "4111", "1111 ", "1", "10.0.0.",
+    "255", "256", "-", "(", ")", "é", "5500-0000-0000-0004", "\n", "007",
+]
+SECRET_PIECES = [
+    "password", "PassWD", "api_key", "apikey", "token", "secret", "=", ":", " ", '"', "'", "abc",
+    "abcdef", "AKIA", "ABCD1234EFGH5678", "deadbeef", "0123456789abcdef", "é", "\n", ".", "/",
+    "\U0001f600",
+]
+
+
+def test_personal_data_in_noise():
+    for text in noise(1, PERSONAL_PIECES, 20_000):
+        assert disclosure.base_spans(text) == personal(text), text
+
+
+def test_secrets_in_noise(spark):
+    found = noise(2, SECRET_PIECES, 3000)
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    for row in credentials.digests(credentials.find_secrets(docs)).collect():
+        assert row["base_sha256"] == digest(secrets(found[row["doc_id"]])), found[row["doc_id"]]
+
+
+@pytest.mark.parametrize("kind", ["personal", "secrets"])
+def test_given_documents(documents, texts, kind):
+    if kind == "personal":
+        rows, brute = disclosure.digests(disclosure.find_spans(documents)).collect(), personal
+    else:
+        rows, brute = credentials.digests(credentials.find_secrets(documents)).collect(), secrets
+    assert len(rows) == len(texts)
+    assert all(row["base_sha256"] == digest(brute(texts[row["doc_id"]])) for row in rows)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = disclosure.find_spans(odd_docs).collect()
+    assert len(rows) == 15
+    tens = [row for row in rows if row["doc_id"] == 10]
+    assert [(r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) for r in tens] == [(1, 1, 1, 1)] * 2
+    assert {row["base"] for row in rows if row["doc_id"] in (1, 2, 3)} == {""}
+    assert disclosure.find_spans(no_docs).count() == 0
+    rows = credentials.find_secrets(odd_docs).collect()
+    assert len(rows) == 15 and sum(row["n_assign"] for row in rows) == 2
+    assert credentials.find_secrets(no_docs).count() == 0
+
+
+def test_disclosive_terms(spark):
+    """A word that only ever stands beside mail addresses gives them away."""
+    filler = "plain words without any data about anything at all today "
+    rows = [(i, f"{filler * 3} contactline user{i}@site{i}.org {filler * 3}") for i in range(12)]
+    rows += [(100 + i, filler * 5) for i in range(50)]
+    rows += [(200, "the contactline was closed")]  # no entity: left alone
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row["doc_id"]: row for row in disclosure.find_spans(docs).collect()}
+    text = rows[3][1]
+    start = text.index("contactline")
+    assert f"term:{start}:{start + 11}" in found[3]["spans"].split(",")
+    assert "plain" not in [text[s:e] for _, s, e in disclosure.parse_spans(found[3]["spans"])]
+    assert found[100]["spans"] == "" and found[200]["spans"] == ""
+    clean = disclosure.redact(text, disclosure.parse_spans(found[3]["spans"]))
+    assert "@" not in clean and "contactline" not in clean and "[EMAIL]" in clean
+    assert disclosure.redact("abc", []) == "abc"
+
+
+def test_weak_parts_need_a_complement(spark):
+    far = " word" * 200
+    rows = [
+        (1, 'endpoint https://db.example.org/x and token = "abcdef123456"'),
+        (2, "endpoint https://db.example.org/x alone"),
+        (3, f'https://db.example.org/x {far} token = "abcdef123456"'),
+        (4, f'https://a.example.org {far} username=bob secret: abcdef99'),
+        (5, "username=bob https://db.example.org"),  # both weak, no secret
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row["doc_id"]: row for row in credentials.find_secrets(docs).collect()}
+    assert found[1]["spans"].startswith("endpoint:9:33,assign:")
+    assert [found[i]["n_linked"] for i in (1, 2, 3, 4, 5)] == [1, 0, 0, 1, 0]
+    clean = {row["doc_id"]: row["text"] for row in credentials.redact_documents(docs).collect()}
+    assert clean[1] == 'endpoint [SECRET] and [SECRET]"' and clean[2] == rows[1][1]
+    assert clean[4].startswith("https://a.example.org") and "bob" not in clean[4]
+
+
+def test_linking_against_all_pairs(spark):
+    rng = random.Random(4)
+    pieces = ["username=bob ", "https://x.y/z ", "secret=abcdef ", "word " * 20, "word " * 45]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(8))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = credentials.find_parts(docs, "text").withColumn("row", F.col("doc_id"))
+    stored = {row["row"]: row["parts"] for row in parts.collect()}
+    linked = {}
+    for row in credentials.linked_parts(parts).collect():
+        linked.setdefault(row["row"], set()).add((row["start"], row["end"], row["kind"]))
+    for key, found in stored.items():
+        expected = set()
+        for a in found:
+            for b in found:
+                apart = max(a["start"] - b["end"], b["start"] - a["end"])
+                roles = [credentials.ROLES[x["kind"]] == "secret" for x in (a, b)]
+                if a["kind"] in credentials.WEAK and roles[0] != roles[1] and apart <= 300:
+                    expected.add((a["start"], a["end"], a["kind"]))
+        assert linked.get(key, set()) == expected
+
+
+def test_redaction_keeps_rows_and_columns(odd_docs, no_docs):
+    rows = credentials.redact_documents(odd_docs).collect()
+    assert len(rows) == 15 and rows[0].asDict().keys() == odd_docs.head().asDict().keys()
+    assert sum(row["text"] is None for row in rows) == 2
+    assert all("abcdef123" not in (row["text"] or "") for row in rows)
+    assert {row["row"] for row in rows} == {7}
+    assert credentials.redact_documents(no_docs).count() == 0

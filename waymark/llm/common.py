@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
+import tempfile
+import zipfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -23,9 +25,27 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_ROWS = 100_000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="waymark-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))  # Spark hands it to every executor
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> None:
     """Session settings of the text operators, where nothing else is set."""
     tune(spark)
+    ship_package(spark)
     if ARROW_ROWS not in {key for key, _ in spark.sparkContext.getConf().getAll()}:
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
@@ -59,6 +79,16 @@ def lower_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+# ASCII punctuation as blanks, for operators that look at bare words.
+_punctuation = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_blanked = bytes.maketrans(_punctuation, b" " * len(_punctuation))
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words in lower case (A-Z) with ASCII punctuation taken as blanks."""
+    return text.encode("utf-8", "surrogatepass").lower().translate(_blanked).split()
+
+
 def word_hashes(tokens: list[bytes]) -> np.ndarray:
     """64-bit hashes of the words, in order."""
     digest = xxhash.xxh64_intdigest
@@ -140,7 +170,3 @@ def bounded_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFram
     if table.limit(limit + 1).count() <= limit:
         return F.broadcast(table)
     return table
-
-
-def crc_of(value: bytes) -> int:
-    return zlib.crc32(value)

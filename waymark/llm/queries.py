@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe_lexicon, credentials, disclosure, line_rules, url_trees
+import corpus_pipeline
+from waymark.llm import (
+    bpe_lexicon,
+    credentials,
+    disclosure,
+    hidden_markov,
+    host_suffixes,
+    line_rules,
+    seed_align,
+    signature_tree,
+    toxic_cnn,
+    url_trees,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +32,32 @@ def op1_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.digests(found)
 
 
+def op2_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op3_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.digests(bpe_lexicon.encode(_table(spark, sf_dir, "documents")))
 
 
+def op4_toxic_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxic_cnn.classify(documents, labels)
+
+
+def op5_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return seed_align.find_passages(documents, benchmark)
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.apply_rules(_table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.find_secrets(_table(spark, sf_dir, "documents"))
     return credentials.digests(found)
@@ -37,14 +67,24 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trees.judge(_table(spark, sf_dir, "pages"))
 
 
+def op10_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_suffixes.main_text(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op1_disclosure": op1_disclosure,
-        "op3_bpe_lexicon": op3_bpe_lexicon,
-        "op6_line_rules": op6_line_rules,
-        "op8_credentials": op8_credentials,
-        "op9_url_trees": op9_url_trees,
-    }
+    found = [
+        op1_disclosure,
+        op2_signature_tree,
+        op3_bpe_lexicon,
+        op4_toxic_cnn,
+        op5_seed_align,
+        op6_line_rules,
+        op7_hidden_markov,
+        op8_credentials,
+        op9_url_trees,
+        op10_host_suffixes,
+    ]
+    return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
