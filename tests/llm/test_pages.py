@@ -118,7 +118,7 @@ def test_markup():
 
 def test_repeats_decide_where_nothing_is_marked():
     shared = "this line of ten words stands on every page here"
-    own = [f"page {i} has a body text of its own number {i} {i + 1} {i + 2}" for i in range(6)]
+    own = [" ".join(f"word{i}{j}" for j in range(12)) for i in range(6)]
     pages = [f"<div>{shared}</div><div>{text}</div>" for text in own]
     assert host_suffixes.extract(pages) == own
     # Copies of one page do not remove each other.

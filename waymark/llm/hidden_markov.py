@@ -93,7 +93,7 @@ def expected_counts(
     states = np.empty_like(chance)
     for t in range(SEGMENT - 1, -1, -1):
         states[t] = forward[t] * backward
-        starts += states[t][opens[t]].sum(axis=0)
+        starts += states[t][opens[t] & (steps[t] != blank)].sum(axis=0)
         if t:
             ahead = chance[t] * backward / scale[t][:, None]
             inside = ~opens[t] & (steps[t] != blank)
