@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.session import work_folder
+from waymark.session import materialise, work_folder
 from waymark.sources.layouts import LAYOUTS, RAW_PREFIX, TABLES
 
 _SQL_TYPES = {
@@ -304,8 +304,21 @@ def record_rows(spark: SparkSession, sf_dir: str, record_type: str) -> DataFrame
     return rows
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return record_rows(spark, sf_dir, TABLES[table].record_type)
+    """Rows of a landing table, stored once per session in a file per core.
+
+    The given tables are one file each; planned and naive plans read the same
+    splits.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir, table)
+    if known not in _stored:
+        rows = record_rows(spark, sf_dir, TABLES[table].record_type)
+        cores = spark.sparkContext.defaultParallelism
+        _stored[known] = materialise(rows.repartition(cores), table)
+    return _stored[known]
 
 
 def address_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import derived
@@ -12,10 +13,11 @@ from checks.oracle import WORDS
 from waymark.functions import codes, ranges, text, tokens
 from waymark.operators import lookups, skew
 from waymark.operators.skew import Side
-from waymark.plans import status, views
+from waymark.plans import releases, status, views
+from waymark.plans.releases import Releases
 from waymark.session import materialise, tune, work_folder
 from waymark.sources import integrity, landing, listing, raw, typed
-from waymark.sources.layouts import LAYOUTS
+from waymark.sources.layouts import LAYOUTS, RAW_PREFIX
 from waymark.streaming import loads, statuses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +267,156 @@ def _stream_load_counts(spark, sf_dir):
     return landing.row_counts(spark, release)
 
 
+def _stream_two_sources(spark, sf_dir):
+    """Two streams with the same lines load into one release."""
+    release = _release(spark, "streams")
+    for _ in range(2):
+        loads.load_stream(
+            spark, release, derived.raw_folder(spark, sf_dir), work_folder(spark, "progress")
+        ).awaitTermination()
+    return landing.row_counts(spark, release)
+
+
+def _load_record_files(spark, sf_dir):
+    """Split, headered files of every type, loaded into the nine tables."""
+    split, target = work_folder(spark, "split"), work_folder(spark, "records")
+    raw.write_split(raw.route(_raw(spark, sf_dir)), split)
+    raw.write_record_files(raw.read_split(spark, split), target)
+    release = _release(spark, "records")
+    landing.load_record_files(spark, release, "b0", target)
+    return landing.row_counts(spark, release)
+
+
+def _load_rejects(spark, sf_dir):
+    """Bad lines among the raw ones: what is loaded, and what comes back."""
+    nations = derived.source_table(spark, sf_dir, "nation")
+    bad = nations.selectExpr("'77,' || n_name as value").union(
+        nations.selectExpr("'24,' || n_name as value")
+    )
+    release = _release(spark, "rejects")
+    lines = _raw(spark, sf_dir).select("value").union(bad)
+    rejects = landing.load_lines_lenient(
+        spark, release, "b0", lines, work_folder(spark, "split")
+    )
+    loaded = landing.row_counts(spark, release).selectExpr(
+        "'loaded' as outcome", "table_name as name", "row_count as n"
+    )
+    return loaded.union(
+        rejects.groupBy(F.coalesce("record_type", F.lit("unknown")).alias("name"))
+        .agg(F.count("*").alias("n"))
+        .selectExpr("'rejected'", "name", "n")
+    )
+
+
+# -- the life of a release, run once per session and input --------------------
+
+_cycles: dict[tuple[str, str], tuple[Releases, list[str]]] = {}
+
+
+def _cycle(spark, sf_dir) -> tuple[Releases, list[str]]:
+    """Three releases: one published, one superseded and dropped, one new.
+
+    The first is loaded batch by batch from assigned files.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _cycles:
+        stem = work_folder(spark, "x")[-8:]
+        work = Releases(spark, control=f"control_{stem}", public=f"public_{stem}")
+        created = [datetime(2024, month, 1) for month in (1, 2, 3)]
+        names = [f"ab{stem}_{day:%Y%m%d_%H%M%S}" for day in created]
+        for name in [work.control, work.public, *names]:
+            spark.sql(f"CREATE DATABASE `{name}` LOCATION '{work_folder(spark, name)}'")
+        first = work.initialise(stem, created[0])
+        files = listing.list_files(spark, derived.raw_folder(spark, sf_dir), f"{RAW_PREFIX}*")
+        work.load_batches(first, listing.assign_batches(files.select("path")))
+        work.build_lookup(first)
+        work.finalise(first)
+        work.build_combined(first)
+        for day in created[1:]:
+            work.initialise(stem, day)
+        _cycles[known] = (work, names)
+    return _cycles[known]
+
+
+def _numbered(names: list[str], column: str = "schema_name"):
+    place = F.array_position(F.array(*map(F.lit, names)), c(column))
+    return place.cast("int").alias("release")
+
+
+def _cycle_log(spark, sf_dir):
+    work, names = _cycle(spark, sf_dir)
+    log = spark.table(work.log_table)
+    order = Window.partitionBy("schema_name").orderBy("seq")
+    return log.select(
+        _numbered(names), F.row_number().over(order).cast("int").alias("step"), "status"
+    )
+
+
+def _cycle_live(spark, sf_dir):
+    work, names = _cycle(spark, sf_dir)
+    return work.list_databases().filter(c("schema_name").isin(names)).select(_numbered(names))
+
+
+def _cycle_status(spark, sf_dir):
+    work, names = _cycle(spark, sf_dir)
+    found = [(i + 1, work.status(names[i])["status"], work.lookup_exists(names[i])) for i in (0, 2)]
+    return spark.createDataFrame(found, "release int, status string, lookup_exists boolean")
+
+
+def _cycle_progress(spark, sf_dir):
+    _, names = _cycle(spark, sf_dir)
+    return spark.table(f"`{names[0]}`.progress").select("result", "messages")
+
+
+def _cycle_counts(spark, sf_dir):
+    _, names = _cycle(spark, sf_dir)
+    return landing.row_counts(spark, names[0])
+
+
+def _cycle_streets(spark, sf_dir):
+    work, names = _cycle(spark, sf_dir)
+    return work.street_counts([names[0], names[2]]).select(_numbered(names), "n")
+
+
+def _public(table: str) -> Query:
+    return lambda spark, sf_dir: _shown(_cycle(spark, sf_dir)[0].public_table(table))
+
+
+def _stored(spark, sf_dir, table: str):
+    """A published table as it is stored: clustered, with Bloom filters."""
+    return spark.table(f"`{_cycle(spark, sf_dir)[1][0]}`.`{table}`")
+
+
+def _stored_find(table: str, column: str, *values) -> Query:
+    return lambda spark, sf_dir: _shown(
+        lookups.find(_stored(spark, sf_dir, table), column, *values)
+    )
+
+
+def _stored_words(table: str, words: str) -> Query:
+    def query(spark, sf_dir):
+        work, names = _cycle(spark, sf_dir)
+        return _shown(work.find_words(names[0], words, table))
+
+    return query
+
+
+def _salted(query: Query) -> Query:
+    """The same view with every table measured and every key cut at 20 rows."""
+    settings = {skew.MIN_BYTES_KEY: "0", skew.PART_ROWS_KEY: "20"}
+
+    def run(spark, sf_dir):
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            return materialise(query(spark, sf_dir), "salted")
+        finally:
+            for key in settings:
+                spark.conf.unset(key)
+
+    return run
+
+
 def _batch_files(spark, sf_dir):
     return listing.assign_batches(derived.files(spark, sf_dir).select("path"))
 
@@ -388,7 +540,7 @@ def _status_stream(spark, sf_dir):
     derived.status_log(spark, sf_dir).write.parquet(transitions)
     stream = statuses.status_stream(spark, transitions)
     statuses.keep_latest(stream, target, work_folder(spark, "progress")).awaitTermination()
-    return spark.read.parquet(target)
+    return statuses.read_latest(spark, target)
 
 
 def _where(query: Query, column: str, *values) -> Query:
@@ -523,6 +675,32 @@ _QUERIES: dict[str, Query] = {
     "width_check": _width,
     "width_check_documents": _width_documents,
     "stream_load_counts": _stream_load_counts,
+    "stream_two_sources": _stream_two_sources,
+    "load_record_files": _load_record_files,
+    "load_rejects": _load_rejects,
+    # the life of a release
+    "release_log": _cycle_log,
+    "releases_live": _cycle_live,
+    "release_status": _cycle_status,
+    "combined_progress": _cycle_progress,
+    "load_batches_counts": _cycle_counts,
+    "street_counts": _cycle_streets,
+    "public_lookup": _public(releases.LOOKUP),
+    "public_combined": _public(releases.COMBINED),
+    "stored_find_uprn": _stored_find(releases.LOOKUP, "uprn", 2, 40, 77, 128),
+    "stored_find_postcode": _stored_find(
+        releases.LOOKUP, "postcode", "LY3 3AB", "JY42 6AB", "MY48 3AB"
+    ),
+    "stored_find_outcode": _stored_find(releases.LOOKUP, "outcode", "LY3", "JY42"),
+    "stored_find_town": _stored_find(releases.LOOKUP, "posttown", "TOWN 3"),
+    "stored_find_words": _stored_words(releases.LOOKUP, " ".join(WORDS)),
+    "stored_combined_find_uprn": _stored_find(releases.COMBINED, "uprn", 3, 40, 77, 129),
+    "stored_combined_find_postcode": _stored_find(
+        releases.COMBINED, "post_code", "LY3 3AB", "JE4 4AB", "GY13 4AB"
+    ),
+    "stored_combined_find_words": _stored_words(releases.COMBINED, "town 3 loc"),
+    "lookup_view_salted": _salted(lambda spark, sf_dir: _shown(_lookup(spark, sf_dir))),
+    "geographic_view_salted": _salted(lambda spark, sf_dir: _shown(_geographic(spark, sf_dir))),
     # releases
     "release_names": lambda spark, sf_dir: derived.source_table(spark, sf_dir, "events").select(
         "event_id",

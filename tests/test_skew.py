@@ -31,11 +31,14 @@ def test_small_tables_are_not_measured(spark, folder):
     assert side.heavy == {} and side.tag is None
 
 
-def test_heavy_keys_of_many_rows_few_rows_and_none(spark):
+def test_heavy_keys_of_many_rows_few_rows_and_none(spark, request):
     rows = spark.range(1_000_000).selectExpr(
         "case when id % 100 < 3 then id % 100 when id % 250 = 50 then -5 else id end as k",
         "if(id % 3 = 0, 'it''s', string(id)) as s",
     )
+    assert skew.heavy_keys(rows, "k", "s") == {"k": {}, "s": {}}  # all fit one task
+    spark.conf.set(skew.PART_ROWS_KEY, "1500")
+    request.addfinalizer(lambda: spark.conf.unset(skew.PART_ROWS_KEY))
     found = skew.heavy_keys(rows, "k", "s")
     assert set(found["k"]) == {0, 1, 2, -5} and set(found["s"]) == {"it's"}
     assert skew.heavy_keys(rows.filter("k = -77"), "k", "s") == {"k": {}, "s": {}}

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrame
 
 from checks import derived
 from waymark.session import estimated_bytes, work_folder
@@ -52,6 +53,9 @@ def test_bad_lines_fail_or_are_rejected(spark, bad):
     assert [r.value for r in rejected.collect()] == [bad]
     with pytest.raises(Exception, match="malformed|too wide"):
         typed.parse(lines(spark, bad), SMALL).collect()
+    for read in (DataFrame.count, lambda rows: rows.select(SMALL.columns[-1]).collect()):
+        with pytest.raises(Exception, match="(?s)malformed|wide"):
+            read(typed.parse(lines(spark, bad), SMALL))
 
 
 def test_trailing_blanks_are_cut_to_width(spark):
@@ -66,6 +70,9 @@ def test_routing_of_unknown_lines(spark, bad):
     assert [r.value for r in rejected.collect()] == [bad]
     with pytest.raises(Exception, match="no such record type"):
         raw.route(lines(spark, bad)).collect()
+    for read in (DataFrame.count, lambda rows: rows.select("value").collect()):
+        with pytest.raises(Exception, match="no such record type"):
+            read(raw.route(lines(spark, bad)))
 
 
 def test_raw_selection_skips_other_files(spark):

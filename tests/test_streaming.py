@@ -17,7 +17,7 @@ def test_stream_and_batch_load_the_same(spark, folder):
     assert len(batches) == 2  # 25 files: 20 and 5
     landing.load_raw_batch(spark, "st_batch", "b0", source)
     for table in TABLES:
-        a = spark.table(f"st_stream.{table}").drop("batch")
+        a = landing.stored(spark, "st_stream", table).drop("batch")
         b = spark.table(f"st_batch.{table}").drop("batch")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -30,6 +30,21 @@ def test_latest_status_follows_the_stream(spark, folder):
         log.filter(condition).write.mode("append").parquet(transitions)
         stream = statuses.status_stream(spark, transitions)
         statuses.keep_latest(stream, table, f"{folder}/progress").awaitTermination()
-    found = spark.read.parquet(table)
+    found = statuses.read_latest(spark, table)
     expected = status.latest(log)
     assert found.exceptAll(expected).count() == 0 and expected.exceptAll(found).count() == 0
+
+
+def test_two_streams_into_one_release(spark, folder):
+    landing.create_tables(spark, "st_two")
+    totals = []
+    for part, count in (("a", 3), ("b", 2)):
+        lines = derived.raw_lines(spark, SF).filter("value like '21,%'").limit(count)
+        lines.coalesce(1).write.option("mapreduce.output.basename", "AddressBasePremium").text(
+            f"{folder}/{part}"
+        )
+        loads.load_stream(
+            spark, "st_two", f"{folder}/{part}", f"{folder}/progress-{part}"
+        ).awaitTermination()
+        totals.append(landing.tables(spark, "st_two")["abp_blpu"].count())
+    assert totals == [3, 5]

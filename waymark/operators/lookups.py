@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import text, tokens
-from waymark.operators import skew
 
 
 _BITS = 60  # lexemes per 64-bit number
@@ -80,6 +79,4 @@ def find_words(
     if token_rows is None:
         return view.filter(matches)
     candidates = keys_with_all(token_rows, lexemes, key)
-    return skew.semi_join(skew.measured(view, "_view_tag", key), candidates, key).filter(
-        matches
-    ).drop("_view_tag")
+    return view.join(candidates, key, "left_semi").filter(matches)

@@ -1,8 +1,8 @@
 """Equi-joins that stay balanced when one key holds a large part of the rows.
 
 Adaptive execution already splits moderately large partitions. For tables big
-enough to matter, the few keys that hold at least 0.2 percent of a table are
-found with a bounded sketch. The table that holds most rows of such a key is
+enough to matter, the keys with more rows than a task may get are found with a
+bounded sketch. The table that holds most rows of such a key is
 spread over salted parts by row position; the other tables repeat their rows of
 that key once per part. Every pair of rows still meets exactly once.
 """
@@ -14,11 +14,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import quoted
-from waymark.session import estimated_bytes, fill_cores
+from waymark.session import estimated_bytes
 
 SALT = "_salt"
 
@@ -29,9 +29,8 @@ MIN_BYTES = 256 * 1024 * 1024
 PART_ROWS_KEY = "spark.waymark.skew.partRows"
 PART_ROWS = 2_000_000
 
-HOT_SHARE = 0.002
-HOT_KEYS = 500  # no more keys than this can have that share
-TRACKED = 4096  # sketch size: misses no key above 0.1 percent of the rows
+HOT_KEYS = 5000
+TRACKED = 65_536  # sketch size: misses no key above 1/65,536 of the rows
 MERGE_TASKS = 256
 
 
@@ -56,13 +55,17 @@ class Side:
         return [self.tag] if self.tag else []
 
 
+def part_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(PART_ROWS_KEY, str(PART_ROWS)))
+
+
 def is_large(df: DataFrame) -> bool:
     limit = int(df.sparkSession.conf.get(MIN_BYTES_KEY, str(MIN_BYTES)))
     return estimated_bytes(df) >= limit
 
 
 def heavy_keys(df: DataFrame, *keys: str) -> dict[str, dict]:
-    """Per key column the values that hold 0.2 percent of the rows or more.
+    """Per key column the values with more rows than one task may get.
 
     Every task sends one sketch of bounded size per key; the sketches are
     merged in groups first, so the last task never gets one per input split.
@@ -86,29 +89,26 @@ def heavy_keys(df: DataFrame, *keys: str) -> dict[str, dict]:
     )
     if found is None:
         return {key: {} for key in keys}
-    least = HOT_SHARE * found["_rows"]
+    least = part_rows(df.sparkSession)
     return {
         key: {
             item["item"]: item["count"]
             for item in found[key] or []
-            if item["item"] is not None and item["count"] >= least
+            if item["item"] is not None and item["count"] > least
         }
         for key in keys
     }
 
 
-def measured(scan: DataFrame, tag: str, *keys: str, drives: bool = False) -> Side:
+def measured(scan: DataFrame, tag: str, *keys: str) -> Side:
     """A plain (filtered) scan as a join side; heavy keys found if it is large.
 
-    ``drives`` marks an input with many rows, which decides how many tasks the
-    joins run in when the tables are small.
-
     The rows are numbered by their position in the input split. That is the
     same on every attempt of a task, which a random salt, or a number given
     after a shuffle, would not be. A table without heavy keys gets no tag.
     """
     if not is_large(scan):
-        return Side(fill_cores(scan) if drives else scan)
+        return Side(scan)
     heavy = heavy_keys(scan, *keys)
     if not any(heavy.values()):
         return Side(scan)
@@ -156,11 +156,10 @@ def _spread(sides: list[Side], key: str, repeat_if: Column | None = None) -> _Sp
     """
     counts = [side.heavy.get(key, {}) for side in sides]
     owned: list[dict] = [{} for _ in sides]
-    session = sides[0].rows.sparkSession
-    part_rows = int(session.conf.get(PART_ROWS_KEY, str(PART_ROWS)))
+    limit = part_rows(sides[0].rows.sparkSession)
     for value in {v for found in counts for v in found}:
         sizes = [found.get(value, 0) for found in counts]
-        parts = math.ceil(max(sizes) / part_rows)
+        parts = math.ceil(max(sizes) / limit)
         if parts > 1:
             owned[sizes.index(max(sizes))][value] = parts
     if not any(owned):

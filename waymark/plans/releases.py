@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from waymark.functions import tokens
 from waymark.operators import lookups
 from waymark.plans import status, views
-from waymark.session import tune
-from waymark.sources import landing
+from waymark.session import clear_work_folders, materialise, tune
+from waymark.sources import landing, listing
 
 LOOKUP = "lookup"
 LOOKUP_TOKENS = "lookup_tokens"
@@ -99,12 +99,21 @@ class Releases:
             raise LookupError(f"{len(rows)} status rows for {release}")
         return {"status": rows[0]["status"], "errorMessage": rows[0]["error_message"]}
 
+    def close(self) -> None:
+        """Remove this process' work folders; for the end of a job."""
+        clear_work_folders(self.spark)
+
     # -- lifecycle --------------------------------------------------------
 
     def initialise(self, epoch: str, created: datetime | None = None) -> str:
         """Retire superseded releases, then create the tables of a new one."""
         created = created or datetime.now(timezone.utc)
-        release = checked_name(f"ab{epoch}_{created:%Y%m%d_%H%M%S}")
+        if created.tzinfo is None:
+            created = created.replace(tzinfo=timezone.utc)
+        named = self.spark.createDataFrame([(epoch, created)], "epoch string, created timestamp")
+        release = checked_name(
+            named.select(status.release_name(F.col("epoch"), F.col("created"))).head()[0]
+        )
         self.ensure_status_log()
         self.drop(self.superseded())
         landing.create_tables(self.spark, release)
@@ -115,30 +124,74 @@ class Releases:
         return [row["schema_name"] for row in status.to_drop(self.current()).collect()]
 
     def drop(self, releases: list[str]) -> None:
+        """Remove releases; public views of theirs go first."""
         for release in releases:
+            for table in (LOOKUP, COMBINED):
+                if self.public_release(table) == release:
+                    self.spark.sql(f"DROP VIEW {self._public_view(table)}")
             self.spark.sql(f"DROP DATABASE IF EXISTS `{checked_name(release)}` CASCADE")
             self.record(release, status.DROPPED)
 
+    def public_release(self, table: str = LOOKUP) -> str | None:
+        """The release a public view shows."""
+        view = self._public_view(table)
+        if not self.spark.catalog.tableExists(view.replace("`", "")):
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {view}").collect()
+        return {row["key"]: row["value"] for row in rows}.get("release")
+
+    def compact_log(self) -> None:
+        """Rewrite the status log, one small file per transition, as one file."""
+        rows = materialise(self.spark.table(self.log_table), "status-log")
+        rows.coalesce(1).write.mode("overwrite").insertInto(self.log_table)
+
     def list_databases(self) -> DataFrame:
         return self.spark.sql("SHOW DATABASES").select(F.col("namespace").alias("schema_name"))
 
-    def load(self, release: str, batch: str, directory: str) -> int:
+    def load(self, release: str, batch: str, source: str | list[str]) -> int:
+        """Load a batch: a directory of raw files, or the files of the batch."""
         return landing.load_raw_batch(
-            self.spark, checked_name(release), checked_name(f"b{batch}"), directory
+            self.spark, checked_name(release), checked_name(f"b{batch}"), source
         )
 
+    def load_batches(self, release: str, assigned: DataFrame) -> int:
+        """Load assigned files (``path``, ``batch``) batch by batch.
+
+        A batch that was loaded before is replaced, so a broken run is repeated
+        as a whole or from any batch on.
+        """
+        batches = listing.batch_contents(assigned).orderBy("batch").toLocalIterator()
+        number = 0
+        for row in batches:  # one row of at most 20 paths at a time
+            self.load(release, str(row["batch"]), row["files"])
+            number += 1
+        return number
+
     def lookup_exists(self, release: str) -> bool:
         return self.spark.catalog.tableExists(f"{checked_name(release)}.{LOOKUP}")
 
     # -- builds -----------------------------------------------------------
 
     def _save(self, rows: DataFrame, release: str, table: str, *bloom: str) -> None:
+        """Write a new version, then point the table's name at it.
+
+        Readers see the old version until the new one is complete. The version
+        before the old one goes.
+        """
+        version = f"{table}_v{time.time_ns()}"
         (
-            rows.write.mode("overwrite")
-            .format("parquet")
+            rows.write.format("parquet")
             .options(**lookups.bloom_filtered(*bloom))
-            .saveAsTable(f"`{release}`.`{table}`")
+            .saveAsTable(f"`{release}`.`{version}`")
+        )
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW `{release}`.`{table}` AS SELECT * FROM `{release}`.`{version}`"
         )
+        listed = self.spark.sql(f"SHOW TABLES IN `{release}` LIKE '{table}_v*'").collect()
+        mine = re.compile(rf"{table}_v[0-9]+")
+        versions = sorted(r["tableName"] for r in listed if mine.fullmatch(r["tableName"]))
+        for old in versions[:-2]:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{release}`.`{old}`")
 
     def build_lookup(self, release: str, postcode_mode: str = "literal") -> None:
         """Write the lookup and its token table, with status steps.
@@ -150,8 +203,12 @@ class Releases:
         self.record(release, next(steps))
         try:
             landing.measure_sizes(self.spark, checked_name(release))
-            rows = views.lookup_rows(landing.tables(self.spark, release))
-            rows = lookups.clustered(rows, "uprn", *views.tie_columns(rows))
+            # Stored before it is sorted: a range exchange samples its input,
+            # which would otherwise work out the joins a second time.
+            rows = materialise(
+                views.lookup_rows(landing.tables(self.spark, release)), "lookup-rows"
+            )
+            rows = lookups.clustered(rows, "uprn", "usrn", *views.tie_columns(rows))
             view = views.shape_lookup(rows, postcode_mode)
             self._save(
                 lookups.with_outcode(view), release, LOOKUP, "uprn", "postcode", "outcode",
@@ -160,14 +217,15 @@ class Releases:
             self.record(release, next(steps))
             stored = self.spark.table(f"`{release}`.`{LOOKUP}`")
             self._save_tokens(stored, release, LOOKUP_TOKENS)
+            # The filters on the key columns were written with the lookup.
             for step in steps:
                 self.record(release, step)
         except Exception as failure:
-            self.record(release, status.ERRORED, str(failure)[:2000])
+            self.record(release, status.ERRORED, str(failure))
             raise
 
     def _save_tokens(self, view: DataFrame, release: str, table: str) -> None:
-        rows = lookups.token_table(view).distinct()
+        rows = materialise(lookups.token_table(view).distinct(), "token-rows")
         self._save(
             lookups.clustered(rows, "lexeme", "uprn", "positions"), release, table, "lexeme"
         )
@@ -182,8 +240,22 @@ class Releases:
         progress = f"`{release}`.`{PROGRESS}`"
         self.spark.sql(f"DROP TABLE IF EXISTS {progress}")
         self.spark.sql(f"CREATE TABLE {progress} (result BOOLEAN, messages STRING) USING parquet")
+        try:
+            self._build_combined(release, progress)
+        except Exception as failure:
+            self._progress(progress, str(failure), done=False)
+            raise
+        allowed = force or self.within_tolerance(release)
+        if allowed:
+            self._publish_view(release, COMBINED, views.COMBINED_COLUMNS)
+        return allowed
+
+    def _build_combined(self, release: str, progress: str) -> None:
         lookup = self.spark.table(f"`{release}`.`{LOOKUP}`")
-        combined = views.combined_view(landing.tables(self.spark, release), lookup)
+        # Stored first, as in build_lookup.
+        combined = materialise(
+            views.combined_view(landing.tables(self.spark, release), lookup), "combined-rows"
+        )
         self._progress(progress, COMBINED_STEPS[0])
         self._save(
             lookups.clustered(combined, "uprn", "organisation_name", "line1", "line2"),
@@ -197,13 +269,10 @@ class Releases:
         self._save_tokens(stored, release, COMBINED_TOKENS)
         for step in COMBINED_STEPS[2:]:
             self._progress(progress, step)
-        allowed = force or self.within_tolerance(release)
-        if allowed:
-            self._publish_view(release, COMBINED, views.COMBINED_COLUMNS)
-        return allowed
 
-    def _progress(self, table: str, message: str) -> None:
-        self.spark.sql(f"INSERT INTO {table} VALUES (true, '{message}')")
+    def _progress(self, table: str, message: str, done: bool = True) -> None:
+        row = self.spark.createDataFrame([(done, message)], "result boolean, messages string")
+        row.coalesce(1).write.mode("append").insertInto(table)
 
     # -- publication ------------------------------------------------------
 
@@ -233,27 +302,40 @@ class Releases:
     def within_tolerance(self, release: str) -> bool:
         return self._decision(release)["within_tolerance"]
 
-    def finalise(self, release: str, force: bool = False) -> dict[str, bool]:
+    def finalise(
+        self, release: str, force: bool = False, directories: DataFrame | None = None
+    ) -> dict:
         """Publish a completed release of plausible size.
 
         The result keeps the tolerance outcome and whether it was published.
+        With ``directories`` (the epochs' input folders) a published release
+        comes with its ``cleanup``: which of them stay. Nothing is deleted.
         """
         decision = self._decision(release)
         publish = bool(decision["proceed"]) or force
         if publish:
             self.publish(release)
-        return {"within_tolerance": decision["within_tolerance"], "published": publish}
+        result = {"within_tolerance": decision["within_tolerance"], "published": publish}
+        if publish and directories is not None:
+            epoch = re.fullmatch(r"ab(.*)_\d{8}_\d{6}", release)
+            result["cleanup"] = status.cleanup_plan(directories, epoch[1] if epoch else release)
+        return result
 
     def publish(self, release: str) -> None:
-        """Point the public lookup at the release; its timestamp stays."""
-        self._publish_view(release, LOOKUP, views.LOOKUP_COLUMNS)
+        """Point the public lookup at the release; its timestamp stays.
+
+        The record comes first: a release that is public is never taken for a
+        superseded one, whatever happens in between.
+        """
         row = self.current().filter(F.col("schema_name") == release).head()
         self.record(release, status.FINALISED, row["error_message"], row["timestamp"])
+        self._publish_view(release, LOOKUP, views.LOOKUP_COLUMNS)
 
     def _publish_view(self, release: str, table: str, columns: list[str]) -> None:
         listed = ", ".join(f"{name} AS {self.public_names.get(name, name)}" for name in columns)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._public_view(table)} AS "
+            f"CREATE OR REPLACE VIEW {self._public_view(table)} "
+            f"TBLPROPERTIES ('release' = '{checked_name(release)}') AS "
             f"SELECT {listed} FROM `{checked_name(release)}`.`{table}`"
         )
 

@@ -23,7 +23,6 @@ LOOKUP_STEPS = (
     "outcodecode_index_created",
     "posttown_index_created",
     "uprn_index_created",
-    "public_view_created",
     COMPLETED,
 )
 TOLERANCE_PERCENT = 0.3

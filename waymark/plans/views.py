@@ -57,7 +57,7 @@ Tables = Mapping[str, DataFrame]
 
 def delivery_points(tables: Tables) -> Side:
     scan = tables["abp_delivery_point"].select(*_DELIVERY_COLUMNS)
-    return skew.measured(scan.filter("uprn is not null"), "_delivery_tag", "uprn", drives=True)
+    return skew.measured(scan.filter("uprn is not null"), "_delivery_tag", "uprn")
 
 
 def lookup_properties(tables: Tables) -> Side:
@@ -70,7 +70,7 @@ def approved_identifiers(tables: Tables) -> Side:
     approved = (F.col("logical_status") == codes.APPROVED) & (F.col("language") == codes.ENGLISH)
     scan = tables["abp_lpi"].filter(approved).filter("uprn is not null and usrn is not null")
     return skew.measured(
-        scan.select("uprn", "usrn", "language"), "_identifier_tag", "uprn", "usrn", drives=True
+        scan.select("uprn", "usrn", "language"), "_identifier_tag", "uprn", "usrn"
     )
 
 
@@ -148,7 +148,6 @@ def identifiers_on_streets(tables: Tables) -> Side:
         "_identifier_tag",
         "uprn",
         "usrn",
-        drives=True,
     )
     streets = tables["abp_street_descriptor"].filter("usrn is not null")
     descriptors = streets.select(

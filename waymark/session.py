@@ -36,10 +36,13 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test) gets a temporary one.
+    Only a local session without that setting (a test) gets a temporary one;
+    executors of a cluster could not reach it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="waymark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -86,21 +89,3 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes for plain scans)."""
     plan = df._jdf.queryExecution().optimizedPlan()
     return int(str(plan.stats().sizeInBytes()))
-
-
-SMALL_BYTES = 64 * 1024 * 1024
-SMALL_PARTS = 32
-
-
-def fill_cores(scan: DataFrame) -> DataFrame:
-    """Spread a small scan that arrives in fewer splits than there are cores.
-
-    A table of a few megabytes is one split, and everything joined to it by
-    broadcast would run in one task. Larger tables have splits enough and are
-    left alone, so no shuffle is added where it would cost anything.
-    """
-    cores = min(scan.sparkSession.sparkContext.defaultParallelism, SMALL_PARTS)
-    if estimated_bytes(scan) >= SMALL_BYTES:
-        return scan
-    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return scan.repartition(cores) if splits < cores else scan

@@ -7,17 +7,23 @@ from pyspark.sql import functions as F
 
 # Bundle names and the size each must exceed, in bytes (fixed values).
 BUNDLE_PATTERN = "^AB..(GB|IS)_CSV.zip$"
+LARGEST_VALUE = 2**31 - 1
 MINIMUM_BYTES = {"GB": 9_500_000_000, "IS": 150_000_000}
 
 
 def file_checksums(spark: SparkSession, directory: str) -> DataFrame:
-    """MD5 of every file below a directory (files under 2 GB)."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(directory)
-        .select("path", "length", F.md5("content").alias("md5"))
+    """MD5 of every file below a directory.
+
+    A file is one value here, which holds 2 GB at most; a larger one fails with
+    its name (by its listed length, before it is read).
+    """
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
     )
+    failure = F.raise_error(F.concat(F.lit("too large for one value: "), "path"))
+    return files.filter(
+        F.when(F.col("length") < LARGEST_VALUE, True).otherwise(failure.cast("boolean"))
+    ).select("path", "length", F.md5("content").alias("md5"))
 
 
 def checksum_report(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators.lookups import bloom_filtered
-from waymark.session import delete_folder, work_folder
+from waymark.session import delete_folder, materialise, work_folder
 from waymark.sources import raw, typed
 from waymark.sources.layouts import TABLE_FILES, TABLES
 
@@ -74,15 +74,19 @@ def _append_all(
     return len(rows_of)
 
 
-def load_raw_batch(spark: SparkSession, release: str, batch: str, directory: str) -> int:
-    """Load one batch of raw files; returns the number of tables loaded.
+def load_raw_batch(
+    spark: SparkSession, release: str, batch: str, source: str | list[str]
+) -> int:
+    """Load one batch of raw files (a directory, or the files of the batch).
+
+    Returns the number of tables loaded.
 
     The raw text is scanned once. It is split by record type in the shared
     folder and every table then reads only its own lines.
     """
     staging = work_folder(spark, "split")
     try:
-        return load_lines(spark, release, batch, raw.read_raw(spark, directory), staging)
+        return load_lines(spark, release, batch, raw.read_raw(spark, source), staging)
     finally:
         delete_folder(spark, staging)
 
@@ -120,18 +124,49 @@ def measure_sizes(spark: SparkSession, release: str) -> None:
         spark.sql(f"ANALYZE TABLE `{release}`.`{table}` COMPUTE STATISTICS NOSCAN")
 
 
+def stored(spark: SparkSession, release: str, table: str) -> DataFrame:
+    """A landing table with the files it has now; streams write in own sessions."""
+    name = f"`{release}`.`{table}`"
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
     return {
-        name: spark.table(f"`{release}`.`{name}`").select(*layout.columns)
+        name: stored(spark, release, name).select(*layout.columns)
         for name, layout in TABLES.items()
     }
 
 
+def load_lines_lenient(
+    spark: SparkSession, release: str, batch: str, lines: DataFrame, staging: str
+) -> DataFrame:
+    """Load what can be parsed; the rest comes back as rejects.
+
+    Rejects: record_type (NULL where no known one was found), problem, value.
+    They are stored in the shared folder.
+    """
+    known, unknown = raw.route_lenient(lines)
+    raw.write_split(known, staging)
+    split = raw.read_split(spark, staging)
+    rows_of, rejected = {}, unknown.select(
+        F.lit(None).cast("string").alias("record_type"),
+        F.lit("no such record type").alias("problem"),
+        "value",
+    )
+    for table, layout in TABLES.items():
+        own = split.filter(F.col("record_type") == layout.record_type)
+        rows_of[table], bad = typed.parse_lenient(own, layout)
+        rejected = rejected.unionByName(bad)
+    _append_all(spark, release, batch, rows_of)
+    return materialise(rejected, "rejects")
+
+
 def row_counts(spark: SparkSession, release: str) -> DataFrame:
     """Rows per landing table, counted in the tasks."""
     counted = None
     for table in TABLES:
-        one = spark.table(f"`{release}`.`{table}`").agg(
+        one = stored(spark, release, table).agg(
             F.lit(table).alias("table_name"), F.count("*").alias("row_count")
         )
         counted = one if counted is None else counted.unionByName(one)

@@ -11,12 +11,15 @@ from waymark.sources.layouts import LAYOUTS, RAW_PREFIX, RECORD_TYPES
 SPLIT_BLOCK_BYTES = 16 * 1024 * 1024
 
 
-def read_raw(spark: SparkSession, directory: str, prefix: str = RAW_PREFIX) -> DataFrame:
-    """Lines of the raw files directly inside ``directory``.
+def read_raw(
+    spark: SparkSession, source: str | list[str], prefix: str = RAW_PREFIX
+) -> DataFrame:
+    """Lines of the raw files directly inside a directory, or of listed files.
 
     A record never spans lines, so the text reader can split large files.
     """
-    return spark.read.text(f"{directory.rstrip('/')}/{prefix}*").select(
+    paths = f"{source.rstrip('/')}/{prefix}*" if isinstance(source, str) else list(source)
+    return spark.read.text(paths).select(
         "value", F.col("_metadata.file_name").alias("file_name")
     )
 
@@ -32,12 +35,16 @@ def is_known(record_type: Column) -> Column:
 
 
 def route(lines: DataFrame) -> DataFrame:
-    """Add ``record_type``; a line of no known type fails the job."""
-    found = record_type_of(F.col("value"))
+    """Add ``record_type``; a line of no known type fails the job.
+
+    The check is a filter: it stays whatever columns are read later.
+    """
+    found = F.col("record_type")
     failure = F.raise_error(
         F.concat(F.lit("no such record type: "), F.coalesce(found, F.lit("(no comma)")))
-    ).cast("string")
-    return lines.withColumn("record_type", F.when(is_known(found), found).otherwise(failure))
+    ).cast("boolean")
+    tagged = lines.withColumn("record_type", record_type_of(F.col("value")))
+    return tagged.filter(F.when(is_known(found), True).otherwise(failure))
 
 
 def route_lenient(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

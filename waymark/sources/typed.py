@@ -55,15 +55,9 @@ def _parsed(lines: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def _strict(layout: Layout, problem: str) -> list[str]:
-    """All columns; taking the first one fails when there is a problem."""
-    first = layout.fields[0]
-    kind = layout.schema[first.name].dataType.simpleString()
-    checked = (
-        f"if({problem} is null, {first.name}, cast(raise_error({problem}) as {kind})) "
-        f"as {first.name}"
-    )
-    return [checked, *layout.columns[1:]]
+def _strict(rows: DataFrame, problem: str) -> DataFrame:
+    """All rows; one with a problem fails the job, whatever is read of it."""
+    return rows.filter(f"if({problem} is null, true, cast(raise_error({problem}) as boolean))")
 
 
 def parse(lines: DataFrame, layout: Layout, widths: bool = True) -> DataFrame:
@@ -72,7 +66,7 @@ def parse(lines: DataFrame, layout: Layout, widths: bool = True) -> DataFrame:
     ``widths=False`` leaves the width check to a table of VARCHAR(n) columns.
     """
     parsed = _parsed(lines, layout) if widths else _unfitted(lines, layout)
-    return parsed.selectExpr(*_strict(layout, "(problem || ': ' || value)"))
+    return _strict(parsed, "(problem || ': ' || value)").select(*layout.columns)
 
 
 def parse_lenient(lines: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
@@ -96,9 +90,8 @@ def read_headered_csv(spark: SparkSession, path: str, layout: Layout) -> DataFra
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    return rows.selectExpr(*_fitted_columns(layout)).selectExpr(
-        *_strict(layout, f"('too wide: ' || {too_wide(layout.widths)})")
-    )
+    fitting = rows.selectExpr(*_fitted_columns(layout))
+    return _strict(fitting, f"('too wide: ' || {too_wide(layout.widths)})")
 
 
 def width_counts(rows: DataFrame, widths: dict[str, int]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,18 +31,24 @@ def load_stream(
     directory: str,
     checkpoint: str,
     files: int = BATCH_SIZE,
+    source: str | None = None,
 ) -> StreamingQuery:
     """Load everything that is there into the landing tables of a release.
 
-    A micro-batch is written as its own partition; one that is repeated after
-    a failure replaces it, so the tables hold every line once.
+    A micro-batch is written as its own partition, named by the source and its
+    number there; one that is repeated after a failure replaces it, so the
+    tables hold every line once. Several streams may load into one release:
+    ``source`` tells them apart (by default the checkpoint folder does).
     """
+    name = source or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    if not re.fullmatch("[A-Za-z0-9_]+", name):
+        raise ValueError(f"not a plain name: {name!r}")
 
     def load(lines: DataFrame, number: int) -> None:
         session = lines.sparkSession
         staging = work_folder(session, "split")
         try:
-            landing.load_lines(session, release, f"s{number}", lines, staging)
+            landing.load_lines(session, release, f"s{name}_{number}", lines, staging)
         finally:
             delete_folder(session, staging)
 

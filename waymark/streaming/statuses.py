@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waymark.plans import status
@@ -25,19 +26,28 @@ def keep_latest(
     checkpoint: str,
     order: tuple[str, ...] = ("timestamp", "seq"),
 ) -> StreamingQuery:
-    """Maintain a table with the newest status of every release.
+    """Maintain a folder with the newest status of every release.
 
-    Each micro-batch replaces the small table with the complete result.
+    Each micro-batch adds the releases it changed, in a folder of its own that
+    a repeated batch replaces; nothing that readers use is ever overwritten.
     """
 
-    def replace(rows: DataFrame, _number: int) -> None:
-        rows.write.mode("overwrite").parquet(table)
+    def add(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch={number}")
 
     return (
         latest_stream(transitions, order)
-        .writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        .writeStream.outputMode("update")
+        .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_latest(spark: SparkSession, table: str) -> DataFrame:
+    """The newest status of every release, from what the stream has added."""
+    added = spark.read.parquet(table)
+    state = F.struct("status", "error_message", "timestamp")
+    newest = added.groupBy("schema_name").agg(F.max_by(state, "batch").alias("state"))
+    return newest.select("schema_name", "state.*")
