@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from checks.compare import differences
 from waymark.llm import host_suffixes, queries, signature_tree, url_trees
 
 SF = "/root/testdata/sf0.001"
@@ -175,6 +176,11 @@ def test_run(spark, stages):
     assert rows == sorted(stages[-1].collect())
 
 
+def test_components_like_their_statement(spark):
+    for name, statement in queries.oracle_sql().items():
+        assert not differences(spark, SF, queries.queries()[name], statement)[1]
+
+
 def test_registered():
     names = set(queries.queries())
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 11))

@@ -24,7 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import narrow, sha256, word_counts
+from waymark.llm.common import most_frequent, narrow, sha256, word_counts
+from waymark.session import materialise
 
 # Words compiled into the automaton: bounds its size whatever the corpus.
 LEXICON_WORDS = 100_000
@@ -411,7 +412,7 @@ def special_splitter(vocabulary: Vocabulary):
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, limit: int) -> list[bytes]:
-    """The most frequent words over all whole texts; ties by the word itself."""
+    """The most frequent words over all whole texts, ``limit`` at most."""
     find = word_finder(vocabulary.pattern)
     split_special = special_splitter(vocabulary)
 
@@ -420,13 +421,8 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, limit: int) -> list[
             if special is None:
                 yield from (word.encode("utf-8", "surrogatepass") for word in find(part))
 
-    top = (
-        word_counts(docs, split, least=2)
-        .filter(F.length("word") <= LEXICON_BYTES)
-        .orderBy(F.desc("count"), "word")
-        .limit(limit)
-    )
-    return [bytes(row["word"]) for row in top.select("word").collect()]
+    counts = word_counts(docs, split, least=2).filter(F.length("word") <= LEXICON_BYTES)
+    return list(most_frequent(materialise(counts, "bpe-counts"), limit))
 
 
 _encoders: dict[str, Encoder] = {}

@@ -21,6 +21,8 @@ from waymark.session import tune
 # batches at a time.
 BATCH_ROWS = 1000
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Operators store what they need again; a finished job's shuffle files can go.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # A table is broadcast only after its rows were counted, up to this many.
 BROADCAST_ROWS = 100_000
 
@@ -46,8 +48,10 @@ def prepare(spark: SparkSession) -> None:
     """Session settings of the text operators, where nothing else is set."""
     tune(spark)
     ship_package(spark)
-    if ARROW_ROWS not in {key for key, _ in spark.sparkContext.getConf().getAll()}:
-        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    explicit = {key for key, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in ((ARROW_ROWS, str(BATCH_ROWS)), (FREE_SHUFFLES, "true")):
+        if key not in explicit:
+            spark.conf.set(key, value)
 
 
 def narrow(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -92,7 +96,7 @@ def plain_words(text: str) -> list[bytes]:
 def word_hashes(tokens: list[bytes]) -> np.ndarray:
     """64-bit hashes of the words, in order."""
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(word) for word in tokens), np.uint64, len(tokens))
+    return np.fromiter(map(digest, tokens), np.uint64, len(tokens))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -162,6 +166,31 @@ def word_counts(docs: DataFrame, split, name: str = "word", least: int = 1) -> D
     )
 
 
+def most_frequent(counts: DataFrame, limit: int) -> dict[bytes, int]:
+    """The words of a stored count table above the lowest cut that leaves no
+    more than ``limit``, by falling count and then by word.
+
+    The cut is read off a histogram of bounded size, so the driver never gets
+    more than the words it keeps, however many partitions there are.
+    """
+    exact = 4096
+    level = F.when(F.col("count") < exact, F.col("count")).otherwise(
+        exact + F.floor(64 * F.log2(F.col("count") / exact))
+    )
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
+    cut, taken = None, 0
+    for row in sorted(levels, key=lambda row: -row["level"]):
+        taken += row["n"]
+        if taken > limit:
+            break
+        cut = row["level"]
+    if cut is None:
+        return {}
+    rows = counts.filter(level >= cut).collect()
+    found = sorted((-row["count"], bytes(row["word"])) for row in rows)
+    return {word: -count for count, word in found}
+
+
 def bounded_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a stored table of at most ``limit`` rows.
 

@@ -198,12 +198,12 @@ def disclosive_terms(
     totals = materialise(
         term_totals(docs, supported.select("term").distinct()), "disclosure-totals"
     )
-    tokens = totals.filter("term = ''").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"))
+    tokens = totals.filter("term = ''").agg(F.sum("total")).head()[0] or 0
     entities = pairs.groupBy("entity").agg(F.sum("together").alias("near_tokens"))
     weighed = (
         supported.join(entities, "entity")
         .join(totals, "term")
-        .crossJoin(F.broadcast(tokens))  # one row
+        .withColumn("tokens", F.lit(tokens).cast("double"))
         .withColumn("ic", F.log2(F.col("tokens") / F.col("near_tokens")))
         .withColumn(
             "pmi",

@@ -18,7 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fold, lower_words, narrow, prepare, word_counts
+from waymark.llm.common import (
+    fold,
+    lower_words,
+    most_frequent,
+    narrow,
+    prepare,
+    word_counts,
+)
 from waymark.session import materialise
 
 HELD_OUT = (7, 2)  # ids whose crc32 modulo 7 is 2 are not learned from
@@ -131,7 +138,7 @@ def likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
         active = int(np.searchsorted(-ordered_width, -t, side="left"))
         part = matrix[:active]
         if t:
-            part = part @ model.move
+            part = (part.reshape(-1, STATES) @ model.move).reshape(part.shape)
         part = part * emit[stream[begin[:active] + t]][:, None, :]
         if t % 8 == 7:
             total = part.sum(axis=(1, 2))
@@ -223,8 +230,9 @@ class Corpus:
 def count_corpus(training: DataFrame) -> Corpus:
     counts = materialise(word_counts(training, tokens), "hmm-counts")
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).head()
-    top = counts.orderBy(F.desc("count"), "word").limit(HELD_WORDS).collect()
-    held = {bytes(row["word"]): row["count"] for row in top}
+    held = most_frequent(counts, HELD_WORDS)
+    for row in counts.filter(F.col("word") == F.lit(END)).collect():
+        held[END] = row["count"]  # emitted in any case
     return Corpus(counts, total[0], total[1], held)
 
 

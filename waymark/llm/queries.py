@@ -87,5 +87,41 @@ def queries() -> dict[str, Query]:
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
+# Components of documents by 4-word shingles, from all pairs that share one.
+_COMPONENTS = r"""
+with recursive texts as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as words
+  from documents),
+sets as (
+  select doc_id, case when len(words) = 0 then [] else list_sort(list_distinct(list_transform(
+    range(1, greatest(len(words) - 3, 1) + 1),
+    lambda i: array_to_string(words[i:i + 3], ' ')))) end as shingles
+  from texts),
+nodes as (
+  select row_number() over () as node, shingles, len(shingles) as n, min(doc_id) as smallest
+  from sets where len(shingles) > 0 group by shingles),
+tokens as (select node, n, unnest(shingles) as token from nodes),
+links as (
+  select a.node as node, b.node as other from tokens a join tokens b
+  on a.token = b.token and a.node <> b.node
+  where 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
+  group by a.node, b.node, a.n, b.n
+  having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (
+  select node, node as other from nodes
+  union select r.node, l.other from reach r join links l on r.other = l.node),
+labels as (
+  select r.node, min(o.smallest) as component_id
+  from reach r join nodes o on r.other = o.node group by r.node)
+select s.doc_id, len(s.shingles) as n_shingles,
+  case when len(s.shingles) = 0 then s.doc_id else l.component_id end as component_id
+from sets s left join nodes n on s.shingles = n.shingles left join labels l on l.node = n.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Statements for DuckDB; the other queries train, align or merge, and are
+    tested against brute force, the library or held-out rows."""
+    return {"op2_signature_tree": _COMPONENTS}

@@ -101,11 +101,9 @@ def lexical_features(pages: DataFrame) -> DataFrame:
 
 def suffix_statistics(pages: DataFrame) -> DataFrame:
     """Share of each host suffix among all pages."""
-    counted = pages.groupBy("suffix").agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("all_rows"))
-    return counted.crossJoin(F.broadcast(total)).select(  # one row
-        F.col("suffix"), (F.col("n") / F.col("all_rows")).alias("suffix_share")
-    )
+    counted = materialise(pages.groupBy("suffix").agg(F.count("*").alias("n")), "url-suffixes")
+    rows = counted.agg(F.sum("n")).head()[0] or 1
+    return counted.select("suffix", (F.col("n") / F.lit(rows)).alias("suffix_share"))
 
 
 def fit_trees(labelled: DataFrame, rows: int = TRAINING_ROWS):
@@ -137,7 +135,7 @@ def judge(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS) ->
         .withColumn("label", (F.col("found.verdict") == "block").cast("double"))
     )
     described = lexical_features(known)
-    suffixes = bounded_broadcast(materialise(suffix_statistics(described), "url-suffixes"))
+    suffixes = bounded_broadcast(suffix_statistics(described))
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         described.join(suffixes, "suffix")
     )
