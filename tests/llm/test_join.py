@@ -89,7 +89,8 @@ def test_tree_against_all_pairs():
     import numpy as np
 
     arrays = [np.array(sorted(s), np.uint64) for s in sets]
-    roots = signature_tree.SignatureTree(arrays, list(range(len(sets))), 85).components()
+    members = [signature_tree.member_of(i, found) for i, found in enumerate(arrays)]
+    roots = signature_tree.SignatureTree(members, 85).components()
     label = list(range(len(sets)))
     changed = True
     while changed:
@@ -101,6 +102,11 @@ def test_tree_against_all_pairs():
                     changed = True
     assert len(set(roots)) == len(set(label))
     assert len(set(zip(roots, label))) == len(set(label))
+    # Signatures alone may join more, never less.
+    for member in members:
+        member.tokens = None
+    near = signature_tree.SignatureTree(members, 85).components()
+    assert len(set(zip(near, label))) == len(set(label))
 
 
 def test_odd_rows(odd_docs, no_docs):

@@ -13,7 +13,9 @@ exactly.
 Two rounds make that linear where many near copies meet. First every node
 enters one unit only (of bounded size; large units are cut twice, in different
 ways), which joins most of a group. Then the units whose members are not one
-component yet are walked for the links between components.
+component yet are walked with the signatures alone, which tells the components
+that could still be linked; their members are walked once more and compared
+exactly. So a text travels once or twice, however many units name it.
 """
 
 from __future__ import annotations
@@ -61,6 +63,27 @@ def prefix_length(count: int, percent: int) -> int:
     return count - -(-percent * count // 100) + 1
 
 
+def extra_tokens(count: int) -> int:
+    """So many more tokens are looked at: sets that link share as many more."""
+    return count // 20
+
+
+def shared_needed(count: int, percent: int) -> int:
+    """First and extra tokens that a set of this size shares with a link.
+
+    If two sets have at least o tokens in common, the first (size - o + k) of
+    each hold the first k common ones. The smaller set of a link has at least
+    ``percent`` of the larger one's tokens, hence as many extra ones as here.
+    """
+    return 1 + extra_tokens(-(-percent * count // 100))
+
+
+def bitmap_of(tokens: np.ndarray) -> bytes:
+    flags = np.zeros(BITS, np.uint8)
+    flags[(tokens % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
 def linked(overlap: int, first: int, second: int, percent: int) -> bool:
     return 100 * overlap >= percent * (first + second - overlap)
 
@@ -88,6 +111,21 @@ class _Union:
         return True
 
 
+@dataclass
+class Member:
+    """A set in a unit; without ``tokens`` only its signature is known."""
+
+    label: int
+    lead: int  # similar sets mostly have the same
+    size: int
+    bitmap: bytes
+    tokens: np.ndarray | None = None
+
+
+def member_of(label: int, tokens: np.ndarray) -> Member:
+    return Member(label, int(tokens[0]), len(tokens), bitmap_of(tokens), tokens)
+
+
 @dataclass
 class _TreeNode:
     low: int  # the sets low..high-1 of the ordered unit
@@ -102,26 +140,23 @@ class _TreeNode:
 class SignatureTree:
     """The sets of a unit, ordered so that similar ones lie together."""
 
-    def __init__(self, sets: list[np.ndarray], labels: list[int], percent: int):
+    def __init__(self, members: list[Member], percent: int):
         self.percent = percent
-        lowest = [int(found[0]) for found in sets]
-        self.order = sorted(range(len(sets)), key=lambda i: (lowest[i], len(sets[i])))
-        self.sets = [sets[i] for i in self.order]
-        self.union = _Union([labels[i] for i in self.order])
-        self.sizes = np.array([len(found) for found in self.sets])
-        self.bitmaps = np.zeros((len(sets), BITS // 8), np.uint8)
-        flags = np.zeros(BITS, np.uint8)
-        for row, found in zip(self.bitmaps, self.sets):
-            flags[:] = 0
-            flags[(found % np.uint64(BITS)).astype(np.int64)] = 1
-            row[:] = np.packbits(flags)
+        self.order = sorted(
+            range(len(members)), key=lambda i: (members[i].lead, members[i].size)
+        )
+        ordered = [members[i] for i in self.order]
+        self.sets = [member.tokens for member in ordered]
+        self.union = _Union([member.label for member in ordered])
+        self.sizes = np.array([member.size for member in ordered])
+        self.bitmaps = np.stack([np.frombuffer(member.bitmap, np.uint8) for member in ordered])
         self.slacks = self.sizes - np.bitwise_count(self.bitmaps).sum(axis=1, dtype=np.int64)
         self.root = self._build()
 
     def _build(self) -> _TreeNode:
         level = []
-        for low in range(0, len(self.sets), LEAF):
-            high = min(low + LEAF, len(self.sets))
+        for low in range(0, len(self.order), LEAF):
+            high = min(low + LEAF, len(self.order))
             sizes = self.sizes[low:high]
             level.append(
                 _TreeNode(
@@ -182,6 +217,9 @@ class SignatureTree:
             for j in (np.flatnonzero(hopeful) + begin).tolist():
                 if self.union.find(i) == self.union.find(j):
                     continue
+                if self.sets[i] is None or self.sets[j] is None:
+                    self.union.join(i, j)  # signatures alone cannot tell them apart
+                    continue
                 shared = np.intersect1d(self.sets[i], self.sets[j], assume_unique=True)
                 if linked(len(shared), len(self.sets[i]), len(self.sets[j]), percent):
                     self.union.join(i, j)
@@ -247,111 +285,127 @@ def common_tokens(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def describe(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: set size, digest of the set, and the set's first tokens.
+    """Per row: set size, digest, bitmap, and the set's first and extra tokens.
 
     The order of tokens is: common ones last, then by hash.
     """
     shared = texts.sparkSession.sparkContext.broadcast(common_tokens(texts, size))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = shared.value
+        common = np.append(shared.value, np.uint64(2**64 - 1))
         for batch in batches:
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, bitmaps = [], [], [], []
             for text in batch["text"]:
                 found = shingle_set(text, size)
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                late = np.isin(found, common, assume_unique=True)
+                late = common[np.searchsorted(common, found)] == found
                 ordered = np.concatenate([found[~late], found[late]])
-                first = ordered[: prefix_length(len(found), percent)] if len(found) else ordered
-                prefixes.append(first.tobytes())
-            yield batch[["doc_id", "text_hash"]].assign(n=sizes, digest=digests, prefix=prefixes)
+                length = prefix_length(len(found), percent) + extra_tokens(len(found))
+                prefixes.append(ordered[:length].tobytes() if len(found) else b"")
+                bitmaps.append(bitmap_of(found))
+            yield batch[["doc_id", "text_hash"]].assign(
+                n=sizes, digest=digests, prefix=prefixes, bitmap=bitmaps
+            )
 
     key = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInPandas(
-        run, f"doc_id {key}, text_hash long, n long, digest binary, prefix binary"
+        run, f"doc_id {key}, text_hash long, n long, digest binary, prefix binary, bitmap binary"
     )
 
 
-def _shared_tokens(nodes: DataFrame) -> DataFrame:
-    """(token, node) of first tokens that at least two nodes have."""
+def _shared_tokens(nodes: DataFrame, percent: int) -> DataFrame:
+    """(token, node): first tokens shared by nodes that share enough to link."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             tokens = [np.frombuffer(prefix, np.int64) for prefix in batch["prefix"]]
+            lengths = list(map(len, tokens))
+            first = [
+                np.arange(length) < prefix_length(n, percent)
+                for length, n in zip(lengths, batch["n"])
+            ]
+            needed = [shared_needed(n, percent) for n in batch["n"]]
             yield pd.DataFrame(
                 {
                     "token": np.concatenate([np.empty(0, np.int64), *tokens]),
-                    "node": np.repeat(batch["node"].to_numpy(), list(map(len, tokens))),
+                    "node": np.repeat(batch["node"].to_numpy(), lengths),
+                    "first": np.concatenate([np.empty(0, bool), *first]),
+                    "needed": np.repeat(np.array(needed, np.int32), lengths),
                 }
             )
 
-    every = nodes.select("node", "prefix").mapInPandas(run, "token long, node long")
-    twice = every.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    return every.join(twice, "token")
+    every = nodes.select("node", "n", "prefix").mapInPandas(
+        run, "token long, node long, first boolean, needed int"
+    )
+    twice = every.groupBy("token").agg(F.count("*").alias("count")).filter("count > 1")
+    hits = materialise(every.join(twice.select("token"), "token"), "tree-hits")
+    enough = (
+        hits.groupBy("node")
+        .agg(F.count("*").alias("count"), F.max("needed").alias("needed"))
+        .filter("count >= needed")
+    )
+    kept = materialise(hits.filter("first").join(enough.select("node"), "node"), "tree-first")
+    again = kept.groupBy("token").agg(F.count("*").alias("count")).filter("count > 1")
+    return kept.join(again.select("token"), "token").select("token", "node")
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The sets of the wanted nodes, made again from one text of each."""
-    keys = nodes.join(wanted, "node", "left_semi").select(
-        "node", F.col("text_hash").alias("key"), F.col("doc_id").alias("id")
+def _with_text(texts: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Members of units with the text that stands for their node."""
+    keys = members.join(
+        nodes.select("node", F.col("text_hash").alias("key"), F.col("doc_id").alias("id")), "node"
     )
-    one = texts.join(
+    return texts.join(
         keys,
         (texts["text_hash"] == F.col("key")) & texts["doc_id"].eqNullSafe(F.col("id")),
-    ).select("node", "text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingle_set(text, size).tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "tokens": found})
-
-    return one.mapInPandas(run, "node long, tokens binary").dropDuplicates(["node"])
+    ).select("unit", "block", "node", "label", "text")
 
 
-def _walk_units(members: DataFrame, percent: int) -> DataFrame:
-    """Links found in units: (node, other); no more than one per member.
+def _walk_units(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges found in units: (node, other), no more than one per member.
 
-    ``members``: unit, block, node, label, tokens. A task holds one block of
-    one unit at a time.
+    ``members``: unit, block, node, label, and either ``text`` (edges are links)
+    or ``n``, ``lead`` and ``bitmap`` (edges are what cannot be ruled out). A
+    task holds one block of one unit at a time.
     """
+    exact = "text" in members.columns
+    carried = ["text"] if exact else ["n", "lead", "bitmap"]
 
-    def walk(nodes: list[int], labels: list[int], sets: list[bytes]) -> list[tuple[int, int]]:
-        unique = {node: place for place, node in enumerate(nodes)}
-        places = list(unique.values())
-        tree = SignatureTree(
-            [np.frombuffer(sets[p], np.uint64) for p in places], [labels[p] for p in places], percent
-        )
-        roots = tree.components()
+    def walk(held: dict[int, Member]) -> list[tuple[int, int]]:
+        names, found = list(held), list(held.values())
+        roots = SignatureTree(found, percent).components()
         return [
-            (nodes[places[i]], nodes[places[root]])
+            (names[i], names[root])
             for i, root in enumerate(roots)
-            if i != root and labels[places[i]] != labels[places[root]]
+            if found[i].label != found[root].label
         ]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, held = None, ([], [], [])
+        current, held = None, {}
         edges: list[tuple[int, int]] = []
         for batch in batches:
-            rows = zip(
-                batch["unit"], batch["block"], batch["node"], batch["label"], batch["tokens"]
-            )
-            for unit, block, node, label, tokens in rows:
+            values = zip(*(batch[name] for name in carried))
+            rows = zip(batch["unit"], batch["block"], batch["node"], batch["label"], values)
+            for unit, block, node, label, value in rows:
                 if (unit, block) != current:
-                    if len(held[0]) > 1:
-                        edges += walk(*held)
-                    current, held = (unit, block), ([], [], [])
-                for part, value in zip(held, (node, label, tokens)):
-                    part.append(value)
+                    if len(held) > 1:
+                        edges += walk(held)
+                    current, held = (unit, block), {}
+                if node in held:  # a repeated row
+                    continue
+                if exact:
+                    held[node] = member_of(label, shingle_set(value[0], size))
+                else:
+                    held[node] = Member(label, value[1], value[0], value[2])
             if len(edges) >= 10_000:
                 yield pd.DataFrame(edges, columns=["node", "other"])
                 edges = []
-        if len(held[0]) > 1:
-            edges += walk(*held)
+        if len(held) > 1:
+            edges += walk(held)
         yield pd.DataFrame(edges, columns=["node", "other"]).astype("int64")
 
     return (
-        members.select("unit", "block", "node", "label", "tokens")
+        members.select("unit", "block", "node", "label", *carried)
         .repartition("unit", "block")
         .sortWithinPartitions("unit", "block")
         .mapInPandas(run, "node long, other long")
@@ -397,32 +451,46 @@ def connect(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _first_round(tokens: DataFrame, sets: DataFrame) -> DataFrame:
+def _first_round(tokens: DataFrame) -> DataFrame:
     """Every node in the unit of its smallest shared token, in bounded blocks."""
-    unit = tokens.groupBy("node").agg(F.min("token").alias("unit"))
-    sizes = unit.groupBy("unit").agg(F.count("*").alias("size"))
-    large = materialise(sizes.filter(F.col("size") > BLOCK), "tree-large-units")
+    unit = materialise(tokens.groupBy("node").agg(F.min("token").alias("unit")), "tree-units")
+    sizes = unit.groupBy("unit").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = materialise(sizes, "tree-unit-sizes")
     cuts = F.ceil(F.col("size") / BLOCK).cast("int")
     one, two = F.pmod(F.xxhash64("node"), cuts), F.pmod(F.xxhash64("node", F.lit(1)), cuts)
     blocks = F.when(cuts > 1, F.array(one, cuts + two)).otherwise(F.array(F.lit(0).cast("long")))
-    placed = unit.join(bounded_broadcast(large), "unit", "left").select(
-        "unit", "node", F.explode(blocks).alias("block")
+    placed = unit.join(bounded_broadcast(sizes), "unit").select(
+        "unit", "node", F.explode(blocks.cast("array<string>")).alias("block")
     )
-    return placed.join(sets, "node").withColumn("label", F.col("node"))
+    return placed.withColumn("label", F.col("node"))
+
 
+def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with their node's component (a node without links is its own)."""
+    return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-def _mixed_units(tokens: DataFrame, labels: DataFrame) -> DataFrame:
+
+def _near_components(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(unit, node, label): members of components that edges may still join."""
+    label_of = known.select("node", "label").distinct()
+    ends = edges.join(label_of, "node").select(
+        F.col("label").alias("first"), F.col("other").alias("node")
+    )
+    pairs = ends.join(label_of, "node").select(
+        F.col("first").alias("node"), F.col("label").alias("other")
+    )
+    near = connect(pairs).select(F.col("node").alias("label"), F.col("label").alias("unit"))
+    return label_of.join(near, "label").select("unit", "node", "label")
+
+
+def _mixed_units(known: DataFrame) -> DataFrame:
     """(unit, block, node, label): what has to be walked between components.
 
-    Units with the same members are taken once. A large unit is cut by
-    component; pairs of cuts are blocks, but for a component with itself.
+    ``known``: (unit, node, label), stored. Units with the same members are
+    taken once. A large unit is cut by component; pairs of cuts are blocks, but
+    for a component with itself.
     """
-    known = materialise(
-        tokens.join(labels, "node", "left").select(
-            "token", "node", F.coalesce("label", "node").alias("label")
-        ),
-        "tree-tokens",
-    )
+    known = known.withColumnRenamed("unit", "token")
     # A component may hold a third of all rows: count it before anything meets.
     by_label = known.groupBy("token", "label").agg(
         F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members")
@@ -497,25 +565,33 @@ def find_components(docs: DataFrame, size: int, percent: int) -> Components:
     # One node per set: the row of the smallest id stands for it.
     stands = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = filled.groupBy("digest").agg(
-        F.min(stands).alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.min(stands).alias("row"),
+        *[F.first(name).alias(name) for name in ("n", "prefix", "bitmap")],
     )
     nodes = materialise(
         nodes.select(
-            "digest", "row.doc_id", "row.text_hash", "n", "prefix",
+            "digest", "row.doc_id", "row.text_hash", "n", "prefix", "bitmap",
             F.monotonically_increasing_id().alias("node"),
         ),
         "tree-nodes",
     )
-    tokens = materialise(_shared_tokens(nodes), "tree-shared")
-    sets = materialise(
-        _sets_of(texts, nodes, tokens.select("node").distinct(), size), "tree-sets"
+    tokens = materialise(_shared_tokens(nodes, percent), "tree-shared")
+    members = materialise(_first_round(tokens), "tree-members")
+    first = materialise(
+        _walk_units(_with_text(texts, nodes, members), size, percent), "tree-links"
     )
-    first = materialise(_walk_units(_first_round(tokens, sets), percent), "tree-links")
     labels = connect(first)
-    mixed = _mixed_units(tokens, labels).join(sets, "node")
+    # What signatures cannot rule out between components, then the exact links.
+    known = materialise(_labelled(tokens.withColumnRenamed("token", "unit"), labels), "tree-known")
+    lead = F.conv(F.hex(F.substring("prefix", 1, 7)), 16, 10).cast("long").alias("lead")
+    signatures = nodes.select("node", "n", lead, "bitmap")
+    near = materialise(
+        _walk_units(_mixed_units(known).join(signatures, "node"), size, percent), "tree-near"
+    )
+    near = materialise(_near_components(known, near), "tree-near-units")
+    members = materialise(_mixed_units(near), "tree-members")
     second = materialise(
-        _walk_units(mixed.withColumn("block", F.col("block").cast("string")), percent),
-        "tree-links",
+        _walk_units(_with_text(texts, nodes, members), size, percent), "tree-links"
     )
     if second.limit(1).count():
         labels = connect(first.unionByName(second))
