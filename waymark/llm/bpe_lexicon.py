@@ -315,7 +315,7 @@ class Encoder:
     def __init__(self, lexicon: Lexicon, vocabulary: Vocabulary):
         self.lexicon, self.vocabulary = lexicon, vocabulary
         self.find = word_finder(vocabulary.pattern)
-        self.split = special_splitter(vocabulary)
+        self.split = special_splitter(vocabulary.special)
         self.pieces = vocabulary.pieces
         self.merger = Merger(vocabulary)
         self.known: dict[str | bytes, bytes] = {}
@@ -397,16 +397,16 @@ def word_finder(pattern: str):
     return lambda text: full(text) if beyond(text) else fast(text)
 
 
-def special_splitter(vocabulary: Vocabulary):
+def special_splitter(special: dict[str, int]):
     """Cuts a text at the special tokens: (text, None) or (token, id)."""
-    if not vocabulary.special:
+    if not special:
         return lambda text: [(text, None)]
-    longest_first = sorted(vocabulary.special, key=len, reverse=True)
+    longest_first = sorted(special, key=len, reverse=True)
     pattern = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
 
     def split(text: str) -> list[tuple[str, int | None]]:
         parts = pattern.split(text)
-        return [(part, vocabulary.special.get(part)) for part in parts if part]
+        return [(part, special.get(part)) for part in parts if part]
 
     return split
 
@@ -414,7 +414,7 @@ def special_splitter(vocabulary: Vocabulary):
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, limit: int) -> list[bytes]:
     """The most frequent words over all whole texts, ``limit`` at most."""
     find = word_finder(vocabulary.pattern)
-    split_special = special_splitter(vocabulary)
+    split_special = special_splitter(vocabulary.special)
 
     def split(text: str) -> Iterable[bytes]:
         for part, special in split_special(text):
@@ -451,13 +451,15 @@ def encode(
     path = path or default_vocabulary()
     if lexicon is None:
         lexicon = build_lexicon(docs, path)
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    # Both are bounded: LEXICON_WORDS, and the vocabulary file.
+    shared = docs.sparkSession.sparkContext.broadcast((lexicon, load_vocabulary(path)))
     stamp = sha256(lexicon) + path
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if stamp not in _encoders:
             _encoders.clear()
-            _encoders[stamp] = Encoder(Lexicon(shared.value), load_vocabulary(path))
+            block, vocabulary = shared.value
+            _encoders[stamp] = Encoder(Lexicon(block), vocabulary)
         encoder = _encoders[stamp]
         for batch in batches:
             packed = encoder.encode(batch["text"].tolist())
