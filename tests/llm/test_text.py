@@ -185,6 +185,50 @@ def test_passages(spark, documents, texts):
     assert kept == {i for i, _ in rows} - {i for i, _ in found}
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_edited_copies_against_brute_force(exact):
+    """Every pair of enough similarity is found, however the copy was edited."""
+    rng = random.Random(15)
+    common = [f"c{i}" for i in range(40)]
+
+    def item(number, size):
+        return [
+            rng.choice(common) if rng.random() < 0.4 else f"w{number}x{i}" for i in range(size)
+        ]
+
+    items = [item(number, size) for number, size in enumerate((3, 5, 8, 15, 27, 40, 40, 59))]
+    docs = []
+    for number, found in enumerate(items):
+        host = [rng.choice(common) for _ in range(120)]
+        edits = [
+            [f"other{i}" if i % every == every - 1 else word for i, word in enumerate(found)]
+            for every in (3, 4, 5)
+        ]
+        edits += [found[: len(found) // 2 + 1], [w for pair in zip(found, found[::-1]) for w in pair]]
+        edits += [[part for word in found for part in (word, "in")], [w for w in found if rng.random() < 0.7]]
+        edits += [found + ["between"] + found] + [found] * exact
+        docs += [host[:60] + edit + host[60:] for edit in edits]
+    texts = [" ".join(doc) for doc in docs]
+    index = seed_align.index_items([" ".join(found) for found in items])
+    documents = np.zeros(len(index.grams), np.int64)
+    for text in texts:
+        documents[np.unique(index.grams_in(index.numbers(text))[1])] += 1
+    finder = seed_align.Finder(index, seed_align.rare_seeds(index, documents))
+    reached = 0
+    for text in texts:
+        numbers = index.numbers(text)
+        expected = {}
+        for number, found in enumerate(index.words):
+            best = seed_align.align(found, numbers)[0] / (seed_align.MATCH * len(found))
+            if best >= seed_align.SIMILARITY:
+                expected[number] = best
+        found = finder.find(text)
+        assert {hit["item"]: hit["similarity"] for hit in found} == expected
+        assert all(hit["passages"] >= 1 for hit in found)
+        reached += len(expected)
+    assert reached > 30
+
+
 def test_passages_in_blocks(spark, documents, monkeypatch):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     whole = set(map(tuple, seed_align.find_passages(documents, benchmark).collect()))

@@ -1,9 +1,17 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of every test item are ranked by how many documents hold them; the
-rarer half are its seeds. Where a document holds seeds of an item, the stretch
-around them is aligned with the item, word by word, so edited and paraphrased
-copies are scored as well as exact ones.
+rarest are its seeds. Where a document holds enough seeds of an item close
+together, the stretch around them is aligned with the item, word by word, so
+edited and paraphrased copies are scored as well as exact ones.
+
+No pair of SIMILARITY is lost. With n words in an item, M of them matched and U
+not, the score is at most MATCH * M, so M >= SIMILARITY * n and U is bounded. Of
+any U + HITS words of the item HITS are matched: so many of the rarest are its
+seeds, whether documents hold them or an edit has destroyed them. Longer n-grams
+could not promise that: every third word replaced leaves no run of three. An
+alignment has at most n inserted and left-out words together, so its hits lie
+within n places of each other, counted from where the item would begin.
 
 The test items are taken in blocks of bounded size; each block is one pass over
 the documents.
@@ -24,13 +32,12 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import fresh_name, narrow, plain_words, prepare
 
-SEED_WORDS = 3
-SEED_SHARE = 0.5  # of an item's n-grams, the rarest ones
-LEAST_SEEDS = 6
-HITS = 2  # different seeds of an item that make a candidate
+SEED_WORDS = 1
+SHORTEST = 3  # words of an item that is looked for
+HITS = 4  # seeds of an item that make a candidate
 MATCH, MISMATCH, GAP = 2, -1, 1
 SIMILARITY = 0.5  # of the best possible score
-BLOCK_WORDS = 1_000_000  # words of the test items held by a worker at a time
+BLOCK_WORDS = 100_000  # words of the test items held by a worker at a time
 
 FOUND = (
     "array<struct<item: int, similarity: double, passages: int, start_word: int, end_word: int>>"
@@ -97,12 +104,21 @@ def index_items(texts: list[str]) -> Items:
     return items
 
 
+def least_matches(size: int) -> int:
+    """Words of an item of ``size`` words that any alignment of SIMILARITY matches."""
+    return math.ceil(SIMILARITY * size)
+
+
+def needed_hits(size: int) -> int:
+    return min(HITS, least_matches(size))
+
+
 def rare_seeds(items: Items, documents: np.ndarray) -> np.ndarray:
     """Which occurrences (as in ``items.item``) are seeds of their item.
 
-    ``documents`` has the number of documents per gram. Each item keeps the
-    rarer half of its n-grams, LEAST_SEEDS at least, so a passage that has
-    leaked into many documents still has seeds.
+    ``documents`` has the number of documents per gram. Each item keeps its
+    rarest n-grams: as many as an alignment of SIMILARITY may leave unmatched,
+    and the hits it needs besides.
     """
     rarity = np.repeat(documents, np.diff(items.first))
     keep = np.zeros(len(items.item), bool)
@@ -110,8 +126,10 @@ def rare_seeds(items: Items, documents: np.ndarray) -> np.ndarray:
     starts = np.flatnonzero(np.diff(items.item[order], prepend=-1))
     ends = [*starts[1:], len(order)]
     for start, end in zip(starts, ends):
-        wanted = max(LEAST_SEEDS, math.ceil(SEED_SHARE * (end - start)))
-        keep[order[start : min(end, start + wanted)]] = True
+        size = end - start
+        if size >= SHORTEST:
+            wanted = size - least_matches(size) + needed_hits(size)
+            keep[order[start : start + wanted]] = True
     return keep
 
 
@@ -147,59 +165,92 @@ class Finder:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: Items, seeds: np.ndarray):
-        self.items, self.seeds = items, seeds
+        self.items = items
+        # Occurrences of the seeds alone, ordered by gram as in ``items``.
+        self.first = np.append(0, np.cumsum(seeds))[items.first]
+        self.item, self.offset = items.item[seeds], items.offset[seeds]
+        self.sizes = np.array([len(words) for words in items.words], np.int64)
+        self.needed = np.array([needed_hits(size) for size in self.sizes], np.int64)
+        self.mask = np.zeros(len(items.vocabulary) + 1, bool)  # the last: words of no item
 
     def stretches(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, from, to) where different seeds of an item come together."""
         items = self.items
         places, grams = items.grams_in(numbers)
+        counts = self.first[grams + 1] - self.first[grams]
+        places, grams, counts = places[counts > 0], grams[counts > 0], counts[counts > 0]
         if not len(places):
             return
-        counts = items.first[grams + 1] - items.first[grams]
-        entry = np.repeat(items.first[grams], counts) + (
-            np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        )
-        place = np.repeat(places, counts)
-        kept = self.seeds[entry]
-        entry, place = entry[kept], place[kept]
-        owner, begin = items.item[entry], place - items.offset[entry]
+        entry = np.repeat(self.first[grams] - np.cumsum(counts) + counts, counts)
+        entry += np.arange(len(entry))
+        owner, begin = self.item[entry], np.repeat(places, counts) - self.offset[entry]
         order = np.lexsort((begin, owner))
-        owner, begin, entry = owner[order], begin[order], entry[order]
-        sizes = np.fromiter((len(items.words[i]) for i in owner), np.int64, len(owner))
-        apart = (np.diff(owner) != 0) | (np.diff(begin) > sizes[1:])
-        for part in np.split(np.arange(len(owner)), np.flatnonzero(apart) + 1):
-            if not len(part):
-                continue
-            item = int(owner[part[0]])
+        owner, begin = owner[order], begin[order]
+        # Runs of seeds of one item, as many as it needs within its own length.
+        ahead = np.arange(len(owner)) + self.needed[owner] - 1
+        inside = ahead < len(owner)
+        ahead[~inside] = 0
+        enough = inside & (owner[ahead] == owner) & (begin[ahead] - begin <= self.sizes[owner])
+        runs = np.flatnonzero(enough)
+        if not len(runs):
+            return
+        # Runs that share a seed are one stretch.
+        new = (runs[1:] > ahead[runs[:-1]]) | (owner[runs[1:]] != owner[runs[:-1]])
+        heads = np.append(0, np.flatnonzero(new) + 1)
+        tails = np.append(heads[1:], len(runs)) - 1
+        lasts = ahead[runs[tails]]
+        for run, last in zip(runs[heads], lasts):
+            item = int(owner[run])
             size = len(items.words[item])
-            needed = min(HITS, max(1, size - SEED_WORDS))
-            if len(np.unique(items.offset[entry[part]])) < needed:
-                continue
-            slack = size // 3 + 2
-            first = max(0, int(begin[part[0]]) - slack)
-            last = min(len(numbers), int(begin[part[-1]]) + size + slack)
-            yield item, first, last
+            yield item, max(0, int(begin[run]) - size), min(len(numbers), int(begin[last]) + 2 * size)
+
+    def promising(self, item: int, text: np.ndarray) -> bool:
+        """Whether an upper bound of the score reaches SIMILARITY somewhere.
+
+        Words of the item count as matched wherever they stand, all others as
+        put in; an alignment takes up no more than twice the item's words.
+        """
+        words = self.items.words[item]
+        self.mask[words] = True
+        value = np.where(self.mask[text], MATCH, -GAP)
+        self.mask[words] = False
+        total = np.append(0, np.cumsum(value))
+        lowest, reach, most = total.copy(), 0, 2 * len(words)
+        while reach < min(most, len(total) - 1):
+            step = min(reach + 1, most - reach)
+            lowest[step:] = np.minimum(lowest[step:], lowest[:-step].copy())
+            reach += step
+        return bool((total - lowest).max() >= SIMILARITY * MATCH * len(words))
 
     def find(self, text: str) -> list[dict]:
         """Best alignment per item, those of SIMILARITY or more."""
         numbers = self.items.numbers(text)
         best: dict[int, dict] = {}
-        for item, first, last in self.stretches(numbers):
+        places: dict[int, list[tuple[int, int]]] = {}
+        waiting = list(self.stretches(numbers))[::-1]
+        while waiting:
+            item, first, last = waiting.pop()
             words = self.items.words[item]
+            if not self.promising(item, numbers[first:last]):
+                continue
             score, start, end = align(words, numbers[first:last])
             similarity = score / (MATCH * len(words))
             if similarity < SIMILARITY:
                 continue
-            known = best.get(item)
-            passages = known["passages"] + 1 if known else 1
-            if not known or similarity > known["similarity"]:
+            start, end = first + start, first + end
+            waiting += [(item, first, start), (item, end, last)]
+            known = places.setdefault(item, [])
+            if any(start < high and end > low for low, high in known):
+                continue  # neighbouring stretches may reach into each other
+            known.append((start, end))
+            if item not in best or similarity > best[item]["similarity"]:
                 best[item] = {
                     "item": item,
                     "similarity": similarity,
-                    "start_word": first + start,
-                    "end_word": first + end,
+                    "start_word": start,
+                    "end_word": end,
                 }
-            best[item]["passages"] = passages
+            best[item]["passages"] = len(known)
         return [best[item] for item in sorted(best)]
 
 
@@ -258,7 +309,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Returns doc_id, item_id, similarity (alignment score over the best
     possible one), passages (places in the text), start_word and end_word of
     the best. NULL and empty texts on either side match nothing; items shorter
-    than SEED_WORDS words have no seeds and match nothing. Repeated rows give
+    than SHORTEST words have no seeds and match nothing. Repeated rows give
     their pairs each; NULL ids stay NULL; other columns are ignored. Without
     test items the result is empty.
     """
