@@ -229,6 +229,16 @@ def test_edited_copies_against_brute_force(exact):
     assert reached > 30
 
 
+def test_passages_in_capitals(spark):
+    passage = "ñandú ÉTÉ straße öl ação niño über œuvre čaj łódź ёлка щука Straße größer"
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    docs = [(1, passage.upper()), (2, passage.lower()), (3, f"before {passage.upper()} after")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = seed_align.find_passages(docs, benchmark).collect()
+    assert {(row["doc_id"], row["similarity"]) for row in rows} == {(1, 1.0), (2, 1.0), (3, 1.0)}
+    assert seed_align.without_passages(docs, benchmark).count() == 0
+
+
 def test_passages_in_blocks(spark, documents, monkeypatch):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     whole = set(map(tuple, seed_align.find_passages(documents, benchmark).collect()))

@@ -93,6 +93,12 @@ def plain_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().translate(_blanked).split()
 
 
+def folded_words(text: str) -> list[bytes]:
+    """The same with all letters folded, so that case never tells words apart."""
+    raw = text.casefold().encode("utf-8", "surrogatepass")
+    return raw.translate(_blanked).split()
+
+
 def word_hashes(tokens: list[bytes]) -> np.ndarray:
     """64-bit hashes of the words, in order."""
     digest = xxhash.xxh64_intdigest

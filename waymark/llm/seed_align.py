@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import fresh_name, narrow, plain_words, prepare
+from waymark.llm.common import folded_words, fresh_name, narrow, prepare
 
 SEED_WORDS = 1
 SHORTEST = 3  # words of an item that is looked for
@@ -57,7 +57,7 @@ class Items:
     offset: np.ndarray
 
     def numbers(self, text: str) -> np.ndarray:
-        tokens = plain_words(text)
+        tokens = folded_words(text)
         found = map(self.vocabulary.get, tokens, repeat(-1))
         return np.fromiter(found, np.int64, len(tokens))
 
@@ -87,7 +87,7 @@ def index_items(texts: list[str]) -> Items:
     vocabulary: dict[bytes, int] = {}
     words = []
     for text in texts:
-        tokens = plain_words(text)
+        tokens = folded_words(text)
         numbers = [vocabulary.setdefault(token, len(vocabulary)) for token in tokens]
         words.append(np.array(numbers, np.int64))
     if len(vocabulary) >= 1 << 20:
