@@ -126,6 +126,17 @@ def test_repeats_decide_where_nothing_is_marked():
     assert host_suffixes.extract([pages[0]] * 3) == [f"{shared}\n{own[0]}"] * 3
 
 
+def test_repeated_menus_of_short_blocks():
+    menu = "".join(f"<li>{word}</li>" for word in ("Home", "About", "Contact", "Shop", "Login"))
+    foot = "<div>Copyright Us</div><div>Share this</div><p>All rights reserved</p>"
+    own = [" ".join(f"word{i}{j}" for j in range(12)) for i in range(6)]
+    pages = [f"<ul>{menu}</ul><p>{text}</p>{foot}" for text in own]
+    assert host_suffixes.extract(pages) == own
+    # No run goes from one page into the next.
+    halves = ["<p>a b c d</p>", "<p>e f g h</p>", "<p>a b c d</p><p>x</p>", "<p>e f g h</p><p>y</p>"]
+    assert host_suffixes.extract(halves) == ["a b c d", "e f g h", "a b c d\nx", "e f g h\ny"]
+
+
 def test_suffix_groups():
     rng = random.Random(1)
     stream = np.array([rng.randint(0, 2) for _ in range(400)])
