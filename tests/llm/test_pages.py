@@ -126,6 +126,20 @@ def test_repeats_decide_where_nothing_is_marked():
     assert host_suffixes.extract([pages[0]] * 3) == [f"{shared}\n{own[0]}"] * 3
 
 
+def test_markup_before_repeats(spark):
+    """A marked article is kept whole; the suffix array decides where none is marked."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    htmls = [row["html"] for row in pages.orderBy("page_id").collect()]
+    blocks = [host_suffixes.read_blocks(html) for html in htmls]
+    assert blocks and all(block.main for page in blocks for block in page)
+    notice = "<p>this notice of ten words stands in every article here</p>"
+    marked = [html.replace("</article>", f"{notice}</article>") for html in htmls[:20]]
+    bare = [re.sub("</?article>", "", html) for html in marked]
+    text = "this notice of ten words stands in every article here"
+    assert all(text in found for found in host_suffixes.extract(marked))
+    assert not any(text in found for found in host_suffixes.extract(bare))
+
+
 def test_repeated_menus_of_short_blocks():
     menu = "".join(f"<li>{word}</li>" for word in ("Home", "About", "Contact", "Shop", "Login"))
     foot = "<div>Copyright Us</div><div>Share this</div><p>All rights reserved</p>"
