@@ -168,6 +168,22 @@ def test_hosts_in_chunks(spark, monkeypatch):
     assert all(row["text"] == article_of(htmls[row["page_id"]]) for row in rows)
 
 
+def test_repeats_across_chunks(spark, monkeypatch):
+    """Chunks of a host come to the same texts as the host in one piece."""
+    shared = "this line of ten words stands on every page here"
+    pairs = [f"line {i // 2} that only two pages of this big host share" for i in range(40)]
+    own = [" ".join(f"word{i}x{j}" for j in range(12)) for i in range(40)]
+    htmls = [f"<div>{shared}</div><p>{a}</p><div>{b}</div>" for a, b in zip(pairs, own)]
+    rows = [(i, f"http://big.org/{i}", html) for i, html in enumerate(htmls)]
+    rows += [(100 + i, f"http://big.org/copy{i}", "<p>one text that is only ever copied whole</p>") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = {row["page_id"]: row["text"] for row in host_suffixes.main_text(pages).collect()}
+    assert [whole[i] for i in range(40)] == own
+    monkeypatch.setattr(host_suffixes, "CHUNK_CHARS", 400)
+    cut = {row["page_id"]: row["text"] for row in host_suffixes.main_text(pages).collect()}
+    assert cut == whole and cut[100] == "one text that is only ever copied whole"
+
+
 # -- pipeline and registration -----------------------------------------------
 
 
