@@ -128,6 +128,21 @@ def test_disclosive_terms(spark):
     assert disclosure.redact("abc", []) == "abc"
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_disclosive_terms_far_from_the_entity(spark, monkeypatch, limit):
+    monkeypatch.setattr(disclosure, "BROADCAST_ROWS", limit)
+    filler = "plain words without any data about anything at all today "
+    rows = [(i, f"{filler * 3} contactline user{i}@site{i}.org {filler * 10}") for i in range(12)]
+    rows += [(50, f"{rows[0][1]} Contactline"), (51, f"a@b.org {filler * 10} contactline")]
+    rows += [(100 + i, filler * 5) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row["doc_id"]: row for row in disclosure.find_spans(docs).collect()}
+    assert (found[3]["n_term"], found[50]["n_term"], found[51]["n_term"]) == (1, 2, 1)
+    start = rows[12][1].index("Contactline")
+    assert found[50]["spans"].endswith(f"term:{start}:{start + 11}")
+    assert found[100]["spans"] == ""
+
+
 def test_weak_parts_need_a_complement(spark):
     far = " word" * 200
     rows = [

@@ -7,8 +7,9 @@ or one value that occurs in several contexts) and a term t,
     IC(c) = -log2 p(c)      PMI(t; c) = log2 (p(t, c) / (p(t) p(c)))
 
 with p over the tokens of all texts. PMI never exceeds IC; it reaches it where
-the term occurs only beside the entity. A term beside an entity is reported
-where PMI(t; c) >= DISCLOSURE * IC(c) and enough distinct evidence supports it.
+the term occurs only beside the entity. A term is disclosive where
+PMI(t; c) >= DISCLOSURE * IC(c) and enough distinct evidence beside the entity
+supports it; it is then reported wherever it stands in a text with the entity.
 Such spans are generalised (entities) or removed (terms).
 """
 
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import bounded_broadcast, narrow, sha256
+from waymark.llm.common import BROADCAST_ROWS, narrow, sha256
 from waymark.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -128,6 +129,33 @@ def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
     return found
 
 
+def held_entities(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
+    """The kinds and values that a text holds, named as in ``_candidates``."""
+    values = (
+        f"{kind}:{xxhash.xxh64_hexdigest(text[start:end].lower().encode())}"
+        for kind, start, end in spans
+    )
+    return {kind for kind, _, _ in spans}.union(values)
+
+
+def term_spans(
+    text: str, spans: list[tuple[str, int, int]], terms: set[str]
+) -> list[tuple[str, int, int]]:
+    """All places of the terms outside base spans, in order."""
+    if not terms:
+        return []
+    covered = sorted((start, end) for _, start, end in spans)
+    found, first = [], 0
+    for match in _term.finditer(text):
+        if match.group().lower() in terms:
+            begin, stop = match.span()
+            while first < len(covered) and covered[first][1] <= begin:
+                first += 1
+            if not any(begin < end and stop > start for start, end in covered[first:]):
+                found.append((TERM, begin, stop))
+    return found
+
+
 def find_base(docs: DataFrame) -> DataFrame:
     """Base spans and context terms of every text, one row per row."""
 
@@ -227,28 +255,60 @@ def find_spans(
     no spans, a NULL doc_id stays NULL, repeated rows come back each, other
     columns are ignored. Ties at the thresholds count as reached.
     """
-    found = materialise(
-        find_base(docs).withColumn("row", F.monotonically_increasing_id()), "disclosure-base"
-    )
+    found = materialise(find_base(docs), "disclosure-base")
     flagged = materialise(disclosive_terms(docs, found, disclosure, support), "disclosure-terms")
-    added = (
-        found.select("row", F.explode("near").alias("near"))
-        .select("row", "near.*")
-        .join(bounded_broadcast(flagged), ["entity", "term"])
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    )
-    named = F.transform(
-        "terms", lambda span: F.concat_ws(":", F.lit(TERM), span["start"], span["end"])
+    texts = narrow(docs)
+    key = texts.schema["doc_id"].dataType.simpleString()
+    few = flagged.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    shared = None
+    if few:
+        terms: dict[str, set[str]] = {}
+        for row in flagged.collect():
+            terms.setdefault(row["entity"], set()).add(row["term"])
+        shared = docs.sparkSession.sparkContext.broadcast(terms)
+    else:
+        texts = _with_terms(texts, flagged)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            given = [None] * len(batch) if shared else batch["terms"]
+            for text, terms in zip(batch["text"], given):
+                spans = base_spans(text)
+                if shared:
+                    held = held_entities(text, spans) if shared.value else ()
+                    terms = set().union(*(shared.value.get(entity, ()) for entity in held))
+                added = term_spans(text, spans, set() if terms is None else set(terms))
+                count = Counter(kind for kind, _, _ in spans)
+                parts = (joined(spans), joined(spans + added), len(added))
+                rows.append((*(count[kind] for kind in KINDS), *parts))
+            names = [*(f"n_{kind}" for kind in KINDS), "base", "spans", "n_term"]
+            frame = pd.DataFrame(rows, columns=names)
+            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            yield frame
+
+    counts = ", ".join(f"n_{kind} long" for kind in KINDS)
+    return texts.mapInPandas(run, f"doc_id {key}, {counts}, base string, spans string, n_term long")
+
+
+def _with_terms(texts: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Every text with the flagged terms of the entities it holds, by joins."""
+
+    @F.pandas_udf("array<string>")
+    def entities(batch: pd.Series) -> pd.Series:
+        return pd.Series([sorted(held_entities(text, base_spans(text))) for text in batch], dtype=object)
+
+    numbered = materialise(
+        texts.withColumn("row", F.monotonically_increasing_id()).withColumn("held", entities("text")),
+        "disclosure-held",
     )
-    parts = [F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, named)]
-    return found.join(added, "row", "left").select(
-        "doc_id",
-        *[f"n_{kind}" for kind in KINDS],
-        "base",
-        F.concat_ws(",", *parts).alias("spans"),
-        F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"),
+    terms = (
+        numbered.select("row", F.explode("held").alias("entity"))
+        .join(flagged, "entity")
+        .groupBy("row")
+        .agg(F.collect_set("term").alias("terms"))
     )
+    return numbered.join(terms, "row", "left").select("doc_id", "text", "terms")
 
 
 def parse_spans(spans: str) -> list[tuple[str, int, int]]:
