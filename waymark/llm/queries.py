@@ -11,6 +11,7 @@ from waymark.llm import (
     bpe_lexicon,
     credentials,
     disclosure,
+    four_russians,
     hidden_markov,
     host_suffixes,
     line_rules,
@@ -71,6 +72,10 @@ def op10_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_suffixes.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return four_russians.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_disclosure,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         op8_credentials,
         op9_url_trees,
         op10_host_suffixes,
+        op11_four_russians,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
@@ -120,8 +126,32 @@ select s.doc_id, len(s.shingles) as n_shingles,
 from sets s left join nodes n on s.shingles = n.shingles left join labels l on l.node = n.node
 """
 
+# Positives and negatives of every anchor, from all scores.
+_HARD_NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as parts
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same,
+    list_dot_product(a.parts, o.parts)::bigint as score
+  from rows a join rows o on a.vec_id % 50 = 0 and a.vec_id <> o.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+ranked as (
+  select p.*, vec_id as negative_id, score as negative_score, row_number() over (
+    partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+  from positives p join scores s on p.anchor_id = s.anchor_id and not same
+    and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+from ranked where rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Statements for DuckDB; the other queries train, align or merge, and are
     tested against brute force, the library or held-out rows."""
-    return {"op2_signature_tree": _COMPONENTS}
+    return {"op2_signature_tree": _COMPONENTS, "op11_four_russians": _HARD_NEGATIVES}
