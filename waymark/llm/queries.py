@@ -15,6 +15,7 @@ from waymark.llm import (
     hidden_markov,
     host_suffixes,
     line_rules,
+    periodic_runs,
     seed_align,
     signature_tree,
     toxic_cnn,
@@ -76,6 +77,13 @@ def op11_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return four_russians.mine(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return periodic_runs.digests(
+        periodic_runs.find_runs(documents, periodic_runs.planted_order)
+    )
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_disclosure,
@@ -89,6 +97,7 @@ def queries() -> dict[str, Query]:
         op9_url_trees,
         op10_host_suffixes,
         op11_four_russians,
+        op12_periodic_runs,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
