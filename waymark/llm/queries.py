@@ -18,6 +18,7 @@ from waymark.llm import (
     periodic_runs,
     seed_align,
     signature_tree,
+    suffix_buckets,
     toxic_cnn,
     url_trees,
 )
@@ -84,6 +85,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_buckets.digests(
+        suffix_buckets.without_repeats(_table(spark, sf_dir, "documents"))
+    )
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_disclosure,
@@ -98,6 +105,7 @@ def queries() -> dict[str, Query]:
         op10_host_suffixes,
         op11_four_russians,
         op12_periodic_runs,
+        op13_suffix_buckets,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
