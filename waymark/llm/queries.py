@@ -167,8 +167,91 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 from ranked where rank <= 3
 """
 
+# Runs from all pairs of equal words at a distance of at most half the text.
+# The checksum (crc32) goes through the digits of the id bit by bit.
+_PERIODIC_RUNS = r"""
+with texts as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as words,
+    xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+      string_split(doc_id::varchar, ''),
+      lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, e: case when e >= 0 then xor(c, e) else xor(c >> 1, 3988292384 * (c & 1)) end
+    )) as h
+  from documents),
+shapes as (
+  select doc_id, words, len(words) as n, h % 10 = 0 and len(words) > 0 as moved, h // 10 as g,
+    case when len(words) > 0 then (h // 10) % len(words) end as a from texts),
+places as (
+  select doc_id, n, words, i, case when moved and i >= a
+    then a + (i - a) % (1 + (n - a) // (3 + g % 8)) else i end as origin
+  from (select *, unnest(range(n)) as i from shapes)),
+tokens as (select doc_id, n, i, words[origin + 1] as word from places),
+equal as (
+  select a.doc_id, b.i - a.i as q, a.i as i
+  from tokens a join tokens b on a.doc_id = b.doc_id and a.word = b.word and a.i < b.i
+  where 2 * (b.i - a.i) <= a.n),
+islands as (
+  select doc_id, q, min(i) as start, count(*) + q as length
+  from (select *, i - row_number() over (partition by doc_id, q order by i) as island from equal)
+  group by doc_id, q, island having count(*) + q >= greatest(12, 2 * q)),
+runs as (select doc_id, start, length, min(q) as period from islands group by doc_id, start, length),
+listed as (
+  select doc_id, count(*) as n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines,
+    min({'l': -length, 's': start, 'p': period}) as best
+  from runs group by doc_id),
+dropped as (
+  select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+kept as (
+  select doc_id, string_agg(word, ' ' order by i) as text
+  from tokens anti join dropped using (doc_id, i) group by doc_id)
+select t.doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, -best.l as length,
+  best.p as period, 1000 * -best.l // best.p as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+from texts t left join listed using (doc_id) left join kept k using (doc_id)
+"""
+
+# Every string of 100 bytes, as hexadecimal text, and where it comes first.
+_REPEATED_BYTES = """
+with texts as (
+  select row_number() over () as row, doc_id, hex(encode(coalesce(text, ''))) as hex from documents),
+strings as (
+  select row, doc_id, start, substring(hex, 2 * start + 1, 200) as string
+  from (select row, doc_id, hex, unnest(range(len(hex) // 2 - 99)) as start from texts)),
+hits as (
+  select row, start from (
+    select row, start, doc_id, first_value({'d': doc_id, 's': start}) over (
+      partition by md5(string) order by doc_id, start) as head from strings)
+  where head.d <> doc_id or head.s <> start),
+marked as (
+  select row, start, start > 100 + lag(start, 1, -1000) over (partition by row order by start) as opens
+  from hits),
+runs as (
+  select row, min(start) as low, max(start) + 100 as high
+  from (select row, start, sum(opens::int) over (partition by row order by start) as run from marked)
+  group by row, run),
+pieces as (
+  select t.row, coalesce(r.low, len(hex) // 2) as low,
+    coalesce(lag(r.high) over w, 0) as begin, r.low is null as rest
+  from texts t join (select * from runs union all select row, null, null from texts) r using (row)
+  window w as (partition by t.row order by r.low nulls last)),
+kept as (
+  select p.row, string_agg(substring(hex, 2 * begin + 1, 2 * (low - begin)), '' order by low, begin) as hex
+  from pieces p join texts t using (row) group by p.row),
+counts as (select row, count(*) as spans, sum(high - low) as bytes from runs group by row)
+select doc_id, len(t.hex) // 2 as n_bytes, coalesce(bytes, 0)::bigint as n_removed,
+  coalesce(spans, 0) as n_spans, sha256(unhex(k.hex)) as kept_sha256
+from texts t join kept k using (row) left join counts using (row)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Statements for DuckDB; the other queries train, align or merge, and are
     tested against brute force, the library or held-out rows."""
-    return {"op2_signature_tree": _COMPONENTS, "op11_four_russians": _HARD_NEGATIVES}
+    return {
+        "op2_signature_tree": _COMPONENTS,
+        "op11_four_russians": _HARD_NEGATIVES,
+        "op12_periodic_runs": _PERIODIC_RUNS,
+        "op13_suffix_buckets": _REPEATED_BYTES,
+    }
