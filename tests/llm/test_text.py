@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from waymark.llm import bpe_lexicon, hidden_markov, line_rules, seed_align, toxic_cnn
+from waymark.llm import bpe_lexicon, line_rules, seed_align, toxic_cnn
 from waymark.llm.common import lower_words, words
 
 PATH = bpe_lexicon.default_vocabulary()
@@ -310,68 +310,3 @@ def test_lines_go_and_documents_that_lose_too_much():
     menu = "\n".join(f"a{i} | b{i} | c{i} | d{i}" for i in range(30))
     assert not line_rules.measure(menu)["kept"]
     assert line_rules.measure(menu)["cleaned"] == ""
-
-
-# -- 7 -----------------------------------------------------------------------
-
-
-def test_base_scores(documents, texts):
-    training = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    counts = Counter(token for text in training for token in [*lower_words(text), b"\n"])
-    total, kinds = sum(counts.values()), len(counts)
-    scores = []
-    for row in hidden_markov.score(documents).collect():
-        tokens = [*lower_words(texts[row["doc_id"]]), b"\n"]
-        base = sum(math.log10((counts[t] + 1) / (total + kinds + 1)) for t in tokens)
-        assert row["n_tokens"] == len(tokens) and row["train_tokens"] == total
-        assert row["n_known"] == sum(counts[t] > 0 for t in tokens)
-        assert math.isclose(row["base_score"], base, rel_tol=1e-9, abs_tol=1e-6)
-        if row["held_out"]:
-            scores.append((row["score"], row["base_score"]))
-    assert sum(a for a, _ in scores) > sum(b for _, b in scores)  # beats the unigrams
-
-
-def small_model(rng, symbols=12):
-    states = hidden_markov.STATES
-    start, move = rng.random(states), rng.random((states, states))
-    emit = rng.random((symbols, states))
-    return hidden_markov.Model(
-        {}, start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
-    )
-
-
-def test_likelihood_is_the_forward_recursion():
-    rng = np.random.default_rng(1)
-    model = small_model(rng)
-    texts = [rng.integers(0, 12, n) for n in (1, 2, 63, 64, 65, 128, 129, 1000, 3, 64)]
-    for text, found in zip(texts, hidden_markov.likelihoods(model, texts)):
-        state, log = model.start * model.emit[text[0]], 0.0
-        for symbol in text[1:]:
-            log += math.log10(state.sum())
-            state = (state / state.sum()) @ model.move * model.emit[symbol]
-        assert math.isclose(found, log + math.log10(state.sum()), rel_tol=1e-10)
-
-
-def test_expected_counts_raise_the_likelihood():
-    rng = np.random.default_rng(2)
-    model = small_model(rng)
-    stream = np.concatenate([[*rng.integers(1, 6, 20), *rng.integers(6, 12, 20), 0] for _ in range(40)])
-    logs = []
-    for _ in range(6):
-        starts, moves, seen, log = hidden_markov.expected_counts(model, stream, 0)
-        assert math.isclose(seen.sum(), len(stream), rel_tol=1e-9)
-        assert math.isclose(starts.sum(), 40, rel_tol=1e-9)
-        logs.append(log)
-        model = hidden_markov.Model(
-            {}, starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), seen / seen.sum(axis=0)
-        )
-    assert logs[-1] > logs[0]
-
-
-def test_language_model_odd_rows(odd_docs, no_docs):
-    rows = hidden_markov.score(odd_docs).collect()
-    assert len(rows) == 15
-    empty = [row for row in rows if row["doc_id"] in (1, 2, 3)]
-    assert {row["n_tokens"] for row in empty} == {1}
-    assert all(math.isfinite(row["score"]) for row in rows)
-    assert hidden_markov.score(no_docs).count() == 0

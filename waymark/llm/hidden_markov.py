@@ -1,43 +1,55 @@
 """Hidden Markov language model: Baum-Welch over the corpus, exact likelihoods.
 
-Latent states emit the frequent words and one class for all other words, whose
-members share its probability by their smoothed counts. Every iteration of
-Baum-Welch is one pass over the training texts: tasks run forward-backward over
-segments and hand on expected counts, which Spark adds up. The likelihood of a
-text is the scaled forward recursion over all of it.
+Texts are split into words once and stored in chunks: their words as numbers
+into the chunk's own vocabulary, which is kept as sorted 64-bit hashes. Every
+word of the training texts has an emission of its own in every state. Expected
+emission counts live in buckets of the hash: a chunk hands its counts to the
+buckets, a bucket adds them up and hands the totals of just that chunk's words
+back, so no task holds the vocabulary of the corpus. One iteration of
+Baum-Welch is such an exchange and one forward-backward pass over whole texts,
+all texts of a chunk side by side, the longest first.
+
+A word that was seen c times in N training words has the probability
+(1 - u) * ((1 - MIXED) * counts in the state / all counts in the state
++ MIXED * c / N); any other word has u, what the base model gives it. The
+likelihood of a text is the scaled forward recursion over all of it.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import (
-    fold,
-    lower_words,
-    most_frequent,
-    narrow,
-    prepare,
-    word_counts,
-)
-from waymark.session import materialise
+from waymark.llm.common import ARROW_ROWS, fold, lower_words, mix, narrow, prepare, word_hashes
+from waymark.session import delete_folder, work_folder
 
 HELD_OUT = (7, 2)  # ids whose crc32 modulo 7 is 2 are not learned from
 END = b"\n"  # the end of a text; no word can be this
 STATES = 8
 ITERATIONS = 3
-# Words with an emission of their own, and words whose counts workers hold.
-EMITTED_WORDS = 20_000
-HELD_WORDS = 65_536
-SEGMENT = 64  # tokens of a training segment
-FLUSH_TOKENS = 131_072
+MIXED = 0.05  # share of the word frequencies in every state's emissions
+CHUNK_TOKENS = 1 << 22  # tokens of a chunk, unless one text has more
+STEP_TOKENS = 1 << 19  # tokens whose recursions are held at a time
 SEED = 5
+EXCHANGE = "float32"  # of expected counts between tasks; sums are double
+SMALLEST = 1e-3  # added to expected starts and moves
+
+CHUNK = (
+    "chunk long, keys array<string>, held binary, sizes binary, tokens binary, "
+    "hashes binary, counts binary"
+)
+HANDED = "chunk long, bucket int, hashes binary, counts binary, values binary, stats array<double>"
+RETURNED = "chunk long, bucket int, counts binary, values binary, stats array<double>"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -46,248 +58,410 @@ def tokens(text: str) -> list[bytes]:
 
 @dataclass
 class Model:
-    """Probabilities; the last emission column is the class of other words."""
+    """What all tasks know: moves between states and totals of the emissions."""
 
-    words: dict[bytes, int]
     start: np.ndarray
     move: np.ndarray
-    emit: np.ndarray  # (symbols, states)
+    totals: np.ndarray = field(default_factory=lambda: np.zeros(STATES))
+    train_tokens: int = 0
+    distinct: int = 0
+
+    def emissions(self, counts: np.ndarray) -> np.ndarray:
+        """Probabilities per state of words with these expected counts."""
+        seen = counts.sum(axis=1)
+        unknown = 1 / (self.train_tokens + self.distinct + 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            own = (1 - MIXED) * counts / self.totals
+            own += (MIXED / max(1, self.train_tokens)) * seen[:, None]
+        return np.where(seen[:, None] > 0, (1 - unknown) * own, unknown)
+
+
+def first_model() -> Model:
+    """States that last."""
+    move = np.full((STATES, STATES), 0.1 / max(1, STATES - 1))
+    np.fill_diagonal(move, 0.9)
+    return Model(np.full(STATES, 1 / STATES), move)
 
-    @property
-    def other(self) -> int:
-        return len(self.emit) - 1
 
+def first_counts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Every word dealt to the states differently, by its hash; the end evenly."""
+    weights = np.empty((len(hashes), STATES))
+    for k in range(STATES):
+        number = mix(hashes ^ np.uint64((SEED * STATES + k + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        share = ((number >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+        weights[:, k] = np.exp(-0.5 * np.log(-np.log(share)))
+    weights[hashes == word_hashes([END])[0]] = 1
+    return counts[:, None] * weights / weights.sum(axis=1, keepdims=True)
 
-def first_model(counts: list[int], other: int, end: int) -> Model:
-    """Word frequencies disturbed differently in every state, states that last."""
-    rng = np.random.default_rng(SEED)
-    base = np.array([*counts, max(other, 1)], float)
-    emit = base[:, None] * np.exp(rng.gumbel(0, 0.5, (len(base), STATES)))
-    emit[end] = base[end]
-    move = np.full((STATES, STATES), 0.1 / max(1, STATES - 1))
-    np.fill_diagonal(move, 0.9)
-    return Model({}, np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
+# -- recursions over texts side by side --------------------------------------
 
-def expected_counts(
-    model: Model, symbols: np.ndarray, end: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Forward-backward over a stream of texts cut into segments.
 
-    A new text begins after every ``end``. Segments that begin inside a text
-    start from the model's stationary distribution. Returns expected starts,
-    moves and emissions and the log-likelihood (base 10) of the segments.
+@dataclass
+class Packed:
+    """Texts ordered by falling size; their tokens by time, then by text."""
+
+    tokens: np.ndarray
+    offsets: list[int]  # per time step
+
+    def blocks(self) -> list[tuple[int, int]]:
+        """Time steps in pieces of at most STEP_TOKENS tokens, one step at least."""
+        result, low = [], 0
+        steps = len(self.offsets) - 1
+        while low < steps:
+            high = int(np.searchsorted(self.offsets, self.offsets[low] + STEP_TOKENS, side="right")) - 1
+            high = min(steps, max(low + 1, high))
+            result.append((low, high))
+            low = high
+        return result
+
+
+def pack(stream: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> Packed:
+    """``sizes`` falls; no text is empty."""
+    steps = int(sizes[0])
+    active = np.searchsorted(-sizes, -np.arange(steps), side="left")
+    offsets = np.append(0, np.cumsum(active))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    time = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    packed = np.empty(len(text), stream.dtype)
+    packed[offsets[time] + text] = stream[begins[text] + time]
+    return Packed(packed, offsets.tolist())
+
+
+def groups(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Texts that are worked on together, the longest first."""
+    order = np.argsort(-sizes, kind="stable")
+    reach = np.cumsum(sizes[order])
+    low = 0
+    while low < len(order):
+        before = reach[low] - sizes[order[low]]
+        high = max(low + 1, int(np.searchsorted(reach, before + STEP_TOKENS, side="right")))
+        yield order[low:high]
+        low = high
+
+
+def _forward(
+    model: Model, chance: np.ndarray, offsets: list[int], before: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward probabilities of some time steps, and the scales.
+
+    ``before`` has those of the step ahead of the first one.
     """
-    blank = len(model.emit)
-    emit = np.vstack([model.emit, np.ones(STATES)])
-    count = -(-len(symbols) // SEGMENT)
-    stream = np.full(count * SEGMENT, blank, np.int64)
-    stream[: len(symbols)] = symbols
-    opens = np.empty(len(stream), bool)  # the token begins a text
-    opens[0], opens[1:] = True, stream[:-1] == end
-    steps, opens = stream.reshape(count, SEGMENT).T, opens.reshape(count, SEGMENT).T
-    stationary = np.linalg.matrix_power(model.move, 64).mean(axis=0)
-    chance = emit[steps]  # (time, segments, states)
-    forward = np.empty_like(chance)
-    scale = np.empty(steps.shape)
-    for t in range(SEGMENT):
-        prior = np.broadcast_to(stationary, chance[0].shape) if not t else forward[t - 1] @ model.move
-        now = np.where(opens[t][:, None], model.start, prior) * chance[t]
-        scale[t] = now.sum(axis=1)
-        forward[t] = now / scale[t][:, None]
-    backward = np.ones_like(chance[0])
-    starts, moves = np.zeros(STATES), np.zeros((STATES, STATES))
-    states = np.empty_like(chance)
-    for t in range(SEGMENT - 1, -1, -1):
-        states[t] = forward[t] * backward
-        starts += states[t][opens[t] & (steps[t] != blank)].sum(axis=0)
-        if t:
-            ahead = chance[t] * backward / scale[t][:, None]
-            inside = ~opens[t] & (steps[t] != blank)
-            moves += forward[t - 1][inside].T @ ahead[inside]
-            backward = np.where(opens[t][:, None], 1.0, ahead @ model.move.T)
-    flat, weights = steps.ravel(), states.reshape(-1, STATES)
-    seen = np.column_stack(
-        [np.bincount(flat, weights[:, k], minlength=blank + 1)[:blank] for k in range(STATES)]
-    )
-    return starts, moves * model.move, seen, float(np.log10(scale[steps != blank]).sum())
+    base, ones = offsets[0], np.ones(STATES)
+    result = np.empty_like(chance)
+    scale = np.empty(len(chance))
+    for low, high in zip(offsets, offsets[1:]):
+        low, high = low - base, high - base
+        now = result[low:high]
+        if before is None:
+            now[:] = model.start
+        else:
+            np.matmul(before[: high - low], model.move, out=now)
+        now *= chance[low:high]
+        total = np.matmul(now, ones, out=scale[low:high])
+        now /= total[:, None]
+        before = now
+    return result, scale
 
 
-def likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of every symbol sequence, by the forward recursion.
+def expected_counts(
+    model: Model, emit: np.ndarray, packed: Packed, seen: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Expected starts and moves, and the log-likelihood (base 10) of the texts.
 
-    Texts are cut into segments whose transfer matrices are built together and
-    then applied to the start distribution one after the other: the same sum
-    as the recursion token by token, whatever a text's length.
+    Expected emissions are added to ``seen`` (states, symbols). Time steps that
+    do not fit into memory together are gone through twice.
     """
-    best = model.emit.max(axis=1)
-    emit, peak = model.emit / best[:, None], np.log10(best)
-    pieces = [-(-len(text) // SEGMENT) for text in texts]
-    first = np.cumsum([0, *pieces])
-    owner = np.repeat(np.arange(len(texts)), pieces)
-    number = np.arange(first[-1]) - first[owner]
-    sizes = np.array([len(text) for text in texts], np.int64)
-    width = np.minimum(SEGMENT, sizes[owner] - number * SEGMENT)
-    stream = np.concatenate(texts)
-    begin = (np.cumsum(sizes) - sizes)[owner] + number * SEGMENT
-    order = np.argsort(-width, kind="stable")
-    begin, ordered_width = begin[order], width[order]
-    matrix = np.where((number[order] == 0)[:, None, None], np.eye(STATES), model.move)
-    log = np.zeros(len(order))
-    for t in range(int(ordered_width[0]) if len(order) else 0):
-        active = int(np.searchsorted(-ordered_width, -t, side="left"))
-        part = matrix[:active]
-        if t:
-            part = (part.reshape(-1, STATES) @ model.move).reshape(part.shape)
-        part = part * emit[stream[begin[:active] + t]][:, None, :]
-        if t % 8 == 7:
-            total = part.sum(axis=(1, 2))
-            part /= total[:, None, None]
-            log[:active] += np.log10(total)
-        matrix[:active] = part
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    result = np.add.reduceat(peak[stream], np.cumsum(sizes) - sizes)
-    state = np.tile(model.start, (len(texts), 1))
-    by_pieces = np.argsort(-np.array(pieces), kind="stable")
-    ranked = np.array(pieces)[by_pieces]
-    for step in range(int(ranked[0]) if len(ranked) else 0):
-        chosen = by_pieces[: int(np.searchsorted(-ranked, -step, side="left"))]
-        place = back[first[chosen] + step]
-        now = np.einsum("ti,tij->tj", state[chosen], matrix[place])
-        total = now.sum(axis=1)
-        state[chosen] = now / total[:, None]
-        result[chosen] += np.log10(total) + log[place]
+    starts, moves, log = np.zeros(STATES), np.zeros((STATES, STATES)), 0.0
+    blocks, offsets = packed.blocks(), packed.offsets
+    befores: list[np.ndarray | None] = [None]
+    for low, high in blocks[:-1]:
+        chance = emit[packed.tokens[offsets[low] : offsets[high]]]
+        state, _ = _forward(model, chance, offsets[low : high + 1], befores[-1])
+        befores.append(state[offsets[high - 1] - offsets[low] :].copy())
+    ahead, back = None, model.move.T.copy()
+    for (first, last), before in zip(reversed(blocks), reversed(befores)):
+        base = offsets[first]
+        symbols = packed.tokens[base : offsets[last]]
+        chance = emit[symbols]
+        state, scale = _forward(model, chance, offsets[first : last + 1], before)
+        log += float(np.log10(scale).sum())
+        chance /= scale[:, None]
+        for t in range(last - 1, first - 1, -1):
+            low, high = offsets[t] - base, offsets[t + 1] - base
+            now, behind = chance[low:high], state[low:high]
+            if ahead is not None:  # texts that end here keep 1
+                backward = ahead @ back
+                now[: len(ahead)] *= backward
+                after = behind[: len(ahead)]
+            # From here on ``now`` is chance times backward over scale.
+            if t > first:
+                earlier = state[offsets[t - 1] - base :][: high - low]
+            else:
+                earlier = before
+            if earlier is not None:
+                moves += earlier[: high - low].T @ now
+            if ahead is not None:
+                after *= backward
+            ahead = now
+        if not first:
+            starts += state[: offsets[1]].sum(axis=0)
+        for k in range(STATES):
+            seen[k] += np.bincount(symbols, state[:, k], minlength=seen.shape[1])
+    return starts, moves * model.move, log
+
+
+def likelihoods(model: Model, emit: np.ndarray, packed: Packed) -> np.ndarray:
+    """log10 probability of every text, by the forward recursion."""
+    offsets = np.array(packed.offsets)
+    result = np.zeros(packed.offsets[1])
+    before = None
+    for low, high in packed.blocks():
+        symbols = packed.tokens[offsets[low] : offsets[high]]
+        state, scale = _forward(model, emit[symbols], packed.offsets[low : high + 1], before)
+        before = state[offsets[high - 1] - offsets[low] :].copy()
+        widths = np.diff(offsets[low : high + 1])
+        text = np.arange(len(scale)) - np.repeat(np.cumsum(widths) - widths, widths)
+        result += np.bincount(text, np.log10(scale), minlength=len(result))
     return result
 
 
-def _symbols(model: Model, words: list[bytes]) -> np.ndarray:
-    other, find = model.other, model.words.get
-    return np.fromiter((find(word, other) for word in words), np.int64, len(words))
+# -- chunks ------------------------------------------------------------------
+
 
+@contextmanager
+def _batches(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows: chunks are large ones."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
-def baum_welch_step(texts: DataFrame, model: Model) -> Model:
-    """One iteration over all training texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
 
+def _chunks(limit: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now = shared.value
-        end = now.words[END]
-        starts, moves = np.zeros(STATES), np.zeros((STATES, STATES))
-        seen, log, waiting, size = np.zeros(now.emit.shape), 0.0, [], 0
-
-        def flush():
-            nonlocal starts, moves, seen, log, waiting, size
-            if waiting:
-                found = expected_counts(now, np.concatenate(waiting), end)
-                starts, moves = starts + found[0], moves + found[1]
-                seen, log = seen + found[2], log + found[3]
-            waiting, size = [], 0
+        # Unique in the table, and the same when a task runs again.
+        number = TaskContext.get().partitionId() << 32
+        numbers: dict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        keys, held, parts, size = [], [], [], 0
+
+        def chunk() -> pd.DataFrame:
+            stream, sizes = np.concatenate(parts), np.array(list(map(len, parts)), np.int32)
+            hashes = word_hashes(list(numbers))
+            order = np.argsort(hashes)
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            stream = rank[stream]
+            learned = stream[~np.repeat(np.array(held, bool), sizes)]
+            counts = np.bincount(learned, minlength=len(order))
+            row = [number, keys, np.array(held, bool).tobytes(), sizes.tobytes(), stream.tobytes()]
+            row += [hashes[order].tobytes(), counts.astype(np.int64).tobytes()]
+            columns = ["chunk", "keys", "held", "sizes", "tokens", "hashes", "counts"]
+            return pd.DataFrame([row], columns=columns)
 
         for batch in batches:
-            for text in batch["text"]:
-                symbols = _symbols(now, tokens(text))
-                for cut in range(0, len(symbols), FLUSH_TOKENS):
-                    waiting.append(symbols[cut : cut + FLUSH_TOKENS])
-                    size += len(waiting[-1])
-                    if size >= FLUSH_TOKENS:
-                        flush()
-        flush()
-        kept = np.flatnonzero(seen.any(axis=1))
-        # Places below zero: starts, then moves by state.
-        rows = [(-1, starts.tolist())]
-        rows += [(-2 - k, moves[k].tolist()) for k in range(STATES)]
-        rows += [(int(k), seen[k].tolist()) for k in kept]
-        yield pd.DataFrame(rows, columns=["place", "counts"])
-
-    parts = texts.select("text").mapInPandas(run, "place int, counts array<double>")
-    total = parts.groupBy("place").agg(
-        *[F.sum(F.get("counts", F.lit(k))).alias(f"c{k}") for k in range(STATES)]
-    )
-    found = {row[0]: np.array(row[1:]) for row in total.collect()}
-    none = np.zeros(STATES)
-    starts = found.get(-1, none) + 1e-3
-    moves = np.array([found.get(-2 - k, none) for k in range(STATES)]) + 1e-3
-    seen = np.array([found.get(k, none) for k in range(len(model.emit))]) + 1e-4
-    return Model(
-        model.words,
-        starts / starts.sum(),
-        moves / moves.sum(axis=1, keepdims=True),
-        seen / seen.sum(axis=0),
+            for key, out, text in zip(*(batch[c] for c in ("doc_id", "held_out", "text"))):
+                found = tokens(text)
+                parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                keys.append(key)
+                held.append(out)
+                size += len(found)
+                if size >= limit:
+                    yield chunk()
+                    number += 1
+                    numbers.clear()
+                    keys, held, parts, size = [], [], [], 0
+        if parts:
+            yield chunk()
+
+    return run
+
+
+def store_chunks(texts: DataFrame, limit: int) -> tuple[str, str]:
+    """The chunks as a bucketed table, so that joins by chunk leave it in place.
+
+    Returns its name and its folder."""
+    spark = texts.sparkSession
+    # A task of the scan makes a chunk or a few; some buckets for every core.
+    parts = max(2 * spark.sparkContext.defaultParallelism, 2 * texts.rdd.getNumPartitions())
+    name, path = f"waymark_chunks_{uuid.uuid4().hex}", work_folder(spark, "hmm-chunks")
+    (
+        texts.mapInPandas(_chunks(limit), CHUNK)
+        .write.format("parquet")
+        .bucketBy(min(parts, 100_000), "chunk")
+        .option("path", path)
+        .saveAsTable(name)
     )
+    return name, path
 
 
 @dataclass
-class Corpus:
-    """Counts over the training texts; ``held`` has the frequent words' counts."""
-
-    counts: DataFrame
-    train_tokens: int
-    distinct: int
-    held: dict[bytes, int]
-
+class Chunk:
+    """One row of the table."""
+
+    number: int
+    keys: list
+    held: np.ndarray
+    sizes: np.ndarray
+    stream: np.ndarray
+    hashes: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, frame: pd.DataFrame) -> Chunk:
+        row = frame.iloc[0]
+        return cls(
+            int(row["chunk"]),
+            list(row["keys"]),
+            np.frombuffer(row["held"], bool),
+            np.frombuffer(row["sizes"], np.int32).astype(np.int64),
+            np.frombuffer(row["tokens"], np.int32),
+            np.frombuffer(row["hashes"], np.uint64),
+            np.frombuffer(row["counts"], np.int64),
+        )
 
-def count_corpus(training: DataFrame) -> Corpus:
-    counts = materialise(word_counts(training, tokens), "hmm-counts")
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).head()
-    held = most_frequent(counts, HELD_WORDS)
-    for row in counts.filter(F.col("word") == F.lit(END)).collect():
-        held[END] = row["count"]  # emitted in any case
-    return Corpus(counts, total[0], total[1], held)
+    def packed(self, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, Packed]]:
+        """The chosen texts in groups."""
+        begins = np.cumsum(self.sizes) - self.sizes
+        for group in groups(self.sizes[chosen]):
+            texts = chosen[group]
+            yield texts, pack(self.stream, begins[texts], self.sizes[texts])
 
 
-def fit(training: DataFrame, corpus: Corpus, iterations: int = ITERATIONS) -> Model:
-    words = [END, *[word for word in corpus.held if word != END][: EMITTED_WORDS - 1]]
-    own = [max(1, corpus.held.get(word, 0)) for word in words]
-    model = first_model(own, corpus.train_tokens - sum(own), 0)
-    model.words = {word: place for place, word in enumerate(words)}
-    for _ in range(iterations if corpus.train_tokens else 0):
-        model = baum_welch_step(training, model)
-    return model
+def _pieces(chunk: int, bits: int, hashes: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """What a chunk hands to every bucket: the leading bits of the hash."""
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+    return [
+        (chunk, number, hashes[low:high].tobytes(), *[c[low:high].tobytes() for c in columns])
+        for number, (low, high) in enumerate(zip(cuts, cuts[1:]))
+        if high > low
+    ]
 
 
-def score_texts(docs: DataFrame, model: Model, corpus: Corpus) -> DataFrame:
-    """Per row: tokens, and the log sums that need no counts of rare words.
+def _merge(exchange: str, scoring: bool):
+    """Per bucket: the totals of its words, for every chunk in its own order.
 
-    ``rare`` has the words that workers hold no count of, with how often.
+    Without values the counts are dealt to the states. A row of chunk -1 has
+    the totals per state, all counts and the number of words with a count.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, corpus.held))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = shared.value
-        for batch in batches:
-            texts, rows = [], []
-            for text in batch["text"]:
-                found = tokens(text)
-                symbols = _symbols(now, found)
-                texts.append(symbols)
-                rare, known, base, other = Counter(), 0, 0.0, 0.0
-                for word, times in Counter(found).items():
-                    count = held.get(word)
-                    if count is None:
-                        rare[word] = times
-                        continue
-                    known += times
-                    base += times * np.log10(count + 1)
-                    if word not in now.words:
-                        other += times * np.log10(count + 1)
-                n_other = int((symbols == now.other).sum())
-                rows.append((len(found), known, base, other, n_other, list(rare.items())))
-            columns = ["n_tokens", "n_held", "base_sum", "other_sum", "n_other", "rare"]
-            frame = pd.DataFrame(rows, columns=columns)
-            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            frame["hmm"] = likelihoods(now, texts) if texts else []
-            yield frame
-
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(
-        run,
-        f"doc_id {key}, n_tokens long, n_held long, base_sum double, other_sum double, "
-        "n_other long, rare array<struct<word: binary, times: long>>, hmm double",
-    )
 
-
-def score(docs: DataFrame) -> DataFrame:
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(frame["bucket"].iloc[0])
+        hashes = np.concatenate([np.frombuffer(raw, np.uint64) for raw in frame["hashes"]])
+        names, place = np.unique(hashes, return_inverse=True)
+        counts = None
+        if frame["counts"].notna().all():
+            own = np.concatenate([np.frombuffer(raw, np.int64) for raw in frame["counts"]])
+            counts = np.zeros(len(names), np.int64)
+            np.add.at(counts, place, own)
+        if frame["values"].notna().all():
+            own = np.concatenate([np.frombuffer(raw, exchange) for raw in frame["values"]])
+            own = own.reshape(-1, STATES)
+            values = np.column_stack(
+                [np.bincount(place, own[:, k], minlength=len(names)) for k in range(STATES)]
+            )
+        else:
+            values = first_counts(names, counts)
+        cuts = np.cumsum([0, *(len(raw) // 8 for raw in frame["hashes"])])
+        rows = []
+        for chunk, low, high in zip(frame["chunk"], cuts, cuts[1:]):
+            mine = place[low:high]
+            known = counts[mine].tobytes() if scoring else None
+            rows.append((chunk, bucket, known, values[mine].astype(exchange).tobytes(), None))
+        total = [0, 0] if counts is None else [int(counts.sum()), int((counts > 0).sum())]
+        rows.append((-1, bucket, None, None, [*values.sum(axis=0), *map(float, total)]))
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "counts", "values", "stats"])
+
+    return run
+
+
+def _sum_stats(table: DataFrame, size: int) -> np.ndarray:
+    """Element-wise sums of the ``stats`` of all rows that have some."""
+    rows = table.filter("stats is not null").select(F.posexplode("stats").alias("place", "value"))
+    total = np.zeros(size)
+    for row in rows.groupBy("place").agg(F.sum("value").alias("value")).collect():
+        total[row["place"]] = row["value"]
+    return total
+
+
+def _joined(returned: pd.DataFrame, name: str, kind) -> np.ndarray:
+    parts = [np.frombuffer(raw, kind) for raw in returned.sort_values("bucket")[name]]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def _learn(shared, bits: int, exchange: str, last: bool):
+    """Forward-backward over the training texts of a chunk."""
+
+    def run(chunks: pd.DataFrame, returned: pd.DataFrame) -> pd.DataFrame:
+        model: Model = shared.value
+        columns = ["chunk", "bucket", "hashes", "counts", "values", "stats"]
+        if not len(chunks):
+            return pd.DataFrame([], columns=columns)
+        chunk = Chunk.of(chunks)
+        learned = chunk.counts > 0
+        counts = _joined(returned, "values", exchange).reshape(-1, STATES).astype(float)
+        emit = np.ones((len(learned), STATES))
+        emit[learned] = model.emissions(counts)
+        seen = np.zeros((STATES, len(learned)))
+        starts, moves, log = np.zeros(STATES), np.zeros((STATES, STATES)), 0.0
+        for _, packed in chunk.packed(np.flatnonzero(~chunk.held)):
+            found = expected_counts(model, emit, packed, seen)
+            starts, moves, log = starts + found[0], moves + found[1], log + found[2]
+        chosen = slice(None) if last else learned  # all words are scored
+        rows = [
+            (*row[:3], row[3] if last else None, row[4], None)
+            for row in _pieces(
+                chunk.number,
+                bits,
+                chunk.hashes[chosen],
+                chunk.counts[chosen],
+                seen.T[chosen].astype(exchange),
+            )
+        ]
+        stats = [*starts, *moves.ravel(), log]
+        rows.append((chunk.number, -1, None, None, None, stats))
+        return pd.DataFrame(rows, columns=columns)
+
+    return run
+
+
+def _score(shared, exchange: str):
+    """Counts and log probabilities of all texts of a chunk."""
+
+    def run(chunks: pd.DataFrame, returned: pd.DataFrame) -> pd.DataFrame:
+        model: Model = shared.value
+        columns = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        if not len(chunks):
+            return pd.DataFrame([], columns=columns)
+        chunk = Chunk.of(chunks)
+        counts = _joined(returned, "counts", np.int64)
+        values = _joined(returned, "values", exchange).reshape(-1, STATES).astype(float)
+        values[counts == 0] = 0
+        emit = model.emissions(values)
+        scores = np.zeros(len(chunk.sizes))
+        for texts, packed in chunk.packed(np.arange(len(scores))):
+            scores[texts] = likelihoods(model, emit, packed)
+        begins = np.cumsum(chunk.sizes) - chunk.sizes
+        bottom = math.log10(model.train_tokens + model.distinct + 1)
+        base = np.add.reduceat((np.log10(counts + 1.0) - bottom)[chunk.stream], begins)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[chunk.stream], begins)
+        frame = pd.DataFrame(dict(zip(columns, [None, chunk.held, chunk.sizes, known, base, scores])))
+        frame["doc_id"] = chunk.keys
+        return frame
+
+    return run
+
+
+def score(
+    docs: DataFrame,
+    iterations: int = ITERATIONS,
+    chunk_tokens: int = CHUNK_TOKENS,
+    exchange: str = EXCHANGE,
+) -> DataFrame:
     """Train on the learnable texts and score all, one row per row of ``docs``.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (the
@@ -295,51 +469,83 @@ def score(docs: DataFrame) -> DataFrame:
     NULL and empty texts are the end token alone. Repeated rows come back
     each (and count each in training); a NULL doc_id counts as '' for
     ``held_out``; other columns are ignored. Without training texts every word
-    is unknown and the states are as they began.
+    is unknown, and both scores are 0. An empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
-    texts = narrow(docs)
+    spark = docs.sparkSession
+    prepare(spark)
     parts, held_part = HELD_OUT
-    training = texts.filter(fold("doc_id", parts) != held_part)
-    corpus = count_corpus(training)
-    model = fit(training, corpus)
-    scored = materialise(
-        score_texts(texts, model, corpus).withColumn("row", F.monotonically_increasing_id()),
-        "hmm-scores",
-    )
-    rare = (
-        scored.select("row", F.explode("rare").alias("rare"))
-        .select("row", "rare.*")
-        .join(corpus.counts, "word")
-        .groupBy("row")
-        .agg(
-            F.sum("times").alias("n_rare"),
-            F.sum(F.col("times") * F.log10(F.col("count") + 1)).alias("rare_sum"),
+    texts = narrow(docs).withColumn("held_out", fold("doc_id", parts) == held_part)
+    texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))  # NULL stays exact
+    name, folder = store_chunks(texts, chunk_tokens)
+    chunks = spark.table(name)
+    # About as many buckets as chunks: a bucket then holds about as many words.
+    bits = min(16, max(4, math.ceil(math.log2(max(1, chunks.select("chunk").count())))))
+    model = first_model()
+
+    def write(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+        path = work_folder(spark, purpose)
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path), path
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for number, hashes, counts in zip(batch["chunk"], batch["hashes"], batch["counts"]):
+                counts, hashes = np.frombuffer(counts, np.int64), np.frombuffer(hashes, np.uint64)
+                # Without an iteration the words are scored as dealt.
+                chosen = counts > 0 if iterations else slice(None)
+                rows = _pieces(number, bits, hashes[chosen], counts[chosen])
+                yield pd.DataFrame(
+                    [(*row, None, None) for row in rows],
+                    columns=["chunk", "bucket", "hashes", "counts", "values", "stats"],
+                )
+
+    def merged(handed: DataFrame, scoring: bool) -> tuple[DataFrame, str]:
+        totals = handed.filter("bucket >= 0").groupBy("bucket")
+        with _batches(spark, 64):
+            return write(totals.applyInPandas(_merge(exchange, scoring), RETURNED), "hmm-returned")
+
+    with _batches(spark, 1):
+        handed, old = write(
+            chunks.select("chunk", "hashes", "counts").mapInPandas(asked, HANDED), "hmm-handed"
         )
-    )
-    base = float(corpus.train_tokens + corpus.distinct + 1)
-    emitted = [corpus.held[word] for word in model.words if word in corpus.held]
-    # The class of other words: their training tokens and kinds, and unseen ones.
-    other = float(
-        corpus.train_tokens - sum(emitted) + corpus.distinct - len(emitted) + 1
-    )
-
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
-
-    return scored.join(rare, "row", "left").select(
-        "doc_id",
-        (fold("doc_id", parts) == held_part).alias("held_out"),
+        for number in range(iterations + 1):
+            returned, path = merged(handed, scoring=number == iterations)
+            delete_folder(spark, old)
+            total = _sum_stats(returned, STATES + 2)
+            model.totals = total[:STATES]
+            if not number:
+                model.train_tokens, model.distinct = int(total[-2]), int(total[-1])
+            shared = spark.sparkContext.broadcast(model)
+            pairs = chunks.groupBy("chunk").cogroup(
+                returned.filter("chunk >= 0").groupBy("chunk")
+            )
+            if number == iterations:
+                break
+            step = _learn(shared, bits, exchange, last=number + 1 == iterations)
+            handed, old = write(pairs.applyInPandas(step, HANDED), "hmm-handed")
+            delete_folder(spark, path)
+            found = _sum_stats(handed, STATES * (STATES + 1) + 1)
+            starts = found[:STATES] + SMALLEST
+            moves = found[STATES:-1].reshape(STATES, STATES) + SMALLEST
+            model = Model(
+                starts / starts.sum(),
+                moves / moves.sum(axis=1, keepdims=True),
+                model.totals,
+                model.train_tokens,
+                model.distinct,
+            )
+        names = "doc_id string, held_out boolean, n_tokens long, n_known long"
+        names += ", base_score double, score double"
+        scored, _ = write(pairs.applyInPandas(_score(shared, exchange), names), "hmm-scores")
+        delete_folder(spark, path)
+    spark.sql(f"DROP TABLE {name}")
+    delete_folder(spark, folder)
+    return scored.select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        "held_out",
         "n_tokens",
-        (F.col("n_held") + number("n_rare")).alias("n_known"),
-        F.lit(corpus.train_tokens).cast("long").alias("train_tokens"),
-        (
-            F.col("base_sum") + number("rare_sum") - F.col("n_tokens") * F.log10(F.lit(base))
-        ).alias("base_score"),
-        (
-            F.col("hmm")
-            + F.col("other_sum")
-            + number("rare_sum")
-            - F.col("n_other") * F.log10(F.lit(other))
-        ).alias("score"),
+        "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
     )
