@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import DataFrame
@@ -120,10 +121,78 @@ def test_load_is_idempotent_and_appends_batches(spark):
     twice = {r.table_name: r.row_count for r in landing.row_counts(spark, "idem").collect()}
     assert twice == {table: 2 * n for table, n in once.items()}
     expected = derived.table_rows(spark, SF, "abp_lpi")
-    stored = spark.table("idem.abp_lpi").filter("batch = 'b0'").drop("batch")
+    stored = spark.table("idem.abp_lpi").filter("batch = 'b0'").drop("batch", "attempt")
     assert stored.exceptAll(expected).count() == 0 and expected.exceptAll(stored).count() == 0
 
 
+def counts_of(spark, release):
+    return {r.table_name: r.row_count for r in landing.row_counts(spark, release).collect()}
+
+
+def test_a_batch_happens_in_all_tables_or_in_none(spark, monkeypatch):
+    """The last of the nine inserts fails: nothing of the batch is seen."""
+    folder = derived.raw_folder(spark, SF)
+    landing.create_tables(spark, "whole")
+    landing.load_raw_batch(spark, "whole", "b0", folder)
+    once, insert, done = counts_of(spark, "whole"), landing._append, []
+
+    def failing(spark, release, table, *rest):
+        if table == list(TABLES)[-1]:
+            while len(done) < len(TABLES) - 1:  # all others are written
+                time.sleep(0.05)
+            raise OSError("disk full")
+        insert(spark, release, table, *rest)
+        done.append(table)
+
+    for batch in ("b1", "b0"):  # a new batch, and a repeated one
+        done.clear()
+        monkeypatch.setattr(landing, "_append", failing)
+        with pytest.raises(OSError, match="disk full"):
+            landing.load_raw_batch(spark, "whole", batch, folder)
+        assert spark.table("whole.abp_blpu").count() > once["abp_blpu"]  # written, not committed
+        assert counts_of(spark, "whole") == once
+    # A load that fails to commit is not seen either.
+    monkeypatch.setattr(landing, "_append", insert)
+    commit = landing._commit
+    monkeypatch.setattr(landing, "_commit", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        landing.load_raw_batch(spark, "whole", "b1", folder)
+    assert counts_of(spark, "whole") == once
+    monkeypatch.setattr(landing, "_commit", commit)
+    landing.load_raw_batch(spark, "whole", "b1", folder)
+    assert counts_of(spark, "whole") == {table: 2 * n for table, n in once.items()}
+    # What failed attempts of this batch left behind is gone.
+    assert spark.table("whole.abp_blpu").filter("batch = 'b1'").count() == once["abp_blpu"]
+
+
+def test_joins_by_key_leave_landing_tables_in_place(spark):
+    """No exchange below the joins on the property key, over two batches."""
+    landing.create_tables(spark, "bucketed")
+    for batch in ("b0", "b1"):
+        landing.load_raw_batch(spark, "bucketed", batch, derived.raw_folder(spark, SF))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = landing.tables(spark, "bucketed")
+        properties, points = tables["abp_blpu"], tables["abp_delivery_point"]
+        joined = points.join(properties, "uprn").join(tables["abp_classification"], "uprn")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2
+        assert "hashpartitioning(uprn" not in plan  # the manifest's are by batch
+        assert joined.count() == 8 * derived.record_rows(spark, SF, "28").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_line_is_parsed_once(spark):
+    one = lines(spark, "31,I,1,5,O1,name,,,,,")
+    layout = LAYOUTS["31"]
+    good, bad = typed.parse_lenient(one, layout)
+    plans = [typed.parse(one, layout), typed.parse(one, layout, widths=False), good, bad]
+    for rows in [*plans, typed.parse(one, layout).select("uprn")]:
+        assert rows._jdf.queryExecution().executedPlan().toString().count("from_csv(") == 1
+    assert good.count() == 1 and bad.count() == 0
+
+
 def test_sizes_are_known_after_measuring(spark):
     landing.create_tables(spark, "sized")
     landing.load_raw_batch(spark, "sized", "b0", derived.raw_folder(spark, SF))
@@ -154,7 +223,7 @@ def test_record_files_load_like_raw_files(spark, folder):
     assert landing.load_record_files(spark, "files_a", "b0", f"{folder}/out") == 9
     landing.load_raw_batch(spark, "files_b", "b0", source)
     for table in TABLES:
-        a, b = spark.table(f"files_a.{table}"), spark.table(f"files_b.{table}")
+        a, b = (landing.tables(spark, f"files_{name}")[table] for name in "ab")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

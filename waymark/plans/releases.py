@@ -279,7 +279,7 @@ class Releases:
     def street_counts(self, releases: list[str]) -> DataFrame:
         """Street descriptor rows per release, for the tolerance check."""
         counts = [
-            self.spark.table(f"`{checked_name(r)}`.`abp_street_descriptor`").agg(
+            landing.stored(self.spark, checked_name(r), "abp_street_descriptor").agg(
                 F.lit(r).alias("schema_name"), F.count("*").alias("n")
             )
             for r in releases

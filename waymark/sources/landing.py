@@ -1,14 +1,24 @@
-"""Landing tables of a release: DDL, idempotent batch loads, counts."""
+"""Landing tables of a release: DDL, idempotent batch loads, counts.
+
+A batch happens in all tables or in none. Every load of it is an attempt with
+partitions of its own; only when all of them are written does one row in the
+manifest name the attempt, and readers see the attempts that the manifest
+names last. What a failed load leaves behind is never read.
+
+The tables are bucketed by their lookup key, batch by batch, so joins on it
+need no exchange on their side however many batches there are.
+"""
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators.lookups import bloom_filtered
-from waymark.session import delete_folder, materialise, work_folder
+from waymark.session import delete_folder, work_folder
 from waymark.sources import raw, typed
 from waymark.sources.layouts import TABLE_FILES, TABLES
 
@@ -27,13 +37,25 @@ LOOKUP_KEYS = {
 }
 
 
+MANIFEST = "loads"
+REJECTS = "rejects"
+REJECT_COLUMNS = ("record_type", "problem", "value")
+BUCKETS_KEY = "spark.waymark.landing.buckets"
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of a landing table: the setting, or one for every core."""
+    return int(spark.conf.get(BUCKETS_KEY, str(spark.sparkContext.defaultParallelism)))
+
+
 def create_tables(spark: SparkSession, release: str) -> int:
-    """The nine landing tables.
+    """The nine landing tables, their rejects and the manifest of loads.
 
     VARCHAR(n) makes every write check widths; the options give the files a
     Bloom filter on each lookup key.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{release}`")
+    buckets = bucket_count(spark)
     for table, layout in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.ddl_type}" for f in layout.fields)
         options = ", ".join(
@@ -41,20 +63,45 @@ def create_tables(spark: SparkSession, release: str) -> int:
             for name, value in bloom_filtered(*LOOKUP_KEYS[table]).items()
         )
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{release}`.`{table}` ({columns}, batch STRING) "
-            f"USING parquet OPTIONS ({options}) PARTITIONED BY (batch)"
+            f"CREATE TABLE IF NOT EXISTS `{release}`.`{table}` "
+            f"({columns}, batch STRING, attempt STRING) "
+            f"USING parquet OPTIONS ({options}) PARTITIONED BY (batch, attempt) "
+            f"CLUSTERED BY ({LOOKUP_KEYS[table][0]}) INTO {buckets} BUCKETS"
         )
+    text = ", ".join(f"{name} STRING" for name in REJECT_COLUMNS)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{release}`.`{REJECTS}` "
+        f"({text}, batch STRING, attempt STRING) USING parquet PARTITIONED BY (batch, attempt)"
+    )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{release}`.`{MANIFEST}` "
+        "(batch STRING, attempt STRING, seq BIGINT) USING parquet"
+    )
     return len(TABLES)
 
 
-def _append(spark: SparkSession, release: str, table: str, batch: str, rows: DataFrame) -> None:
-    """Add a batch as its own partition: a second run replaces, never doubles."""
-    layout = TABLES[table]
-    source = f"waymark_{release}_{table}_{batch}".replace("-", "_")
+def committed(spark: SparkSession, release: str) -> DataFrame:
+    """The attempt that counts for every batch: one row per batch."""
+    name = f"`{release}`.`{MANIFEST}`"
+    spark.catalog.refreshTable(name)
+    return spark.table(name).groupBy("batch").agg(F.max_by("attempt", "seq").alias("attempt"))
+
+
+def _append(
+    spark: SparkSession, release: str, table: str, batch: str, attempt: str, rows: DataFrame
+) -> None:
+    """Write the rows of one attempt, a file per bucket."""
+    source = f"waymark_{release}_{table}_{batch}_{attempt}".replace("-", "_")
+    if table in TABLES:
+        names = TABLES[table].columns
+        rows = rows.repartition(bucket_count(spark), LOOKUP_KEYS[table][0])
+    else:
+        names = REJECT_COLUMNS
     rows.createOrReplaceTempView(source)
-    columns = ", ".join(f"`{name}`" for name in layout.columns)
+    columns = ", ".join(f"`{name}`" for name in names)
     spark.sql(
-        f"INSERT OVERWRITE TABLE `{release}`.`{table}` PARTITION (batch = '{batch}') "
+        f"INSERT OVERWRITE TABLE `{release}`.`{table}` "
+        f"PARTITION (batch = '{batch}', attempt = '{attempt}') "
         f"SELECT {columns} FROM `{source}`"
     )
     spark.catalog.dropTempView(source)
@@ -63,15 +110,44 @@ def _append(spark: SparkSession, release: str, table: str, batch: str, rows: Dat
 def _append_all(
     spark: SparkSession, release: str, batch: str, rows_of: dict[str, DataFrame]
 ) -> int:
-    """Start all table loads together; the first failure fails the batch."""
+    """Start all table loads together and commit them as one.
+
+    The first failure fails the batch: the manifest keeps the attempt before,
+    or none. The partitions of attempts that no longer count go afterwards.
+    """
+    number = time.time_ns()
+    attempt = f"a{number}"
     with ThreadPoolExecutor(len(rows_of)) as pool:
         jobs = [
-            pool.submit(_append, spark, release, table, batch, rows)
+            pool.submit(_append, spark, release, table, batch, attempt, rows)
             for table, rows in rows_of.items()
         ]
         for job in jobs:
             job.result()
-    return len(rows_of)
+    _commit(spark, release, batch, attempt, number)
+    _remove_others(spark, release, batch, attempt)
+    return sum(table in TABLES for table in rows_of)
+
+
+def _commit(spark: SparkSession, release: str, batch: str, attempt: str, number: int) -> None:
+    """One row in one file: it is there as a whole or not at all."""
+    row = spark.createDataFrame(
+        [(batch, attempt, number)], "batch string, attempt string, seq long"
+    )
+    row.coalesce(1).write.mode("append").insertInto(f"`{release}`.`{MANIFEST}`")
+
+
+def _remove_others(spark: SparkSession, release: str, batch: str, attempt: str) -> None:
+    """Drop the other partitions of a batch; failing here harms no reader."""
+    for table in (*TABLES, REJECTS):
+        name = f"`{release}`.`{table}`"
+        for row in spark.sql(f"SHOW PARTITIONS {name} PARTITION (batch = '{batch}')").collect():
+            other = row["partition"].rpartition("attempt=")[2]
+            if other != attempt:
+                spark.sql(
+                    f"ALTER TABLE {name} DROP IF EXISTS "
+                    f"PARTITION (batch = '{batch}', attempt = '{other}')"
+                )
 
 
 def load_raw_batch(
@@ -125,10 +201,15 @@ def measure_sizes(spark: SparkSession, release: str) -> None:
 
 
 def stored(spark: SparkSession, release: str, table: str) -> DataFrame:
-    """A landing table with the files it has now; streams write in own sessions."""
+    """The committed rows of a landing table, with the files it has now.
+
+    Streams write in sessions of their own, so the listing is read anew. The
+    manifest has a row per batch of files, few enough to broadcast.
+    """
     name = f"`{release}`.`{table}`"
     spark.catalog.refreshTable(name)
-    return spark.table(name)
+    loads = F.broadcast(committed(spark, release))
+    return spark.table(name).join(loads, ["batch", "attempt"], "left_semi")
 
 
 def tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
@@ -141,10 +222,10 @@ def tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
 def load_lines_lenient(
     spark: SparkSession, release: str, batch: str, lines: DataFrame, staging: str
 ) -> DataFrame:
-    """Load what can be parsed; the rest comes back as rejects.
+    """Load what can be parsed; the rest goes into the rejects of the batch.
 
     Rejects: record_type (NULL where no known one was found), problem, value.
-    They are stored in the shared folder.
+    They are part of the batch: committed and replaced with its rows.
     """
     known, unknown = raw.route_lenient(lines)
     raw.write_split(known, staging)
@@ -158,8 +239,13 @@ def load_lines_lenient(
         own = split.filter(F.col("record_type") == layout.record_type)
         rows_of[table], bad = typed.parse_lenient(own, layout)
         rejected = rejected.unionByName(bad)
-    _append_all(spark, release, batch, rows_of)
-    return materialise(rejected, "rejects")
+    _append_all(spark, release, batch, rows_of | {REJECTS: rejected})
+    return rejects(spark, release).filter(F.col("batch") == batch).drop("batch")
+
+
+def rejects(spark: SparkSession, release: str) -> DataFrame:
+    """What the lenient loads of a release could not take, by batch."""
+    return stored(spark, release, REJECTS).select("batch", *REJECT_COLUMNS)
 
 
 def row_counts(spark: SparkSession, release: str) -> DataFrame:

@@ -34,14 +34,16 @@ def too_wide(widths: dict[str, int]) -> str:
 
 
 def _unfitted(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Typed columns plus ``problem``, NULL for a line of the right form."""
+    """Typed columns plus ``problem``, NULL for a line of the right form.
+
+    The parsed row comes out of a generator, so whatever is read of it or
+    filtered by, a line is parsed once.
+    """
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.schema.fields)
     options = CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     row = F.from_csv("value", f"{ddl}, {_BAD} string", options)
-    return lines.select("value", row.alias("row")).selectExpr(
-        "value",
-        f"if(row.{_BAD} is null, null, 'malformed') as problem",
-        *[f"row.{name}" for name in layout.columns],
+    return lines.select("value", F.inline(F.array(row))).selectExpr(
+        "value", f"if({_BAD} is null, null, 'malformed') as problem", *layout.columns
     )
 
 

@@ -32,13 +32,17 @@ def load_stream(
     checkpoint: str,
     files: int = BATCH_SIZE,
     source: str | None = None,
+    lenient: bool = False,
 ) -> StreamingQuery:
     """Load everything that is there into the landing tables of a release.
 
-    A micro-batch is written as its own partition, named by the source and its
-    number there; one that is repeated after a failure replaces it, so the
-    tables hold every line once. Several streams may load into one release:
-    ``source`` tells them apart (by default the checkpoint folder does).
+    A micro-batch is a batch of its own, named by the source and its number
+    there; one that is repeated after a failure replaces it, so the tables hold
+    every line once. Several streams may load into one release: ``source``
+    tells them apart (by default the checkpoint folder does). With ``lenient``
+    a bad line does not stop the stream: it goes into the rejects of its
+    micro-batch, which appear with the rows of the nine tables and are replaced
+    with them.
     """
     name = source or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     if not re.fullmatch("[A-Za-z0-9_]+", name):
@@ -48,7 +52,8 @@ def load_stream(
         session = lines.sparkSession
         staging = work_folder(session, "split")
         try:
-            landing.load_lines(session, release, f"s{name}_{number}", lines, staging)
+            take = landing.load_lines_lenient if lenient else landing.load_lines
+            take(session, release, f"s{name}_{number}", lines, staging)
         finally:
             delete_folder(session, staging)
 
