@@ -7,7 +7,8 @@ emission counts live in buckets of the hash: a chunk hands its counts to the
 buckets, a bucket adds them up and hands the totals of just that chunk's words
 back, so no task holds the vocabulary of the corpus. One iteration of
 Baum-Welch is such an exchange and one forward-backward pass over whole texts,
-all texts of a chunk side by side, the longest first.
+all texts of a chunk side by side, the longest first. What is handed over is
+written as tables bucketed by its receiver, which nothing has to shuffle.
 
 A word that was seen c times in N training words has the probability
 (1 - u) * ((1 - MIXED) * counts in the state / all counts in the state
@@ -31,15 +32,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.common import ARROW_ROWS, fold, lower_words, mix, narrow, prepare, word_hashes
-from waymark.session import delete_folder, work_folder
+from waymark.session import delete_folder, materialise, work_folder
 
 HELD_OUT = (7, 2)  # ids whose crc32 modulo 7 is 2 are not learned from
 END = b"\n"  # the end of a text; no word can be this
 STATES = 8
 ITERATIONS = 3
 MIXED = 0.05  # share of the word frequencies in every state's emissions
-CHUNK_TOKENS = 1 << 22  # tokens of a chunk, unless one text has more
-STEP_TOKENS = 1 << 19  # tokens whose recursions are held at a time
+CHUNK_TOKENS = 1 << 21  # tokens of a chunk, unless one text has more
+STEP_TOKENS = 1 << 18  # tokens whose recursions are held at a time
+EMIT_WORDS = 1 << 15  # words whose emissions are worked out at a time
 SEED = 5
 EXCHANGE = "float32"  # of expected counts between tasks; sums are double
 SMALLEST = 1e-3  # added to expected starts and moves
@@ -48,7 +50,8 @@ CHUNK = (
     "chunk long, keys array<string>, held binary, sizes binary, tokens binary, "
     "hashes binary, counts binary"
 )
-HANDED = "chunk long, bucket int, hashes binary, counts binary, values binary, stats array<double>"
+ASKED = "chunk long, bucket int, hashes binary, counts binary"
+HANDED = "chunk long, bucket int, values binary, stats array<double>"
 RETURNED = "chunk long, bucket int, counts binary, values binary, stats array<double>"
 
 
@@ -68,12 +71,16 @@ class Model:
 
     def emissions(self, counts: np.ndarray) -> np.ndarray:
         """Probabilities per state of words with these expected counts."""
-        seen = counts.sum(axis=1)
         unknown = 1 / (self.train_tokens + self.distinct + 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = (1 - MIXED) * counts / self.totals
-            own += (MIXED / max(1, self.train_tokens)) * seen[:, None]
-        return np.where(seen[:, None] > 0, (1 - unknown) * own, unknown)
+        result = np.empty(counts.shape)
+        for low in range(0, len(counts), EMIT_WORDS):
+            part = counts[low : low + EMIT_WORDS].astype(float)
+            seen = part.sum(axis=1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                part *= (1 - MIXED) / self.totals
+            part += (MIXED / max(1, self.train_tokens)) * seen
+            result[low : low + EMIT_WORDS] = np.where(seen > 0, (1 - unknown) * part, unknown)
+        return result
 
 
 def first_model() -> Model:
@@ -280,22 +287,27 @@ def _chunks(limit: int):
     return run
 
 
-def store_chunks(texts: DataFrame, limit: int) -> tuple[str, str]:
-    """The chunks as a bucketed table, so that joins by chunk leave it in place.
+@dataclass
+class Table:
+    """A bucketed table of this run, known to the session by a name."""
 
-    Returns its name and its folder."""
-    spark = texts.sparkSession
-    # A task of the scan makes a chunk or a few; some buckets for every core.
-    parts = max(2 * spark.sparkContext.defaultParallelism, 2 * texts.rdd.getNumPartitions())
-    name, path = f"waymark_chunks_{uuid.uuid4().hex}", work_folder(spark, "hmm-chunks")
-    (
-        texts.mapInPandas(_chunks(limit), CHUNK)
-        .write.format("parquet")
-        .bucketBy(min(parts, 100_000), "chunk")
-        .option("path", path)
-        .saveAsTable(name)
-    )
-    return name, path
+    rows: DataFrame
+    name: str
+    path: str
+
+    @classmethod
+    def write(cls, rows: DataFrame, column: str, buckets: int, purpose: str) -> Table:
+        spark = rows.sparkSession
+        name = f"waymark_{purpose}_{uuid.uuid4().hex}".replace("-", "_")
+        path = work_folder(spark, purpose)
+        writer = rows.write.format("parquet").bucketBy(buckets, column)
+        writer.option("path", path).saveAsTable(name)
+        return cls(spark.table(name), name, path)
+
+    def drop(self) -> None:
+        spark = self.rows.sparkSession
+        spark.sql(f"DROP TABLE {self.name}")
+        delete_folder(spark, self.path)
 
 
 @dataclass
@@ -307,8 +319,7 @@ class Chunk:
     held: np.ndarray
     sizes: np.ndarray
     stream: np.ndarray
-    hashes: np.ndarray
-    counts: np.ndarray
+    counts: np.ndarray  # in the training texts, by word
 
     @classmethod
     def of(cls, frame: pd.DataFrame) -> Chunk:
@@ -319,7 +330,6 @@ class Chunk:
             np.frombuffer(row["held"], bool),
             np.frombuffer(row["sizes"], np.int32).astype(np.int64),
             np.frombuffer(row["tokens"], np.int32),
-            np.frombuffer(row["hashes"], np.uint64),
             np.frombuffer(row["counts"], np.int64),
         )
 
@@ -331,50 +341,71 @@ class Chunk:
             yield texts, pack(self.stream, begins[texts], self.sizes[texts])
 
 
-def _pieces(chunk: int, bits: int, hashes: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """What a chunk hands to every bucket: the leading bits of the hash."""
+def _cuts(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Where the buckets begin in sorted hashes: they go by the leading bits."""
     bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-    return [
-        (chunk, number, hashes[low:high].tobytes(), *[c[low:high].tobytes() for c in columns])
-        for number, (low, high) in enumerate(zip(cuts, cuts[1:]))
-        if high > low
-    ]
+    return np.searchsorted(bucket, np.arange((1 << bits) + 1))
+
+
+def _ask(bits: int):
+    """The words of every chunk, bucket by bucket."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for chunk, hashes, counts in zip(batch["chunk"], batch["hashes"], batch["counts"]):
+                hashes = np.frombuffer(hashes, np.uint64)
+                cuts = _cuts(hashes, bits)
+                rows = [
+                    (chunk, bucket, hashes[low:high].tobytes(), counts[8 * low : 8 * high])
+                    for bucket, (low, high) in enumerate(zip(cuts, cuts[1:]))
+                    if high > low
+                ]
+                yield pd.DataFrame(rows, columns=["chunk", "bucket", "hashes", "counts"])
+
+    return run
 
 
 def _merge(exchange: str, scoring: bool):
     """Per bucket: the totals of its words, for every chunk in its own order.
 
-    Without values the counts are dealt to the states. A row of chunk -1 has
-    the totals per state, all counts and the number of words with a count.
+    Without values the counts are dealt to the states. A chunk hands values of
+    the words it has learned from and gets them back; for scoring it gets all
+    its words, and their counts. A row of chunk -1 has the totals per state,
+    all counts and the number of words with a count.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(frame["bucket"].iloc[0])
-        hashes = np.concatenate([np.frombuffer(raw, np.uint64) for raw in frame["hashes"]])
+    def run(asked: pd.DataFrame, handed: pd.DataFrame) -> pd.DataFrame:
+        columns = ["chunk", "bucket", "counts", "values", "stats"]
+        if not len(asked):
+            return pd.DataFrame([], columns=columns)
+        asked = asked.sort_values("chunk")
+        bucket = int(asked["bucket"].iloc[0])
+        own = np.concatenate([np.frombuffer(raw, np.int64) for raw in asked["counts"]])
+        hashes = np.concatenate([np.frombuffer(raw, np.uint64) for raw in asked["hashes"]])
         names, place = np.unique(hashes, return_inverse=True)
-        counts = None
-        if frame["counts"].notna().all():
-            own = np.concatenate([np.frombuffer(raw, np.int64) for raw in frame["counts"]])
-            counts = np.zeros(len(names), np.int64)
-            np.add.at(counts, place, own)
-        if frame["values"].notna().all():
-            own = np.concatenate([np.frombuffer(raw, exchange) for raw in frame["values"]])
-            own = own.reshape(-1, STATES)
+        counts = np.zeros(len(names), np.int64)
+        np.add.at(counts, place, own)
+        if len(handed):
+            parts = handed.sort_values("chunk")["values"]
+            given = np.concatenate([np.frombuffer(raw, exchange) for raw in parts])
+            given = given.reshape(-1, STATES)
+            learned = place[own > 0]
             values = np.column_stack(
-                [np.bincount(place, own[:, k], minlength=len(names)) for k in range(STATES)]
+                [np.bincount(learned, given[:, k], minlength=len(names)) for k in range(STATES)]
             )
         else:
             values = first_counts(names, counts)
-        cuts = np.cumsum([0, *(len(raw) // 8 for raw in frame["hashes"])])
+        cuts = np.cumsum([0, *(len(raw) // 8 for raw in asked["hashes"])])
         rows = []
-        for chunk, low, high in zip(frame["chunk"], cuts, cuts[1:]):
+        for chunk, low, high in zip(asked["chunk"], cuts, cuts[1:]):
             mine = place[low:high]
+            if not scoring:
+                mine = mine[own[low:high] > 0]
             known = counts[mine].tobytes() if scoring else None
             rows.append((chunk, bucket, known, values[mine].astype(exchange).tobytes(), None))
-        total = [0, 0] if counts is None else [int(counts.sum()), int((counts > 0).sum())]
-        rows.append((-1, bucket, None, None, [*values.sum(axis=0), *map(float, total)]))
-        return pd.DataFrame(rows, columns=["chunk", "bucket", "counts", "values", "stats"])
+        total = [*values.sum(axis=0), float(counts.sum()), float((counts > 0).sum())]
+        rows.append((-1, bucket, None, None, total))
+        return pd.DataFrame(rows, columns=columns)
 
     return run
 
@@ -393,37 +424,34 @@ def _joined(returned: pd.DataFrame, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
-def _learn(shared, bits: int, exchange: str, last: bool):
+def _learn(shared, exchange: str):
     """Forward-backward over the training texts of a chunk."""
 
     def run(chunks: pd.DataFrame, returned: pd.DataFrame) -> pd.DataFrame:
         model: Model = shared.value
-        columns = ["chunk", "bucket", "hashes", "counts", "values", "stats"]
+        columns = ["chunk", "bucket", "values", "stats"]
         if not len(chunks):
             return pd.DataFrame([], columns=columns)
         chunk = Chunk.of(chunks)
         learned = chunk.counts > 0
-        counts = _joined(returned, "values", exchange).reshape(-1, STATES).astype(float)
         emit = np.ones((len(learned), STATES))
-        emit[learned] = model.emissions(counts)
+        emit[learned] = model.emissions(_joined(returned, "values", exchange).reshape(-1, STATES))
         seen = np.zeros((STATES, len(learned)))
         starts, moves, log = np.zeros(STATES), np.zeros((STATES, STATES)), 0.0
         for _, packed in chunk.packed(np.flatnonzero(~chunk.held)):
             found = expected_counts(model, emit, packed, seen)
             starts, moves, log = starts + found[0], moves + found[1], log + found[2]
-        chosen = slice(None) if last else learned  # all words are scored
-        rows = [
-            (*row[:3], row[3] if last else None, row[4], None)
-            for row in _pieces(
-                chunk.number,
-                bits,
-                chunk.hashes[chosen],
-                chunk.counts[chosen],
-                seen.T[chosen].astype(exchange),
-            )
-        ]
+        del emit
+        # The buckets' parts, as many words as came back of each.
+        sizes = returned.sort_values("bucket")[["bucket", "values"]]
+        width = STATES * np.dtype(exchange).itemsize
+        seen, low, rows = seen.T[learned].astype(exchange), 0, []
+        for bucket, raw in sizes.itertuples(index=False):
+            high = low + len(raw) // width
+            rows.append((chunk.number, bucket, seen[low:high].tobytes(), None))
+            low = high
         stats = [*starts, *moves.ravel(), log]
-        rows.append((chunk.number, -1, None, None, None, stats))
+        rows.append((chunk.number, -1, None, stats))
         return pd.DataFrame(rows, columns=columns)
 
     return run
@@ -439,8 +467,7 @@ def _score(shared, exchange: str):
             return pd.DataFrame([], columns=columns)
         chunk = Chunk.of(chunks)
         counts = _joined(returned, "counts", np.int64)
-        values = _joined(returned, "values", exchange).reshape(-1, STATES).astype(float)
-        values[counts == 0] = 0
+        values = _joined(returned, "values", exchange).reshape(-1, STATES)
         emit = model.emissions(values)
         scores = np.zeros(len(chunk.sizes))
         for texts, packed in chunk.packed(np.arange(len(scores))):
@@ -476,70 +503,52 @@ def score(
     parts, held_part = HELD_OUT
     texts = narrow(docs).withColumn("held_out", fold("doc_id", parts) == held_part)
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))  # NULL stays exact
-    name, folder = store_chunks(texts, chunk_tokens)
-    chunks = spark.table(name)
-    # About as many buckets as chunks: a bucket then holds about as many words.
-    bits = min(16, max(4, math.ceil(math.log2(max(1, chunks.select("chunk").count())))))
-    model = first_model()
-
-    def write(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-        path = work_folder(spark, purpose)
-        table.write.parquet(path)
-        return spark.read.schema(table.schema).parquet(path), path
-
-    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for number, hashes, counts in zip(batch["chunk"], batch["hashes"], batch["counts"]):
-                counts, hashes = np.frombuffer(counts, np.int64), np.frombuffer(hashes, np.uint64)
-                # Without an iteration the words are scored as dealt.
-                chosen = counts > 0 if iterations else slice(None)
-                rows = _pieces(number, bits, hashes[chosen], counts[chosen])
-                yield pd.DataFrame(
-                    [(*row, None, None) for row in rows],
-                    columns=["chunk", "bucket", "hashes", "counts", "values", "stats"],
-                )
-
-    def merged(handed: DataFrame, scoring: bool) -> tuple[DataFrame, str]:
-        totals = handed.filter("bucket >= 0").groupBy("bucket")
-        with _batches(spark, 64):
-            return write(totals.applyInPandas(_merge(exchange, scoring), RETURNED), "hmm-returned")
-
+    # A task of the scan makes a chunk or a few; some buckets for every core.
+    cores = 2 * spark.sparkContext.defaultParallelism
+    parts = min(100_000, max(cores, 2 * texts.rdd.getNumPartitions()))
+    chunks = Table.write(texts.mapInPandas(_chunks(chunk_tokens), CHUNK), "chunk", parts, "hmm-chunks")
+    # About as many buckets of words as chunks: one then holds about as many words.
+    number = chunks.rows.select("chunk").count()
+    bits = min(16, max(4, math.ceil(math.log2(max(1, number)))))
+    parts_of_words = min(1 << bits, max(cores, parts // 8))
+    tokens_only = chunks.rows.drop("hashes").groupBy("chunk")
+    model, handed = first_model(), None
     with _batches(spark, 1):
-        handed, old = write(
-            chunks.select("chunk", "hashes", "counts").mapInPandas(asked, HANDED), "hmm-handed"
-        )
-        for number in range(iterations + 1):
-            returned, path = merged(handed, scoring=number == iterations)
-            delete_folder(spark, old)
-            total = _sum_stats(returned, STATES + 2)
-            model.totals = total[:STATES]
-            if not number:
-                model.train_tokens, model.distinct = int(total[-2]), int(total[-1])
-            shared = spark.sparkContext.broadcast(model)
-            pairs = chunks.groupBy("chunk").cogroup(
-                returned.filter("chunk >= 0").groupBy("chunk")
-            )
-            if number == iterations:
-                break
-            step = _learn(shared, bits, exchange, last=number + 1 == iterations)
-            handed, old = write(pairs.applyInPandas(step, HANDED), "hmm-handed")
-            delete_folder(spark, path)
-            found = _sum_stats(handed, STATES * (STATES + 1) + 1)
-            starts = found[:STATES] + SMALLEST
-            moves = found[STATES:-1].reshape(STATES, STATES) + SMALLEST
-            model = Model(
-                starts / starts.sum(),
-                moves / moves.sum(axis=1, keepdims=True),
-                model.totals,
-                model.train_tokens,
-                model.distinct,
+        words = chunks.rows.select("chunk", "hashes", "counts").mapInPandas(_ask(bits), ASKED)
+        asked = Table.write(words, "bucket", parts_of_words, "hmm-asked")
+    for turn in range(iterations + 1):
+        last = turn == iterations
+        with _batches(spark, 64):
+            given = handed.rows if handed else spark.createDataFrame([], HANDED)
+            pairs = asked.rows.groupBy("bucket").cogroup(
+                given.filter("bucket >= 0").groupBy("bucket")
             )
-        names = "doc_id string, held_out boolean, n_tokens long, n_known long"
-        names += ", base_score double, score double"
-        scored, _ = write(pairs.applyInPandas(_score(shared, exchange), names), "hmm-scores")
-        delete_folder(spark, path)
-    spark.sql(f"DROP TABLE {name}")
-    delete_folder(spark, folder)
+            totals = pairs.applyInPandas(_merge(exchange, scoring=last), RETURNED)
+            returned = Table.write(totals, "chunk", parts, "hmm-returned")
+        if handed:
+            handed.drop()
+        total = _sum_stats(returned.rows, STATES + 2)
+        model.totals = total[:STATES]
+        model.train_tokens, model.distinct = int(total[-2]), int(total[-1])
+        shared = spark.sparkContext.broadcast(model)
+        pairs = tokens_only.cogroup(returned.rows.filter("chunk >= 0").groupBy("chunk"))
+        if last:
+            break
+        with _batches(spark, 1):
+            step = pairs.applyInPandas(_learn(shared, exchange), HANDED)
+            handed = Table.write(step, "bucket", parts_of_words, "hmm-handed")
+        returned.drop()
+        found = _sum_stats(handed.rows, STATES * (STATES + 1) + 1)
+        starts = found[:STATES] + SMALLEST
+        moves = found[STATES:-1].reshape(STATES, STATES) + SMALLEST
+        model = Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True))
+    asked.drop()
+    names = "doc_id string, held_out boolean, n_tokens long, n_known long"
+    names += ", base_score double, score double"
+    with _batches(spark, 1):
+        scored = materialise(pairs.applyInPandas(_score(shared, exchange), names), "hmm-scores")
+    returned.drop()
+    chunks.drop()
     return scored.select(
         F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "held_out",
