@@ -42,17 +42,20 @@ MIXED = 0.05  # share of the word frequencies in every state's emissions
 CHUNK_TOKENS = 1 << 21  # tokens of a chunk, unless one text has more
 STEP_TOKENS = 1 << 18  # tokens whose recursions are held at a time
 EMIT_WORDS = 1 << 15  # words whose emissions are worked out at a time
+ROW_NUMBERS = 1 << 15  # tokens or words in a row of a chunk (a text is not cut)
 SEED = 5
 EXCHANGE = "float32"  # of expected counts between tasks; sums are double
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 SMALLEST = 1e-3  # added to expected starts and moves
 
+# Rows of a chunk: pieces of its texts (``tokens``), then of its vocabulary.
 CHUNK = (
-    "chunk long, keys array<string>, held binary, sizes binary, tokens binary, "
-    "hashes binary, counts binary"
+    "chunk long, part int, keys array<string>, held binary, sizes binary, tokens binary, "
+    "learned binary, hashes binary, counts binary"
 )
-ASKED = "chunk long, bucket int, hashes binary, counts binary"
-HANDED = "chunk long, bucket int, values binary, stats array<double>"
-RETURNED = "chunk long, bucket int, counts binary, values binary, stats array<double>"
+ASKED = "chunk long, bucket int, part int, hashes binary, counts binary"
+HANDED = "chunk long, bucket int, part int, values binary, stats array<double>"
+RETURNED = "chunk long, bucket int, part int, counts binary, values binary, stats array<double>"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -237,14 +240,18 @@ def likelihoods(model: Model, emit: np.ndarray, packed: Packed) -> np.ndarray:
 
 
 @contextmanager
-def _batches(spark: SparkSession, rows: int):
-    """Arrow batches of so many rows: chunks are large ones."""
-    before = spark.conf.get(ARROW_ROWS)
-    spark.conf.set(ARROW_ROWS, str(rows))
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(ARROW_ROWS, before)
+        spark.conf.set(key, before)
+
+
+def _batches(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows: those of a chunk are large ones."""
+    return _setting(spark, ARROW_ROWS, str(rows))
 
 
 def _chunks(limit: int):
@@ -255,19 +262,29 @@ def _chunks(limit: int):
         numbers.default_factory = numbers.__len__
         keys, held, parts, size = [], [], [], 0
 
-        def chunk() -> pd.DataFrame:
-            stream, sizes = np.concatenate(parts), np.array(list(map(len, parts)), np.int32)
+        def chunk() -> Iterator[pd.DataFrame]:
             hashes = word_hashes(list(numbers))
             order = np.argsort(hashes)
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
-            stream = rank[stream]
-            learned = stream[~np.repeat(np.array(held, bool), sizes)]
-            counts = np.bincount(learned, minlength=len(order))
-            row = [number, keys, np.array(held, bool).tobytes(), sizes.tobytes(), stream.tobytes()]
-            row += [hashes[order].tobytes(), counts.astype(np.int64).tobytes()]
-            columns = ["chunk", "keys", "held", "sizes", "tokens", "hashes", "counts"]
-            return pd.DataFrame([row], columns=columns)
+            hashes, counts = hashes[order], np.zeros(len(order), np.int64)
+            sizes = np.array(list(map(len, parts)), np.int32)
+            piece = np.cumsum(sizes) // ROW_NUMBERS
+            cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(parts)]
+            columns = [name.split()[0] for name in CHUNK.split(", ")]
+            for part, (low, high) in enumerate(zip(cuts, cuts[1:])):
+                out = np.array(held[low:high], bool)
+                stream = rank[np.concatenate(parts[low:high])]
+                learned = stream[~np.repeat(out, sizes[low:high])]
+                np.add.at(counts, learned, 1)
+                row = [number, part, keys[low:high], out.tobytes(), sizes[low:high].tobytes()]
+                row += [stream.tobytes(), None, None, None]
+                yield pd.DataFrame([row], columns=columns)
+            for part, low in enumerate(range(0, len(order), ROW_NUMBERS)):
+                own = counts[low : low + ROW_NUMBERS]
+                row = [number, part, None, None, None, None, (own > 0).tobytes()]
+                row += [hashes[low : low + ROW_NUMBERS].tobytes(), own.tobytes()]
+                yield pd.DataFrame([row], columns=columns)
 
         for batch in batches:
             for key, out, text in zip(*(batch[c] for c in ("doc_id", "held_out", "text"))):
@@ -277,12 +294,12 @@ def _chunks(limit: int):
                 held.append(out)
                 size += len(found)
                 if size >= limit:
-                    yield chunk()
+                    yield from chunk()
                     number += 1
                     numbers.clear()
                     keys, held, parts, size = [], [], [], 0
         if parts:
-            yield chunk()
+            yield from chunk()
 
     return run
 
@@ -301,7 +318,8 @@ class Table:
         name = f"waymark_{purpose}_{uuid.uuid4().hex}".replace("-", "_")
         path = work_folder(spark, purpose)
         writer = rows.write.format("parquet").bucketBy(buckets, column)
-        writer.option("path", path).saveAsTable(name)
+        with _setting(spark, WRITERS, "0"):  # one file at a time, in order
+            writer.option("path", path).saveAsTable(name)
         return cls(spark.table(name), name, path)
 
     def drop(self) -> None:
@@ -312,25 +330,30 @@ class Table:
 
 @dataclass
 class Chunk:
-    """One row of the table."""
+    """The rows of one chunk, without the hashes of its words."""
 
     number: int
     keys: list
     held: np.ndarray
     sizes: np.ndarray
     stream: np.ndarray
-    counts: np.ndarray  # in the training texts, by word
+    learned: np.ndarray  # per word: it stands in a training text
 
     @classmethod
     def of(cls, frame: pd.DataFrame) -> Chunk:
-        row = frame.iloc[0]
+        frame = frame.sort_values("part")
+        texts, words = frame[frame["tokens"].notna()], frame[frame["learned"].notna()]
+
+        def joined(rows: pd.DataFrame, name: str, kind) -> np.ndarray:
+            return np.concatenate([np.frombuffer(raw, kind) for raw in rows[name]])
+
         return cls(
-            int(row["chunk"]),
-            list(row["keys"]),
-            np.frombuffer(row["held"], bool),
-            np.frombuffer(row["sizes"], np.int32).astype(np.int64),
-            np.frombuffer(row["tokens"], np.int32),
-            np.frombuffer(row["counts"], np.int64),
+            int(frame["chunk"].iloc[0]),
+            [key for keys in texts["keys"] for key in keys],
+            joined(texts, "held", bool),
+            joined(texts, "sizes", np.int32).astype(np.int64),
+            joined(texts, "tokens", np.int32),
+            joined(words, "learned", bool),
         )
 
     def packed(self, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, Packed]]:
@@ -352,15 +375,16 @@ def _ask(bits: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for chunk, hashes, counts in zip(batch["chunk"], batch["hashes"], batch["counts"]):
+            rows = []
+            for chunk, part, hashes, counts in batch.itertuples(index=False):
                 hashes = np.frombuffer(hashes, np.uint64)
                 cuts = _cuts(hashes, bits)
-                rows = [
-                    (chunk, bucket, hashes[low:high].tobytes(), counts[8 * low : 8 * high])
+                rows += [
+                    (chunk, bucket, part, hashes[low:high].tobytes(), counts[8 * low : 8 * high])
                     for bucket, (low, high) in enumerate(zip(cuts, cuts[1:]))
                     if high > low
                 ]
-                yield pd.DataFrame(rows, columns=["chunk", "bucket", "hashes", "counts"])
+            yield pd.DataFrame(rows, columns=["chunk", "bucket", "part", "hashes", "counts"])
 
     return run
 
@@ -375,10 +399,10 @@ def _merge(exchange: str, scoring: bool):
     """
 
     def run(asked: pd.DataFrame, handed: pd.DataFrame) -> pd.DataFrame:
-        columns = ["chunk", "bucket", "counts", "values", "stats"]
+        columns = ["chunk", "bucket", "part", "counts", "values", "stats"]
         if not len(asked):
             return pd.DataFrame([], columns=columns)
-        asked = asked.sort_values("chunk")
+        asked = asked.sort_values(["chunk", "part"])
         bucket = int(asked["bucket"].iloc[0])
         own = np.concatenate([np.frombuffer(raw, np.int64) for raw in asked["counts"]])
         hashes = np.concatenate([np.frombuffer(raw, np.uint64) for raw in asked["hashes"]])
@@ -386,7 +410,7 @@ def _merge(exchange: str, scoring: bool):
         counts = np.zeros(len(names), np.int64)
         np.add.at(counts, place, own)
         if len(handed):
-            parts = handed.sort_values("chunk")["values"]
+            parts = handed.sort_values(["chunk", "part"])["values"]
             given = np.concatenate([np.frombuffer(raw, exchange) for raw in parts])
             given = given.reshape(-1, STATES)
             learned = place[own > 0]
@@ -397,14 +421,14 @@ def _merge(exchange: str, scoring: bool):
             values = first_counts(names, counts)
         cuts = np.cumsum([0, *(len(raw) // 8 for raw in asked["hashes"])])
         rows = []
-        for chunk, low, high in zip(asked["chunk"], cuts, cuts[1:]):
+        for chunk, part, low, high in zip(asked["chunk"], asked["part"], cuts, cuts[1:]):
             mine = place[low:high]
             if not scoring:
                 mine = mine[own[low:high] > 0]
             known = counts[mine].tobytes() if scoring else None
-            rows.append((chunk, bucket, known, values[mine].astype(exchange).tobytes(), None))
+            rows.append((chunk, bucket, part, known, values[mine].astype(exchange).tobytes(), None))
         total = [*values.sum(axis=0), float(counts.sum()), float((counts > 0).sum())]
-        rows.append((-1, bucket, None, None, total))
+        rows.append((-1, bucket, 0, None, None, total))
         return pd.DataFrame(rows, columns=columns)
 
     return run
@@ -420,7 +444,7 @@ def _sum_stats(table: DataFrame, size: int) -> np.ndarray:
 
 
 def _joined(returned: pd.DataFrame, name: str, kind) -> np.ndarray:
-    parts = [np.frombuffer(raw, kind) for raw in returned.sort_values("bucket")[name]]
+    parts = [np.frombuffer(raw, kind) for raw in returned.sort_values(["bucket", "part"])[name]]
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
@@ -429,11 +453,11 @@ def _learn(shared, exchange: str):
 
     def run(chunks: pd.DataFrame, returned: pd.DataFrame) -> pd.DataFrame:
         model: Model = shared.value
-        columns = ["chunk", "bucket", "values", "stats"]
+        columns = ["chunk", "bucket", "part", "values", "stats"]
         if not len(chunks):
             return pd.DataFrame([], columns=columns)
         chunk = Chunk.of(chunks)
-        learned = chunk.counts > 0
+        learned = chunk.learned
         emit = np.ones((len(learned), STATES))
         emit[learned] = model.emissions(_joined(returned, "values", exchange).reshape(-1, STATES))
         seen = np.zeros((STATES, len(learned)))
@@ -443,15 +467,15 @@ def _learn(shared, exchange: str):
             starts, moves, log = starts + found[0], moves + found[1], log + found[2]
         del emit
         # The buckets' parts, as many words as came back of each.
-        sizes = returned.sort_values("bucket")[["bucket", "values"]]
+        sizes = returned.sort_values(["bucket", "part"])[["bucket", "part", "values"]]
         width = STATES * np.dtype(exchange).itemsize
         seen, low, rows = seen.T[learned].astype(exchange), 0, []
-        for bucket, raw in sizes.itertuples(index=False):
+        for bucket, part, raw in sizes.itertuples(index=False):
             high = low + len(raw) // width
-            rows.append((chunk.number, bucket, seen[low:high].tobytes(), None))
+            rows.append((chunk.number, bucket, part, seen[low:high].tobytes(), None))
             low = high
         stats = [*starts, *moves.ravel(), log]
-        rows.append((chunk.number, -1, None, stats))
+        rows.append((chunk.number, -1, 0, None, stats))
         return pd.DataFrame(rows, columns=columns)
 
     return run
@@ -508,13 +532,14 @@ def score(
     parts = min(100_000, max(cores, 2 * texts.rdd.getNumPartitions()))
     chunks = Table.write(texts.mapInPandas(_chunks(chunk_tokens), CHUNK), "chunk", parts, "hmm-chunks")
     # About as many buckets of words as chunks: one then holds about as many words.
-    number = chunks.rows.select("chunk").count()
+    number = chunks.rows.filter("part = 0 and tokens is not null").count()
     bits = min(16, max(4, math.ceil(math.log2(max(1, number)))))
     parts_of_words = min(1 << bits, max(cores, parts // 8))
-    tokens_only = chunks.rows.drop("hashes").groupBy("chunk")
+    tokens_only = chunks.rows.drop("hashes", "counts").groupBy("chunk")
     model, handed = first_model(), None
-    with _batches(spark, 1):
-        words = chunks.rows.select("chunk", "hashes", "counts").mapInPandas(_ask(bits), ASKED)
+    with _batches(spark, 16):
+        words = chunks.rows.filter("hashes is not null").select("chunk", "part", "hashes", "counts")
+        words = words.mapInPandas(_ask(bits), ASKED)
         asked = Table.write(words, "bucket", parts_of_words, "hmm-asked")
     for turn in range(iterations + 1):
         last = turn == iterations
@@ -534,7 +559,7 @@ def score(
         pairs = tokens_only.cogroup(returned.rows.filter("chunk >= 0").groupBy("chunk"))
         if last:
             break
-        with _batches(spark, 1):
+        with _batches(spark, 16):
             step = pairs.applyInPandas(_learn(shared, exchange), HANDED)
             handed = Table.write(step, "bucket", parts_of_words, "hmm-handed")
         returned.drop()
@@ -545,7 +570,7 @@ def score(
     asked.drop()
     names = "doc_id string, held_out boolean, n_tokens long, n_known long"
     names += ", base_score double, score double"
-    with _batches(spark, 1):
+    with _batches(spark, 16):
         scored = materialise(pairs.applyInPandas(_score(shared, exchange), names), "hmm-scores")
     returned.drop()
     chunks.drop()
