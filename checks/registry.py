@@ -378,6 +378,46 @@ def _cycle_streets(spark, sf_dir):
     return work.street_counts([names[0], names[2]]).select(_numbered(names), "n")
 
 
+def _joint_publication(spark, sf_dir):
+    """Both public views while a second release, with fewer rows, is published.
+
+    Steps: the first release; a switch that fails; the second release.
+    """
+    stem = work_folder(spark, "x")[-8:]
+    work = Releases(spark, f"jc_{stem}", f"jp_{stem}", joint=True)
+    lines = derived.raw_lines(spark, sf_dir)
+    created = [datetime(2024, month, 1) for month in (1, 2)]
+    names = [f"ab{stem}_{day:%Y%m%d_%H%M%S}" for day in created]
+    for name in [work.control, work.public, *names]:
+        spark.sql(f"CREATE DATABASE `{name}` LOCATION '{work_folder(spark, name)}'")
+    seen = []
+
+    def look():
+        counts = [work.public_table(t).count() for t in (releases.LOOKUP, releases.COMBINED)]
+        shown = {names.index(work.public_release(t)) + 1 for t in (releases.LOOKUP, releases.COMBINED)}
+        seen.append((len(seen) + 1, *(shown if len(shown) == 1 else [None]), *counts))
+
+    kept = ["true", "value not like '28,%' or split(value, ',')[3] % 2 = 0"]
+    for number, (day, condition) in enumerate(zip(created, kept)):
+        release = work.initialise(stem, day)
+        landing.load_lines(
+            spark, release, "b0", lines.filter(condition), work_folder(spark, "split")
+        )
+        work.build_lookup(release)
+        work.build_combined(release, force=True)
+        if number:
+            move, work._point = work._point, lambda release: 1 // 0
+            try:
+                work.finalise(release, force=True)
+            except ZeroDivisionError:
+                look()
+            work._point = move
+        work.finalise(release, force=True)
+        look()
+    schema = "step int, release int, lookup_rows long, combined_rows long"
+    return spark.createDataFrame(seen, schema)
+
+
 def _public(table: str) -> Query:
     return lambda spark, sf_dir: _shown(_cycle(spark, sf_dir)[0].public_table(table))
 
@@ -446,6 +486,77 @@ def _list_files(spark, sf_dir):
     return found.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
+def _file_digest(spark, sf_dir):
+    """Digests of files on disk: one per nation, with its customers in order."""
+    folder = work_folder(spark, "digested")
+    customers = derived.source_table(spark, sf_dir, "customer")
+    lines = customers.selectExpr(
+        "c_nationkey", "c_custkey", "c_custkey || ',' || c_name || ',' || c_mktsegment as value"
+    )
+    (
+        lines.repartition("c_nationkey")
+        .sortWithinPartitions("c_nationkey", "c_custkey")
+        .select("c_nationkey", "value")
+        .write.partitionBy("c_nationkey")
+        .text(folder)
+    )
+    nation = F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int")
+    found = integrity.file_checksums(spark, folder)
+    return found.select(nation.alias("nation"), "length", "md5")
+
+
+def _batch_commit(spark, sf_dir):
+    """Rows per table after a batch, after one that fails, and after its repeat."""
+    release = _release(spark, "commit")
+    folder = derived.raw_folder(spark, sf_dir)
+    landing.load_raw_batch(spark, release, "b0", folder)
+    steps = [materialise(landing.row_counts(spark, release), "counts")]
+    # The last table's lines are too wide for it; all others can be loaded.
+    wide = derived.raw_lines(spark, sf_dir).unionByName(
+        derived.source_table(spark, sf_dir, "region").selectExpr(
+            "'30,I,1,' || r_regionkey || ',' || repeat('x', 99) || ',,,,,' as value"
+        )
+    )
+    try:
+        landing.load_lines(spark, release, "b1", wide, work_folder(spark, "split"))
+    except Exception as failure:
+        if "length limitation" not in str(failure):
+            raise
+        steps.append(materialise(landing.row_counts(spark, release), "counts"))
+    landing.load_raw_batch(spark, release, "b1", folder)
+    steps.append(landing.row_counts(spark, release))
+    result = None
+    for number, counts in enumerate(steps, 1):
+        numbered = counts.withColumn("step", F.lit(number))
+        result = numbered if result is None else result.unionByName(numbered)
+    return result
+
+
+def _stream_rejects(spark, sf_dir):
+    """Bad lines in a stream: rejects of each record type beside the rows."""
+    release = _release(spark, "lenient")
+    folder = work_folder(spark, "mixed")
+    nations = derived.source_table(spark, sf_dir, "nation")
+    bad = nations.selectExpr("'77,' || n_name as value").union(
+        nations.selectExpr("'24,' || n_name as value")
+    )
+    lines = derived.raw_lines(spark, sf_dir).unionByName(bad).repartition(25, F.xxhash64("value"))
+    lines.write.option("mapreduce.output.basename", RAW_PREFIX).text(folder)
+    for _ in range(2):  # the second run replaces what the first one has loaded
+        loads.load_stream(
+            spark, release, folder, work_folder(spark, "progress"), source="s", lenient=True
+        ).awaitTermination()
+    loaded = landing.row_counts(spark, release).selectExpr(
+        "'loaded' as outcome", "table_name as name", "row_count as n"
+    )
+    rejected = landing.rejects(spark, release)
+    return loaded.union(
+        rejected.groupBy(F.coalesce("record_type", F.lit("unknown")).alias("name"))
+        .agg(F.count("*").alias("n"))
+        .selectExpr("'rejected'", "name", "n")
+    )
+
+
 def _min_size(spark, sf_dir):
     kind = F.when(c("page_id") % 5 == 4, "XX").when(c("page_id") % 2 == 0, "GB").otherwise("IS")
     bundles = derived.source_table(spark, sf_dir, "pages").select(
@@ -678,6 +789,10 @@ _QUERIES: dict[str, Query] = {
     "stream_two_sources": _stream_two_sources,
     "load_record_files": _load_record_files,
     "load_rejects": _load_rejects,
+    "file_digest": _file_digest,
+    "batch_commit": _batch_commit,
+    "stream_rejects": _stream_rejects,
+    "joint_publication": _joint_publication,
     # the life of a release
     "release_log": _cycle_log,
     "releases_live": _cycle_live,

@@ -5,6 +5,7 @@ import pytest
 from checks import derived
 from waymark.plans import releases, status, views
 from waymark.plans.releases import Releases
+from waymark.session import work_folder
 from waymark.sources import landing
 from waymark.sources.layouts import TABLES
 
@@ -161,3 +162,101 @@ def test_failed_build_is_recorded_and_raised(spark):
         work.build_lookup(release)
     found = work.status(release)
     assert found["status"] == "errored" and "abp_lpi" in found["errorMessage"]
+
+
+def release_of(work, table):
+    """The release a public view really shows, by its rows."""
+    return work.public_table(table).count()
+
+
+def built(work, epoch, month, lines):
+    release = work.initialise(epoch, datetime(2024, month, 1))
+    landing.load_lines(work.spark, release, "b0", lines, work_folder(work.spark, "split"))
+    work.build_lookup(release)
+    assert work.build_combined(release)
+    return release
+
+
+@pytest.mark.parametrize("joint", [False, True])
+def test_a_failed_publication_leaves_the_public_release(spark, joint, monkeypatch):
+    """The switch fails, then a release is initialised: readers see the old one."""
+    name = f"fp{int(joint)}"
+    work = Releases(spark, control=f"{name}_control", public=f"{name}_public", joint=joint)
+    lines = derived.raw_lines(spark, SF)
+    first = built(work, f"{name}1", 1, lines)
+    work.finalise(first)
+    before = {table: release_of(work, table) for table in (releases.LOOKUP, releases.COMBINED)}
+    fewer = lines.filter("value not like '28,%' or split(value, ',')[3] % 2 = 0")
+    second = built(work, f"{name}2", 2, fewer)
+    failing = "_point" if joint else "_publish_view"
+
+    def broken(*args):
+        raise OSError("catalog gone")
+
+    monkeypatch.setattr(work, failing, broken)
+    with pytest.raises(OSError):
+        work.finalise(second)
+    assert work.status(second)["status"] == "completed"
+    assert work.public_release() == first
+    monkeypatch.undo()
+    tables = (releases.LOOKUP, releases.COMBINED) if joint else (releases.LOOKUP,)
+    assert {table: release_of(work, table) for table in tables} == {t: before[t] for t in tables}
+    work.finalise(second)
+    assert work.public_release() == second
+    assert release_of(work, releases.LOOKUP) < before[releases.LOOKUP]
+    third = work.initialise(f"{name}3", datetime(2024, 3, 1))
+    assert not spark.catalog.databaseExists(first)
+    assert release_of(work, releases.LOOKUP) < before[releases.LOOKUP]
+    assert third
+
+
+def test_a_release_that_readers_see_is_never_dropped(spark, monkeypatch):
+    """Switched but not recorded: the next release spares it."""
+    work = Releases(spark, control="nd_control", public="nd_public")
+    lines = derived.raw_lines(spark, SF)
+    first = built(work, "nd1", 1, lines)
+    work.finalise(first)
+    second = built(work, "nd2", 2, lines)
+    record = work.record
+    monkeypatch.setattr(
+        work, "record", lambda r, state, *a: record(r, state, *a) if state != "finalised" else 1 / 0
+    )
+    with pytest.raises(ZeroDivisionError):
+        work.finalise(second)
+    monkeypatch.undo()
+    assert work.public_release() == second
+    work.initialise("nd3", datetime(2024, 3, 1))
+    assert spark.catalog.databaseExists(second) and work.public_table().count() > 0
+
+
+def test_both_views_move_together(spark, monkeypatch):
+    """Between any two statements of a publication both show one release."""
+    work = Releases(spark, control="bm_control", public="bm_public", joint=True)
+    lines = derived.raw_lines(spark, SF)
+    fewer = lines.filter("value not like '28,%' or split(value, ',')[3] % 2 = 0")
+    first = built(work, "bm1", 1, lines)
+    with pytest.raises(LookupError, match="no lookup_combined"):
+        spark.sql(f"ALTER VIEW {first}.lookup_combined RENAME TO {first}.hidden")
+        work.publish(first)
+    spark.sql(f"ALTER VIEW {first}.hidden RENAME TO {first}.lookup_combined")
+    work.finalise(first)
+    second = built(work, "bm2", 2, fewer)
+    expected = {
+        tuple(spark.table(f"{release}.{table}").count() for table in (releases.LOOKUP, releases.COMBINED))
+        for release in (first, second)
+    }
+    assert len(expected) == 2
+    seen = []
+
+    def watched(step):
+        def run(*args):
+            step(*args)
+            seen.append(tuple(release_of(work, t) for t in (releases.LOOKUP, releases.COMBINED)))
+        return run
+
+    for name in ("_joint_view", "_point"):
+        monkeypatch.setattr(work, name, watched(getattr(work, name)))
+    work.finalise(second)
+    assert len(seen) == 3 and set(seen) == expected
+    plan = work.public_table()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1  # the other branch is no part of the plan

@@ -1,4 +1,7 @@
+import gzip
+import hashlib
 import os
+import random
 import time
 
 import pytest
@@ -269,3 +272,35 @@ def test_checksums_and_sizes(spark, folder):
     assert [r.ok for r in integrity.size_report(bundles).collect()] == [False, True, True, None]
     with pytest.raises(Exception, match="not a bundle"):
         integrity.size_report(bundles, strict=True).collect()
+
+
+def test_digests_of_whole_files(spark, folder):
+    """Line ends, byte order marks, packed and binary files; read line by line."""
+    contents = {
+        "empty": b"", "feed": b"\n", "feeds": b"\n\n\n", "open": b"a\nb", "closed": b"a\nb\n",
+        "dos": b"a\r\nb\r\n", "old": b"a\rb", "mark": b"\xef\xbb\xbfa\nb",
+        "mark_closed": b"\xef\xbb\xbfa\n", "only_mark": b"\xef\xbb\xbf",
+        "no_utf8": bytes(range(256)) * 5, "noise.zip": random.Random(5).randbytes(3_000_000),
+        "long": b"x" * 500_000, "packed.gz": gzip.compress(b"text\n" * 1000), "spaces": b" a \n b ",
+    }
+    os.makedirs(f"{folder}/deep")
+    for i, (name, data) in enumerate(contents.items()):
+        with open(f"{folder}/{'deep/' if i % 2 else ''}{name}", "wb") as f:
+            f.write(data)
+    rows = integrity.file_checksums(spark, folder).collect()
+    found = {os.path.basename(r.path): (r.length, r.md5) for r in rows}
+    assert found == {
+        name: (len(data), hashlib.md5(data).hexdigest()) for name, data in contents.items() if data
+    }
+    assert len(rows) == len(contents) - 1  # an empty file is not listed
+
+
+def test_a_digest_needs_little_memory(spark, folder):
+    """Lines come in batches; the whole is the digest of what was joined."""
+    data = b"one\n\ntwo\nend\n"
+    digest = integrity._Digest("a", len(data))
+    for lines in ([b"one"], [b"", b"two"], [b"end"]):
+        digest.add(lines)
+    assert digest.finish() == ("a", len(data), hashlib.md5(data).hexdigest())
+    with pytest.raises(OSError, match="bytes read"):
+        integrity._Digest("a", 50).finish()

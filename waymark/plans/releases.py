@@ -25,6 +25,7 @@ LOOKUP_TOKENS = "lookup_tokens"
 COMBINED = "lookup_combined"
 COMBINED_TOKENS = "lookup_combined_tokens"
 PROGRESS = "progress"
+POINTER = "shown_release"  # a view of one value: the release that readers see
 
 # Messages of a combined build, in order (fixed values).
 COMBINED_STEPS = (
@@ -49,6 +50,11 @@ class Releases:
 
     ``public_names`` renames what readers see: the public views ``lookup`` and
     ``lookup_combined``, and any of their columns.
+
+    With ``joint`` both public views show the same release at any time: they
+    resolve through one pointer, which ``publish`` moves once the lookup and
+    the combined view of a release are there. Otherwise each view is switched
+    on its own.
     """
 
     def __init__(
@@ -57,8 +63,10 @@ class Releases:
         control: str = "gazetteer_control",
         public: str = "gazetteer",
         public_names: Mapping[str, str] | None = None,
+        joint: bool = False,
     ):
         self.spark = tune(spark)
+        self.joint = joint
         self.control = checked_name(control)
         self.public = checked_name(public)
         self.public_names = {k: checked_name(v) for k, v in (public_names or {}).items()}
@@ -121,14 +129,22 @@ class Releases:
         return release
 
     def superseded(self) -> list[str]:
-        return [row["schema_name"] for row in status.to_drop(self.current()).collect()]
+        """Releases that may go: never the one whose lookup readers see."""
+        shown = self.public_release()
+        listed = [row["schema_name"] for row in status.to_drop(self.current()).collect()]
+        return [release for release in listed if release != shown]
 
     def drop(self, releases: list[str]) -> None:
-        """Remove releases; public views of theirs go first."""
+        """Remove releases; public views of theirs go first.
+
+        Joint views forget the release, so that they never name a missing one.
+        """
         for release in releases:
             for table in (LOOKUP, COMBINED):
                 if self.public_release(table) == release:
                     self.spark.sql(f"DROP VIEW {self._public_view(table)}")
+                elif release in self._branches(table):
+                    self._joint_view(table, [r for r in self._branches(table) if r != release])
             self.spark.sql(f"DROP DATABASE IF EXISTS `{checked_name(release)}` CASCADE")
             self.record(release, status.DROPPED)
 
@@ -137,8 +153,21 @@ class Releases:
         view = self._public_view(table)
         if not self.spark.catalog.tableExists(view.replace("`", "")):
             return None
+        properties = self._properties(table)
+        if "branches" in properties:
+            return self.spark.table(f"`{self.public}`.`{POINTER}`").head()["release"]
+        return properties.get("release")
+
+    def _properties(self, table: str) -> dict[str, str]:
+        view = self._public_view(table)
+        if not self.spark.catalog.tableExists(view.replace("`", "")):
+            return {}
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {view}").collect()
-        return {row["key"]: row["value"] for row in rows}.get("release")
+        return {row["key"]: row["value"] for row in rows}
+
+    def _branches(self, table: str) -> list[str]:
+        """The releases that a joint view can show."""
+        return [name for name in self._properties(table).get("branches", "").split(",") if name]
 
     def compact_log(self) -> None:
         """Rewrite the status log, one small file per transition, as one file."""
@@ -234,7 +263,8 @@ class Releases:
         """Write the combined view and its tokens, logging progress.
 
         It becomes public at once if the release is within tolerance (or when
-        forced); the result says whether it did.
+        forced), or with the lookup where both are published jointly; the
+        result says whether it may.
         """
         checked_name(release)
         progress = f"`{release}`.`{PROGRESS}`"
@@ -246,7 +276,7 @@ class Releases:
             self._progress(progress, str(failure), done=False)
             raise
         allowed = force or self.within_tolerance(release)
-        if allowed:
+        if allowed and not self.joint:
             self._publish_view(release, COMBINED, views.COMBINED_COLUMNS)
         return allowed
 
@@ -322,21 +352,66 @@ class Releases:
         return result
 
     def publish(self, release: str) -> None:
-        """Point the public lookup at the release; its timestamp stays.
+        """Show the release to readers, then record it; its timestamp stays.
 
-        The record comes first: a release that is public is never taken for a
-        superseded one, whatever happens in between.
+        A failure before the switch leaves the public release as it was, one
+        after it leaves a release that readers see and that is not recorded:
+        ``superseded`` spares it, and publishing again completes it.
         """
         row = self.current().filter(F.col("schema_name") == release).head()
+        if self.joint:
+            self._publish_both(release)
+        else:
+            self._publish_view(release, LOOKUP, views.LOOKUP_COLUMNS)
         self.record(release, status.FINALISED, row["error_message"], row["timestamp"])
-        self._publish_view(release, LOOKUP, views.LOOKUP_COLUMNS)
+
+    def _listed(self, columns: list[str]) -> str:
+        return ", ".join(f"{name} AS {self.public_names.get(name, name)}" for name in columns)
 
     def _publish_view(self, release: str, table: str, columns: list[str]) -> None:
-        listed = ", ".join(f"{name} AS {self.public_names.get(name, name)}" for name in columns)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self._public_view(table)} "
             f"TBLPROPERTIES ('release' = '{checked_name(release)}') AS "
-            f"SELECT {listed} FROM `{checked_name(release)}`.`{table}`"
+            f"SELECT {self._listed(columns)} FROM `{checked_name(release)}`.`{table}`"
+        )
+
+    def _publish_both(self, release: str) -> None:
+        """Both views learn of the release, then the pointer moves to it."""
+        for table in (LOOKUP, COMBINED):
+            if not self.spark.catalog.tableExists(f"{checked_name(release)}.{table}"):
+                raise LookupError(f"{release} has no {table}")
+        shown = {table: self.public_release(table) for table in (LOOKUP, COMBINED)}
+        if None in shown.values() or len(set(shown.values())) > 1:
+            # Nothing to keep in step with: the first joint publication.
+            shown = dict.fromkeys(shown)
+        if not self.spark.catalog.tableExists(f"{self.public}.{POINTER}"):
+            self._point(shown[LOOKUP] or release)
+        for table, before in shown.items():
+            self._joint_view(table, list(dict.fromkeys(r for r in (before, release) if r)))
+        self._point(release)
+
+    def _point(self, release: str) -> None:
+        """One statement: readers see all of one release or all of the other."""
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW `{self.public}`.`{POINTER}` AS "
+            f"SELECT '{checked_name(release)}' AS release"
+        )
+
+    def _joint_view(self, table: str, releases: list[str]) -> None:
+        """The rows of whichever of the releases the pointer names.
+
+        The pointer is a constant to the planner: a branch that it does not
+        name is no part of the plan.
+        """
+        columns = {LOOKUP: views.LOOKUP_COLUMNS, COMBINED: views.COMBINED_COLUMNS}[table]
+        branches = " UNION ALL ".join(
+            f"SELECT {self._listed(columns)} FROM `{checked_name(r)}`.`{table}` "
+            f"WHERE (SELECT release FROM `{self.public}`.`{POINTER}`) = '{r}'"
+            for r in releases
+        )
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._public_view(table)} "
+            f"TBLPROPERTIES ('branches' = '{','.join(releases)}') AS {branches}"
         )
 
     def _public_view(self, table: str) -> str:

@@ -2,28 +2,116 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.session import materialise, ship_package
+
 # Bundle names and the size each must exceed, in bytes (fixed values).
 BUNDLE_PATTERN = "^AB..(GB|IS)_CSV.zip$"
-LARGEST_VALUE = 2**31 - 1
 MINIMUM_BYTES = {"GB": 9_500_000_000, "IS": 150_000_000}
 
+# Endings of files that the text reader would unpack (fixed values).
+PACKED = ("bz2", "deflate", "gz", "lz4", "snappy", "zst")
+LARGEST_VALUE = 2**31 - 1  # bytes of one value
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SPLIT_KEY = "spark.sql.files.maxPartitionBytes"
+DIGEST = "path string, length long, md5 string"
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"  # the text reader leaves it out
+
+
+class _Digest:
+    """The digest of one file, line by line."""
+
+    def __init__(self, path: str, length: int):
+        self.path, self.length = path, length
+        self.read = -1  # every line but the first has a line end before it
+        # A byte order mark shows only in the length, when all is read.
+        self.plain, self.marked = hashlib.md5(), hashlib.md5(BYTE_ORDER_MARK)
+
+    def add(self, lines: list[bytes]) -> None:
+        data = b"\n".join(lines)
+        if self.read >= 0:
+            data = b"\n" + data
+            self.read += len(data)
+        else:
+            self.read = len(data)
+        self.plain.update(data)
+        self.marked.update(data)
+
+    def finish(self) -> tuple[str, int, str]:
+        missing = self.length - self.read
+        digest = self.marked if missing in (3, 4) else self.plain
+        if missing in (1, 4):
+            digest.update(b"\n")
+        if missing not in (0, 1, 3, 4):
+            raise OSError(f"{self.path}: {self.read} of {self.length} bytes read")
+        return self.path, self.length, digest.hexdigest()
+
+
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole files one after the other, each line in order."""
+    current, done = None, []
+    for batch in batches:
+        for (path, length), lines in batch.groupby(["path", "length"], sort=False)["line"]:
+            if current is None or current.path != path:
+                done += [current.finish()] if current else []
+                current = _Digest(path, length)
+            current.add(lines.tolist())
+    done += [current.finish()] if current else []
+    yield pd.DataFrame(done, columns=["path", "length", "md5"])
+
 
 def file_checksums(spark: SparkSession, directory: str) -> DataFrame:
-    """MD5 of every file below a directory.
+    """MD5 of every file below a directory, whatever its size.
 
-    A file is one value here, which holds 2 GB at most; a larger one fails with
-    its name (by its listed length, before it is read).
+    A file is read front to back by one task through Spark's text reader, whose
+    lines are the bytes between line feeds, and never held as a whole; the
+    digests are stored. Only what that reader would unpack (by its ending) is
+    one value, and fails with its name from 2 GB on. A file of 2 GB or more
+    without any line feed fails as well. Spark lists no empty files.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
-    )
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = listing.load(directory)
+    packed = F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*PACKED)
     failure = F.raise_error(F.concat(F.lit("too large for one value: "), "path"))
-    return files.filter(
-        F.when(F.col("length") < LARGEST_VALUE, True).otherwise(failure.cast("boolean"))
+    as_values = files.filter(
+        packed & F.when(F.col("length") < LARGEST_VALUE, True).otherwise(failure.cast("boolean"))
     ).select("path", "length", F.md5("content").alias("md5"))
+    # The two readers write paths differently; the listing has both forms.
+    names = files.filter(~packed).select(
+        F.col("_metadata.file_path").alias("file_path"), "path", "length"
+    )
+    ship_package(spark)
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .option("recursiveFileLookup", True)
+        .text(directory)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("length"),
+            F.col("value").cast("binary").alias("line"),
+        )
+        .filter(~packed)
+    )
+    before = {key: spark.conf.get(key) for key in (_SPLIT_KEY, _BATCH_KEY)}
+    spark.conf.set(_SPLIT_KEY, str(2**62))  # a file is never split
+    spark.conf.set(_BATCH_KEY, "4096")
+    try:
+        streamed = materialise(lines.mapInPandas(_digests, DIGEST), "digests")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # A file without a line is nothing but a byte order mark.
+    alone = F.md5(F.lit(bytearray(BYTE_ORDER_MARK)))
+    streamed = names.join(
+        streamed.select(F.col("path").alias("file_path"), "md5"), "file_path", "left"
+    ).select("path", "length", F.coalesce("md5", alone).alias("md5"))
+    return streamed.unionByName(as_values)
 
 
 def checksum_report(files: DataFrame, manifest: DataFrame) -> DataFrame:
