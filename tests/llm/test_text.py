@@ -1,8 +1,9 @@
-"""Encoding (3), toxicity (4), decontamination (5), line rules (6) and the language model (7)."""
+"""Encoding (3), toxicity (4), decontamination (5), and line rules (6)."""
 
 import hashlib
-import math
 import random
+import resource
+import time
 import zlib
 from collections import Counter
 
@@ -185,6 +186,30 @@ def test_passages(spark, documents, texts):
     assert kept == {i for i, _ in rows} - {i for i, _ in found}
 
 
+def test_a_long_item_in_a_long_document():
+    """20,000 words each: two rows of the alignment at a time."""
+    rng = random.Random(12)
+    item = [f"w{rng.randint(0, 9000)}" for _ in range(20_000)]
+    copy = [word if rng.random() < 0.9 else "other" for word in item]
+    index = seed_align.index_items([" ".join(item), "three short words"])
+    documents = np.ones(len(index.grams), np.int64)
+    finder = seed_align.Finder(index, seed_align.rare_seeds(index, documents))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    [hit] = finder.find(" ".join(copy))
+    assert hit["item"] == 0 and hit["similarity"] > 0.8 and hit["end_word"] > 19_900
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000  # KB
+
+
+def test_many_copies_in_one_document():
+    item = [f"w{i}" for i in range(50)]
+    index = seed_align.index_items([" ".join(item)])
+    documents = np.ones(len(index.grams), np.int64)
+    finder = seed_align.Finder(index, seed_align.rare_seeds(index, documents))
+    begun = time.time()
+    [hit] = finder.find(" ".join(item * 400))
+    assert hit["passages"] == 400 and hit["similarity"] == 1 and time.time() - begun < 20
+
+
 @pytest.mark.parametrize("exact", [False, True])
 def test_edited_copies_against_brute_force(exact):
     """Every pair of enough similarity is found, however the copy was edited."""

@@ -1,20 +1,24 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The n-grams of every test item are ranked by how many documents hold them; the
-rarest are its seeds. Where a document holds enough seeds of an item close
-together, the stretch around them is aligned with the item, word by word, so
-edited and paraphrased copies are scored as well as exact ones.
-
-No pair of SIMILARITY is lost. With n words in an item, M of them matched and U
-not, the score is at most MATCH * M, so M >= SIMILARITY * n and U is bounded. Of
-any U + HITS words of the item HITS are matched: so many of the rarest are its
-seeds, whether documents hold them or an edit has destroyed them. Longer n-grams
-could not promise that: every third word replaced leaves no run of three. An
-alignment has at most n inserted and left-out words together, so its hits lie
+The n-grams of a test item are pairs of words next to each other or with one
+word between, since an edit may put one there or take one out. Pairs are ranked
+by how many documents hold them; the rarest are the item's seeds. Where a
+document holds enough seeds of an item close together, the stretch around them
+is aligned with the item, word by word, so edited and paraphrased copies are
+scored as well as exact ones.
+
+No pair of SIMILARITY is lost. Let an alignment match M of an item's n words. It
+scores MATCH * M less one for every other word it takes up in the item or the
+text (a mismatch takes up one of both), so at SIMILARITY these are at most
+2 * M - n, and lie between the M - 1 pairs of matched neighbours. All but half
+as many of those pairs have no more than one word between them on either side:
+M - 1 - (2 * M - n) / 2, which is at least (n - 1) / 2 rounded down for every M.
+So of the n - 1 places of an item at which its pairs begin, any (n - 1) less
+that number and HITS more contain HITS that the text holds too. Such hits lie
 within n places of each other, counted from where the item would begin.
 
-The test items are taken in blocks of bounded size; each block is one pass over
-the documents.
+The test items are taken in blocks of bounded size; each block is two passes
+over the documents.
 """
 
 from __future__ import annotations
@@ -32,11 +36,13 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import folded_words, fresh_name, narrow, prepare
 
-SEED_WORDS = 1
-SHORTEST = 3  # words of an item that is looked for
+SHORTEST = 3  # words of an item that is looked for: shorter ones hold no pair for sure
+APART = (1, 2)  # places between the words of a pair
 HITS = 4  # seeds of an item that make a candidate
 MATCH, MISMATCH, GAP = 2, -1, 1
 SIMILARITY = 0.5  # of the best possible score
+FILTER_BITS = 22  # of the table that tells most other pairs apart at once
+WINDOW = 4  # item lengths that are aligned at a time
 BLOCK_WORDS = 100_000  # words of the test items held by a worker at a time
 
 FOUND = (
@@ -54,33 +60,40 @@ class Items:
     # Occurrences of the n-grams in the items, ordered by gram.
     first: np.ndarray  # per gram: where its occurrences start
     item: np.ndarray
-    offset: np.ndarray
+    offset: np.ndarray  # where in the item the pair begins
+    table: np.ndarray  # whether any pair has this slot
 
     def numbers(self, text: str) -> np.ndarray:
         tokens = folded_words(text)
         found = map(self.vocabulary.get, tokens, repeat(-1))
         return np.fromiter(found, np.int64, len(tokens))
 
-    def keys(self, numbers: np.ndarray) -> np.ndarray:
-        """n-gram keys by place; -1 where a word is in no item."""
-        count = max(0, len(numbers) - SEED_WORDS + 1)
-        key, known = np.zeros(count, np.int64), np.ones(count, bool)
-        for i in range(SEED_WORDS):
-            part = numbers[i : i + count]
-            key = key * len(self.vocabulary) + part
-            known &= part >= 0
-        return np.where(known, key, -1)
+    def keys(self, numbers: np.ndarray, apart: int) -> np.ndarray:
+        """Pair keys by the place of the first word; -1 where a word is in no item."""
+        first, second = numbers[:-apart], numbers[apart:]
+        return np.where((first >= 0) & (second >= 0), first * len(self.vocabulary) + second, -1)
 
     def grams_in(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and gram numbers of all n-grams that some item has."""
-        keys = self.keys(numbers)
-        if not len(keys) or not len(self.grams):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        places = np.flatnonzero(keys >= 0)
-        found = np.searchsorted(self.grams, keys[places])
-        found[found == len(self.grams)] = 0
-        same = self.grams[found] == keys[places]
-        return places[same], found[same]
+        """Places and gram numbers of all pairs that some item has."""
+        places, grams = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if not len(self.grams):
+            return places[0], grams[0]
+        for apart in APART:
+            keys = self.keys(numbers, apart)
+            place = np.flatnonzero(keys >= 0)
+            place = place[self.table[_slots(keys[place])]]
+            found = np.searchsorted(self.grams, keys[place])
+            found[found == len(self.grams)] = 0
+            same = self.grams[found] == keys[place]
+            places.append(place[same])
+            grams.append(found[same])
+        return np.concatenate(places), np.concatenate(grams)
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def index_items(texts: list[str]) -> Items:
@@ -90,75 +103,80 @@ def index_items(texts: list[str]) -> Items:
         tokens = folded_words(text)
         numbers = [vocabulary.setdefault(token, len(vocabulary)) for token in tokens]
         words.append(np.array(numbers, np.int64))
-    if len(vocabulary) >= 1 << 20:
-        raise ValueError("a block of test items has too many different words")
-    items = Items(vocabulary, words, *[np.empty(0, np.int64)] * 4)
-    keys = [items.keys(numbers) for numbers in words]
-    every = np.concatenate(keys) if keys else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(words)), list(map(len, keys)))
-    place = np.concatenate([np.arange(len(part)) for part in keys]) if keys else every
+    nothing = np.empty(0, np.int64)
+    items = Items(vocabulary, words, *[nothing] * 4, np.zeros(1 << FILTER_BITS, bool))
+    keys, owners, places = [nothing], [nothing], [nothing]
+    for number, found in enumerate(words):
+        for apart in APART:
+            keys.append(items.keys(found, apart))
+            places.append(np.arange(len(keys[-1])))
+            owners.append(np.full(len(keys[-1]), number))
+    every, owner, place = map(np.concatenate, (keys, owners, places))
     order = np.argsort(every, kind="stable")
     items.grams, items.first = np.unique(every[order], return_index=True)
     items.first = np.append(items.first, len(every))
     items.item, items.offset = owner[order], place[order]
+    items.table[_slots(items.grams)] = True
     return items
 
 
-def least_matches(size: int) -> int:
-    """Words of an item of ``size`` words that any alignment of SIMILARITY matches."""
-    return math.ceil(SIMILARITY * size)
+def sure_hits(size: int) -> int:
+    """Places of an item of ``size`` words whose pairs any alignment of
+    SIMILARITY finds in the text."""
+    return max(0, (size - 1) // 2)
 
 
 def needed_hits(size: int) -> int:
-    return min(HITS, least_matches(size))
+    return min(HITS, sure_hits(size))
 
 
 def rare_seeds(items: Items, documents: np.ndarray) -> np.ndarray:
     """Which occurrences (as in ``items.item``) are seeds of their item.
 
-    ``documents`` has the number of documents per gram. Each item keeps its
-    rarest n-grams: as many as an alignment of SIMILARITY may leave unmatched,
-    and the hits it needs besides.
+    ``documents`` has the number of documents per pair. Each item keeps the
+    pairs of its rarest places: as many as an alignment of SIMILARITY may
+    leave out, and the hits it needs besides.
     """
     rarity = np.repeat(documents, np.diff(items.first))
-    keep = np.zeros(len(items.item), bool)
-    order = np.lexsort((items.offset, rarity, items.item))
-    starts = np.flatnonzero(np.diff(items.item[order], prepend=-1))
-    ends = [*starts[1:], len(order)]
-    for start, end in zip(starts, ends):
-        size = end - start
+    width = max((len(words) for words in items.words), default=0) + 1
+    codes, code = np.unique(items.item * width + items.offset, return_inverse=True)
+    owner, total = codes // width, np.bincount(code, rarity, minlength=len(codes))
+    keep = np.zeros(len(codes), bool)
+    order = np.lexsort((codes, total, owner))
+    starts = np.flatnonzero(np.diff(owner[order], prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(order)]):
+        size = len(items.words[owner[order[start]]])
         if size >= SHORTEST:
-            wanted = size - least_matches(size) + needed_hits(size)
-            keep[order[start : start + wanted]] = True
-    return keep
+            wanted = (size - 1) - sure_hits(size) + needed_hits(size)
+            keep[order[start : min(end, start + wanted)]] = True
+    return keep[code]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment: score, first and last word (exclusive) in ``text``.
 
     Rows are filled at once: within a row a gap only carries a value to the
-    right, which is a running maximum.
+    right, which is a running maximum. Each cell knows where its alignment
+    begins, so two rows are enough.
     """
     size = len(text)
-    slope = GAP * np.arange(size + 1)
-    table = np.zeros((len(item) + 1, size + 1), np.int32)
-    for i, word in enumerate(item, 1):
-        above = table[i - 1]
-        row = np.zeros(size + 1, np.int64)
-        row[1:] = np.maximum(above[:-1] + np.where(text == word, MATCH, MISMATCH), above[1:] - GAP)
-        np.maximum(row, 0, out=row)
-        table[i] = np.maximum.accumulate(row + slope) - slope
-    best = int(table.max())
-    i, j = map(int, np.unravel_index(int(table.argmax()), table.shape))
-    end = j
-    while i and j and table[i, j] > 0:
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if item[i - 1] == text[j - 1] else MISMATCH):
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] - GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, j, end
+    slope, places = GAP * np.arange(size + 1), np.arange(size + 1)
+    above, begin = np.zeros(size + 1, np.int64), places
+    best = (0, 0, 0)
+    for word in item:
+        row, start = above - GAP, begin.copy()
+        slant = above[:-1] + np.where(text == word, MATCH, MISMATCH)
+        better = slant >= row[1:]
+        row[1:][better], start[1:][better] = slant[better], begin[:-1][better]
+        empty = row <= 0
+        row[empty], start[empty] = 0, places[empty]
+        carried = np.maximum.accumulate(row + slope)
+        source = np.maximum.accumulate(np.where(row + slope == carried, places, 0))
+        above, begin = carried - slope, start[source]
+        end = int(above.argmax())
+        if above[end] > best[0]:
+            best = (int(above[end]), int(begin[end]), end)
+    return best
 
 
 class Finder:
@@ -231,6 +249,14 @@ class Finder:
         while waiting:
             item, first, last = waiting.pop()
             words = self.items.words[item]
+            span = WINDOW * len(words)
+            if last - first > span:
+                # An alignment takes up two item lengths at most: it lies within
+                # one of these windows, and many copies are not many long passes.
+                step = span // 2
+                lows = range(first, last - span + step, step)
+                waiting += [(item, low, min(last, low + span)) for low in lows][::-1]
+                continue
             if not self.promising(item, numbers[first:last]):
                 continue
             score, start, end = align(words, numbers[first:last])
@@ -240,9 +266,9 @@ class Finder:
             start, end = first + start, first + end
             waiting += [(item, first, start), (item, end, last)]
             known = places.setdefault(item, [])
-            if any(start < high and end > low for low, high in known):
-                continue  # neighbouring stretches may reach into each other
-            known.append((start, end))
+            # Neighbouring windows may hold parts of the same passage.
+            if not any(start < high and end > low for low, high in known):
+                known.append((start, end))
             if item not in best or similarity > best[item]["similarity"]:
                 best[item] = {
                     "item": item,
