@@ -1,7 +1,9 @@
 """Url verdicts (9), page text (10), the pipeline and the registration."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -48,6 +50,60 @@ def test_urls(spark):
         assert row["verdict"] == (RULES[rule] if rule else "block" if row["score"] >= 0.5 else "allow")
 
 
+def plain_features(url, host, path):
+    """The features of a url, without the share of its ending."""
+    size = max(1, len(url))
+    letters = host.rpartition(".")[0] + path
+    counts = [letters.count(c) / len(letters) for c in set(letters)]
+    query = url.split("#")[0].split("?", 1)[1] if "?" in url.split("#")[0] else ""
+    return [
+        len(url), len(host), len(path), path.count("/"), host.count("."),
+        sum(c in "0123456789" for c in url) / size, url.count("-") / size,
+        -sum(p * math.log2(p) for p in counts), sum(part != "" for part in query.split("&")),
+        "#" in url, url[:8].lower() == "https://",
+        max(len(word) for word in re.split("[.-]", host)),
+    ]
+
+
+def test_features_against_plain_ones(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = url_trees.described(pages).collect()
+    endings = Counter()
+    for row in rows:
+        endings[re.sub("[0-9]+", "", re.split("[./]", row["path"])[-1])] += 1
+    assert len(endings) > 1
+    for row in rows:
+        *plain, share = row["features"].toArray()
+        assert np.allclose(plain, plain_features(row["url"], row["host"], row["path"]))
+        ending = re.sub("[0-9]+", "", re.split("[./]", row["path"])[-1])
+        assert math.isclose(share, endings[ending] / len(rows))
+    # The end of the host alone changes no feature.
+    twins = [(1, "http://www.abc.net/es/1.html"), (2, "http://www.abc.org/es/1.html")]
+    twins = spark.createDataFrame(twins, "page_id long, url string")
+    one, two = [row["features"] for row in url_trees.described(twins).collect()]
+    assert one == two
+
+
+def test_trees_on_hosts_they_have_not_seen(spark):
+    """Blocked urls of another form are told apart on new hosts as well."""
+    rules = [("block", f"bad{i}.org/") for i in range(20)] + [("allow", f"good{i}.org/") for i in range(60)]
+    urls = [f"http://bad{i}.org/win-{j}-now-{j * 7}?a=1&b=2&c={j}" for i in range(20) for j in range(5)]
+    urls += [f"http://good{i}.org/story/{'abcde'[j]}word.html" for i in range(60) for j in range(5)]
+    unknown = ["http://new.org/win-3-now-9?a=1&b=2&c=4", "http://new.org/story/cword.html"]
+    pages = spark.createDataFrame(list(enumerate(urls + unknown)), "page_id long, url string")
+    found = {row["label"]: row for row in url_trees.held_out(pages, rules).collect()}
+    assert set(found) == {0.0, 1.0} and all(row["right"] > 0.95 for row in found.values())
+    verdicts = {row["page_id"]: row["verdict"] for row in url_trees.judge(pages, rules).collect()}
+    assert [verdicts[len(urls)], verdicts[len(urls) + 1]] == ["block", "allow"]
+
+
+def test_verdicts_of_the_trees_are_not_constant(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [row for row in url_trees.judge(pages).collect() if row["rule"] is None]
+    shares = Counter(row["verdict"] for row in rows)
+    assert min(shares["block"], shares["allow"]) > 0.1 * len(rows)
+
+
 ODD_URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?a=1#b", "x://example.com",
     "x://example.com/", "x://example.com/en/", "a://b://c.net/fr/", "http://h.net/es/\nx",

@@ -1,8 +1,11 @@
 """URL verdicts: rules first, gradient-boosted trees on lexical features else.
 
 The trees learn from the urls that a rule decides (allow: 0, block: 1) and
-judge the others by the form of the url alone. Everything is DataFrame
-functions and Spark's own tree learner.
+judge the others by the form of the url alone. No feature holds the end of the
+host, which is what most rules go by: trees that see it repeat the rules and
+say nothing of other hosts. Both labels weigh the same together, however many
+urls each has. ``held_out`` measures the trees on hosts they have not seen.
+Everything is DataFrame functions and Spark's own tree learner.
 """
 
 from __future__ import annotations
@@ -31,8 +34,9 @@ TREES, DEPTH = 12, 3
 FEATURES = (
     "n_chars", "host_chars", "path_chars", "depth", "host_labels", "digit_share",
     "hyphen_share", "entropy", "n_parameters", "has_fragment", "secure", "longest_word",
-    "suffix_share",
+    "ending_share",
 )
+HELD_OUT_HOSTS = 4  # of so many hosts one is held out when the trees are measured
 
 
 def host_of(url: Column) -> Column:
@@ -70,8 +74,8 @@ def entropy(text: Column) -> Column:
 
 
 def lexical_features(pages: DataFrame) -> DataFrame:
-    """Adds the features; ``suffix_share`` is the share of the host's last two
-    labels among all pages, counted over all of them."""
+    """Adds the features but ``ending_share``, and ``ending``: what follows the
+    last point or slash of the path without digits (``html``, or nothing)."""
     url, host, path = (
         F.substring(F.coalesce("url", F.lit("")), 1, 2_000_000_000),
         F.col("host"),
@@ -87,7 +91,7 @@ def lexical_features(pages: DataFrame) -> DataFrame:
         .withColumn("host_labels", F.regexp_count(host, F.lit(r"\.")).cast("double"))
         .withColumn("digit_share", F.regexp_count(url, F.lit("[0-9]")) / length)
         .withColumn("hyphen_share", F.regexp_count(url, F.lit("-")) / length)
-        .withColumn("entropy", entropy(F.concat(host, path)))
+        .withColumn("entropy", entropy(F.concat(F.regexp_replace(host, r"\.[^.]*$", ""), path)))
         .withColumn("n_parameters", F.regexp_count(query, F.lit("[^&]+")).cast("double"))
         .withColumn("has_fragment", F.contains(url, F.lit("#")).cast("double"))
         .withColumn("secure", F.lower(F.substring(url, 1, 8)).eqNullSafe("https://").cast("double"))
@@ -95,15 +99,30 @@ def lexical_features(pages: DataFrame) -> DataFrame:
             "longest_word",
             F.array_max(F.transform(F.split(host, r"[.-]"), F.char_length)).cast("double"),
         )
-        .withColumn("suffix", F.regexp_extract("host", r"([^.]*\.[^.]*)$", 1))
+        .withColumn("ending", F.regexp_replace(F.regexp_extract(path, r"([^./]*)$", 1), "[0-9]+", ""))
     )
 
 
-def suffix_statistics(pages: DataFrame) -> DataFrame:
-    """Share of each host suffix among all pages."""
-    counted = materialise(pages.groupBy("suffix").agg(F.count("*").alias("n")), "url-suffixes")
+def ending_statistics(pages: DataFrame) -> DataFrame:
+    """Share of each path ending among all pages, counted over all of them."""
+    counted = materialise(pages.groupBy("ending").agg(F.count("*").alias("n")), "url-endings")
     rows = counted.agg(F.sum("n")).head()[0] or 1
-    return counted.select("suffix", (F.col("n") / F.lit(rows)).alias("suffix_share"))
+    return counted.select("ending", (F.col("n") / F.lit(rows)).alias("ending_share"))
+
+
+def described(pages: DataFrame, rules=RULES) -> DataFrame:
+    """page_id, url, host, path, found (the rule), label and the features."""
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    known = (
+        pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+        .withColumn("found", fitting_rule(F.col("host"), F.col("path"), rules))
+        .withColumn("label", (F.col("found.verdict") == "block").cast("double"))
+    )
+    features = lexical_features(known)
+    endings = bounded_broadcast(ending_statistics(features))
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
+        features.join(endings, "ending")
+    )
 
 
 def fit_trees(labelled: DataFrame, rows: int = TRAINING_ROWS):
@@ -111,12 +130,38 @@ def fit_trees(labelled: DataFrame, rows: int = TRAINING_ROWS):
     spread = F.xxhash64("url")
     sample = labelled.orderBy(spread, "url", "label").limit(rows).select("features", "label")
     stored = materialise(sample.coalesce(1), "url-training")
-    if stored.select("label").distinct().count() < 2:
+    counts = {row["label"]: row["count"] for row in stored.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return None
+    weight = F.when(F.col("label") == 1, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0])
     learner = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7
+        featuresCol="features",
+        labelCol="label",
+        weightCol="weight",
+        maxIter=TREES,
+        maxDepth=DEPTH,
+        seed=7,
     )
-    return learner.fit(stored.coalesce(1))
+    weighted = stored.withColumn("weight", weight * F.lit(float(sum(counts.values()))))
+    return learner.fit(weighted.coalesce(1))
+
+
+def held_out(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS) -> DataFrame:
+    """How the trees judge labelled urls of hosts they were not fitted on.
+
+    One row per label that such urls have: label, urls, right (share judged as
+    the rule says). Empty where the other hosts have one label alone or none.
+    """
+    prepare(pages.sparkSession)
+    labelled = described(pages, rules).filter(F.col("label").isNotNull())
+    apart = F.pmod(F.xxhash64("host"), F.lit(HELD_OUT_HOSTS)) == 0
+    model = fit_trees(labelled.filter(~apart).select("url", "features", "label"), training_rows)
+    schema = "label double, urls long, right double"
+    if model is None:
+        return pages.sparkSession.createDataFrame([], schema)
+    judged = model.transform(labelled.filter(apart).select("features", "label"))
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return judged.groupBy("label").agg(F.count("*").alias("urls"), right.alias("right"))
 
 
 def judge(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS) -> DataFrame:
@@ -128,17 +173,7 @@ def judge(pages: DataFrame, rules=RULES, training_rows: int = TRAINING_ROWS) ->
     rows come back each; other columns are ignored.
     """
     prepare(pages.sparkSession)
-    host, path = host_of(F.col("url")), path_of(F.col("url"))
-    known = (
-        pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-        .withColumn("found", fitting_rule(F.col("host"), F.col("path"), rules))
-        .withColumn("label", (F.col("found.verdict") == "block").cast("double"))
-    )
-    described = lexical_features(known)
-    suffixes = bounded_broadcast(suffix_statistics(described))
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        described.join(suffixes, "suffix")
-    )
+    ready = described(pages, rules)
     labelled = ready.filter(F.col("label").isNotNull())
     model = fit_trees(labelled.select("url", "features", "label"), training_rows)
     if model is None:
