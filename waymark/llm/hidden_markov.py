@@ -317,7 +317,8 @@ class Table:
         spark = rows.sparkSession
         name = f"waymark_{purpose}_{uuid.uuid4().hex}".replace("-", "_")
         path = work_folder(spark, purpose)
-        writer = rows.write.format("parquet").bucketBy(buckets, column)
+        writer = rows.write.format("parquet").option("compression", "zstd")
+        writer = writer.bucketBy(buckets, column)
         with _setting(spark, WRITERS, "0"):  # one file at a time, in order
             writer.option("path", path).saveAsTable(name)
         return cls(spark.table(name), name, path)
@@ -530,17 +531,22 @@ def score(
     # A task of the scan makes a chunk or a few; some buckets for every core.
     cores = 2 * spark.sparkContext.defaultParallelism
     parts = min(100_000, max(cores, 2 * texts.rdd.getNumPartitions()))
-    chunks = Table.write(texts.mapInPandas(_chunks(chunk_tokens), CHUNK), "chunk", parts, "hmm-chunks")
+    # Texts and vocabularies come out of one pass and go into a table each.
+    built = work_folder(spark, "hmm-built")
+    texts.mapInPandas(_chunks(chunk_tokens), CHUNK).write.parquet(built)
+    pieces = spark.read.schema(CHUNK).parquet(built)
+    chunks = Table.write(pieces.drop("hashes", "counts"), "chunk", parts, "hmm-chunks")
     # About as many buckets of words as chunks: one then holds about as many words.
-    number = chunks.rows.filter("part = 0 and tokens is not null").count()
+    number = pieces.filter("part = 0 and tokens is not null").count()
     bits = min(16, max(4, math.ceil(math.log2(max(1, number)))))
     parts_of_words = min(1 << bits, max(cores, parts // 8))
-    tokens_only = chunks.rows.drop("hashes", "counts").groupBy("chunk")
+    tokens_only = chunks.rows.groupBy("chunk")
     model, handed = first_model(), None
     with _batches(spark, 16):
-        words = chunks.rows.filter("hashes is not null").select("chunk", "part", "hashes", "counts")
-        words = words.mapInPandas(_ask(bits), ASKED)
+        words = pieces.filter("hashes is not null").select("chunk", "part", "hashes", "counts")
+        words = words.mapInPandas(_ask(bits), ASKED).repartition(parts_of_words, "bucket")
         asked = Table.write(words, "bucket", parts_of_words, "hmm-asked")
+    delete_folder(spark, built)
     for turn in range(iterations + 1):
         last = turn == iterations
         with _batches(spark, 64):
