@@ -41,6 +41,9 @@ ROLES = {
 ORDER = BASE + WEAK
 
 SPAN = "struct<start: int, end: int, kind: string>"
+# Matches walked in one go. An array that grows by one span is copied each time,
+# so long walks are cut: the first places of the pieces are added up before.
+WALK = 256
 
 
 def spans_of(text: Column, kind: str, pattern: str, least: int = 1, value: int = 0) -> Column:
@@ -58,10 +61,18 @@ def spans_of(text: Column, kind: str, pattern: str, least: int = 1, value: int =
     )
     empty = F.expr(f"cast(array() as array<{SPAN}>)")
 
-    def walk(found: Column) -> Column:
+    def length(found: Column, i: Column) -> Column:
+        between, whole = F.get(found["between"], i), F.get(found["whole"], i)
+        return F.char_length(between) + F.char_length(whole)
+
+    def places(found: Column, piece: Column) -> Column:
+        last = F.least(F.size(found["whole"]), (piece + 1) * WALK) - 1
+        return F.sequence((piece * WALK).cast("int"), last.cast("int"))
+
+    def walk_from(found: Column, piece: Column, begin: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             start = state["at"] + F.char_length(F.get(found["between"], i))
-            end = start + F.char_length(F.get(found["whole"], i))
+            end = state["at"] + length(found, i)
             span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"))
             long_enough = F.char_length(F.get(found["value"], i)) >= least
             return F.struct(
@@ -72,9 +83,26 @@ def spans_of(text: Column, kind: str, pattern: str, least: int = 1, value: int =
                 .alias("spans"),
             )
 
-        begin = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-        places = F.sequence(F.lit(0), F.size(found["whole"]) - 1)
-        return F.aggregate(places, begin, step, lambda state: state["spans"])
+        first = F.struct(begin.alias("at"), empty.alias("spans"))
+        return F.aggregate(places(found, piece), first, step, lambda state: state["spans"])
+
+    def walk(found: Column) -> Column:
+        pieces = F.sequence(F.lit(0), F.floor((F.size(found["whole"]) - 1) / WALK).cast("int"))
+
+        def add(begins: Column, piece: Column) -> Column:
+            width = F.aggregate(
+                places(found, piece), F.lit(0), lambda total, i: total + length(found, i)
+            )
+            return F.concat(begins, F.array(F.element_at(begins, -1) + width))
+
+        begins = F.aggregate(pieces, F.array(F.lit(0)), add)
+        walked = F.transform(
+            F.array(begins),
+            lambda known: F.flatten(
+                F.transform(pieces, lambda piece: walk_from(found, piece, F.get(known, piece)))
+            ),
+        )
+        return F.get(walked, F.lit(0))
 
     walked = F.get(F.transform(F.array(parts), walk), F.lit(0))
     return F.when(text.rlike(pattern), walked).otherwise(empty)
