@@ -1,5 +1,8 @@
+from datetime import datetime, timedelta
+
 from checks import derived
 from waymark.plans import status
+from waymark.session import delete_folder
 from waymark.sources import landing
 from waymark.sources.layouts import TABLES
 from waymark.streaming import loads, statuses
@@ -66,3 +69,44 @@ def test_bad_lines_do_not_stop_a_lenient_stream(spark, folder):
         assert sorted((r["record_type"] or "", r["problem"]) for r in found) == [
             ("", "no such record type"), ("21", "malformed"),
         ]
+
+
+def test_the_status_folder_stays_small(spark, folder):
+    """Dropped releases go, late transitions do not bring them back."""
+    day = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    transitions, table, number = f"{folder}/log", f"{folder}/latest", 0
+
+    def follow(*rows):
+        nonlocal number
+        entries = [(name, state, None, day(at), seq) for name, state, at, seq in rows]
+        spark.createDataFrame(entries, status.STATUS_DDL).coalesce(1).write.mode("append").parquet(transitions)
+        stream = statuses.status_stream(spark, transitions)
+        statuses.keep_latest(stream, table, f"{folder}/progress").awaitTermination()
+        number += 1
+        return {row["schema_name"]: row["status"] for row in statuses.read_latest(spark, table).collect()}
+
+    def stored():
+        newest = statuses._versions(spark, table)[-1]
+        return {row["schema_name"] for row in spark.read.parquet(f"{table}/{newest}").collect()}
+
+    assert statuses.read_latest(spark, table).count() == 0
+    assert follow(("a", "completed", 0, 1), ("b", "schema_created", 0, 2)) == {
+        "a": "completed", "b": "schema_created",
+    }
+    assert follow(("a", "dropped", 2, 3)) == {"b": "schema_created"}
+    assert stored() == {"a", "b"}  # a as a tombstone
+    assert follow(("a", "finalised", 1, 1)) == {"b": "schema_created"}  # came late
+    reader = statuses.read_latest(spark, table)
+    assert follow(("b", "completed", 20, 4)) == {"b": "completed"}
+    assert stored() == {"b"}
+    assert reader.collect()[0]["status"] == "schema_created"  # its version is still there
+    for n in range(4):
+        follow((f"c{n}", "completed", 21 + n, 5 + n))
+    assert len(statuses._versions(spark, table)) == statuses.KEPT_VERSIONS
+    # A repeated micro-batch merges with the same version and replaces its own.
+    before = {tuple(row) for row in statuses.read_latest(spark, table).collect()}
+    delete_folder(spark, f"{folder}/progress/commits/{number - 1}")
+    assert statuses.keep_latest(
+        statuses.status_stream(spark, transitions), table, f"{folder}/progress"
+    ).awaitTermination() is None
+    assert {tuple(row) for row in statuses.read_latest(spark, table).collect()} == before

@@ -104,6 +104,17 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return files.delete(target, True)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` that a job has finished; none if it is missing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    found = [entry.getPath() for entry in files.listStatus(target) if entry.isDirectory()]
+    return sorted(one.getName() for one in found if files.exists(done(one, "_SUCCESS")))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes for plain scans)."""
     plan = df._jdf.queryExecution().optimizedPlan()
