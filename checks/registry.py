@@ -433,6 +433,21 @@ def _stored_find(table: str, column: str, *values) -> Query:
     )
 
 
+def _curve_find(column: str, *values) -> Query:
+    """Lookup rows laid out on a curve, found through the index of their files."""
+
+    def query(spark, sf_dir):
+        folder = work_folder(spark, "curve")
+        rows = lookups.with_outcode(_lookup(spark, sf_dir))
+        rows = materialise(rows, "lookup")  # a range exchange reads it twice
+        lookups.on_curve(rows, ["uprn", "postcode", "posttown"], files=27).write.parquet(folder)
+        stored = spark.read.parquet(folder)
+        index = materialise(lookups.file_index(stored, [column]), "file-index")
+        return _shown(lookups.find_in_files(stored, index, column, *values)[0])
+
+    return query
+
+
 def _stored_words(table: str, words: str) -> Query:
     def query(spark, sf_dir):
         work, names = _cycle(spark, sf_dir)
@@ -532,6 +547,37 @@ def _batch_commit(spark, sf_dir):
     return result
 
 
+def _changed_identifiers(spark, sf_dir):
+    """Change-only lines: updates and deletions of identifiers, and new ones."""
+    rows = derived.record_rows(spark, sf_dir, "24")
+    order = F.regexp_extract("lpi_key", "([0-9]+)", 1).cast("long")
+
+    def changed(kind, when, step):
+        return (
+            rows.filter(when)
+            .withColumn("change_type", F.lit(kind))
+            .withColumn("pro_order", c("pro_order") + step * 10_000_000)
+            .withColumn("usrn", c("usrn") + 1)
+        )
+
+    changes = changed("U", (order % 13 == 0) | (order % 22 == 0), 1).unionByName(
+        changed("D", order % 11 == 0, 2)
+    )
+    new = changed("I", order % 17 == 0, 1).withColumn("lpi_key", F.concat(F.lit("N"), "lpi_key"))
+    return changes.unionByName(new).selectExpr(f"{derived.line_expression('24')} as value")
+
+
+def _change_only(spark, sf_dir):
+    """Identifiers after a batch of changes, merged and then folded into one batch."""
+    release = _release(spark, "changes")
+    landing.load_raw_batch(spark, release, "b0", derived.raw_folder(spark, sf_dir))
+    lines = _changed_identifiers(spark, sf_dir)
+    landing.load_lines(spark, release, "b1", lines, work_folder(spark, "split"))
+    landing.fold_changes(spark, release)
+    found = landing.tables(spark, release)["abp_lpi"]
+    return found.select("uprn", "lpi_key", "usrn", "change_type", "pro_order")
+
+
 def _stream_rejects(spark, sf_dir):
     """Bad lines in a stream: rejects of each record type beside the rows."""
     release = _release(spark, "lenient")
@@ -792,6 +838,7 @@ _QUERIES: dict[str, Query] = {
     "file_digest": _file_digest,
     "batch_commit": _batch_commit,
     "stream_rejects": _stream_rejects,
+    "change_only_merge": _change_only,
     "joint_publication": _joint_publication,
     # the life of a release
     "release_log": _cycle_log,
@@ -808,6 +855,9 @@ _QUERIES: dict[str, Query] = {
     ),
     "stored_find_outcode": _stored_find(releases.LOOKUP, "outcode", "LY3", "JY42"),
     "stored_find_town": _stored_find(releases.LOOKUP, "posttown", "TOWN 3"),
+    "curve_find_uprn": _curve_find("uprn", 2, 40, 77, 128),
+    "curve_find_postcode": _curve_find("postcode", "LY3 3AB", "JY42 6AB", "MY48 3AB"),
+    "curve_find_town": _curve_find("posttown", "TOWN 3"),
     "stored_find_words": _stored_words(releases.LOOKUP, " ".join(WORDS)),
     "stored_combined_find_uprn": _stored_find(releases.COMBINED, "uprn", 3, 40, 77, 129),
     "stored_combined_find_postcode": _stored_find(

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 
 from checks import derived
+from waymark.operators import lookups
 from waymark.plans import releases, status, views
 from waymark.plans.releases import Releases
 from waymark.session import work_folder
@@ -260,3 +261,35 @@ def test_both_views_move_together(spark, monkeypatch):
     assert len(seen) == 3 and set(seen) == expected
     plan = work.public_table()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1  # the other branch is no part of the plan
+
+
+def test_lookups_on_a_curve_open_few_files(spark, folder):
+    """Each column's values are in few of the files, and none is missed."""
+    rows = spark.range(20_000).selectExpr(
+        "id as uprn", "'P' || (id * 7 % 900) as postcode", "'T' || (id * 11 % 40) as town"
+    )
+    columns = ["uprn", "postcode", "town"]
+    lookups.on_curve(rows, columns, files=64).write.parquet(f"{folder}/curve")
+    stored = spark.read.parquet(f"{folder}/curve")
+    index = lookups.file_index(stored, columns)
+    for column, value in (("uprn", 77), ("postcode", "P63"), ("town", "T5")):
+        found, opened = lookups.find_in_files(stored, index, column, value)
+        assert same(found, rows.filter(f"{column} = '{value}'"))
+        assert 0 < opened <= 24 and len(found.inputFiles()) == opened
+    assert lookups.find_in_files(stored, index, "uprn", 77)[1] == 1
+    found, opened = lookups.find_in_files(stored, index, "postcode", "nowhere")
+    assert found.count() == 0
+
+
+def test_a_release_on_a_curve(spark):
+    work = Releases(spark, control="cv_control", public="cv_public")
+    release = work.initialise("cv", datetime(2024, 1, 1))
+    landing.load_lines(
+        spark, release, "b0", derived.raw_lines(spark, SF), work_folder(spark, "split")
+    )
+    work.build_lookup(release, curve=True)
+    stored = spark.table(f"{release}.lookup")
+    for column in ("uprn", "postcode", "outcode", "posttown"):
+        value = stored.filter(f"{column} is not null").head()[column]
+        found = work.find(release, column, value)
+        assert found.count() and same(found, lookups.find(stored, column, value))

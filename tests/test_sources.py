@@ -157,8 +157,8 @@ def test_a_batch_happens_in_all_tables_or_in_none(spark, monkeypatch):
     # A load that fails to commit is not seen either.
     monkeypatch.setattr(landing, "_append", insert)
     commit = landing._commit
-    monkeypatch.setattr(landing, "_commit", lambda *a: (_ for _ in ()).throw(OSError("gone")))
-    with pytest.raises(OSError):
+    monkeypatch.setattr(landing, "_commit", lambda *rest: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
         landing.load_raw_batch(spark, "whole", "b1", folder)
     assert counts_of(spark, "whole") == once
     monkeypatch.setattr(landing, "_commit", commit)
@@ -186,6 +186,38 @@ def test_joins_by_key_leave_landing_tables_in_place(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_changes_are_merged_in_order(spark):
+    """Later batches win, then later rows; deletions take records away."""
+    landing.create_tables(spark, "merging")
+    row = "31,{0},{1},{2},{3},{4},,,,,"
+
+    def load(batch, *changes):
+        text = [row.format(*change) for change in changes]
+        landing.load_lines(spark, "merging", batch, lines(spark, *text), work_folder(spark, "s"))
+
+    load("b0", ("I", 1, 5, "O1", "one"), ("I", 2, 5, "O2", "two"), ("I", 3, 6, "O1", "other"))
+    load("b1", ("D", 9, 5, "O1", ""), ("U", 8, 5, "O1", "gone"), ("I", 7, 5, "O3", "three"))
+    expected = {(5, "O2", "two"), (5, "O3", "three"), (6, "O1", "other")}
+    load("b2", ("U", 1, 5, "O2", "second"))  # later, though its number is small
+    expected = (expected - {(5, "O2", "two")}) | {(5, "O2", "second")}
+
+    def found(rows):
+        return {(r.uprn, r.org_key, r.organisation) for r in rows.collect()}
+
+    one = landing.merged(spark, "merging", "abp_organisation")
+    assert found(one) == expected
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(uprn" not in plan
+    landing.fold_changes(spark, "merging")
+    assert found(landing.tables(spark, "merging")["abp_organisation"]) == expected
+    assert [r.batch for r in landing.committed(spark, "merging").collect()] == ["folded"]
+    assert spark.table("merging.abp_organisation").select("batch").distinct().count() == 1
+    load("b3", ("D", 1, 6, "O1", ""))
+    assert found(landing.merged(spark, "merging", "abp_organisation")) == {
+        key for key in expected if key[0] != 6
+    }
+
+
 def test_a_line_is_parsed_once(spark):
     one = lines(spark, "31,I,1,5,O1,name,,,,,")
     layout = LAYOUTS["31"]

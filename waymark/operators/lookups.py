@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import text, tokens
 
 
 _BITS = 60  # lexemes per 64-bit number
+CURVE_BITS = 12  # of each column in the key of the curve
+INDEX_CELLS = 65_536  # of each column in a file index
 
 
 def clustered(rows: DataFrame, key: str, *ties: str) -> DataFrame:
@@ -20,6 +24,67 @@ def clustered(rows: DataFrame, key: str, *ties: str) -> DataFrame:
     return rows.repartitionByRange(key, *ties).sortWithinPartitions(key)
 
 
+def curve_key(columns: Sequence[str], bits: int = CURVE_BITS) -> str:
+    """Place on a space-filling curve: hash bits of the columns, taken in turn.
+
+    Rows that agree in one column share every so many bits of the key, so a
+    range of keys holds few of its values, whichever column that is.
+    """
+    hashes = [f"xxhash64({column})" for column in columns]
+    terms = []
+    for i in range(bits):
+        for j, value in enumerate(hashes):
+            target = (bits - i) * len(columns) - j - 1
+            terms.append(f"shiftleft(shiftrightunsigned({value}, {63 - i}) & 1L, {target})")
+    return " | ".join(terms)
+
+
+def on_curve(rows: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """Cut the curve into parts; values of each column are in few of them.
+
+    The parts go by the leading bits of the key, about as many as ``files``: a
+    cut elsewhere would split the cells of the curve between files.
+    """
+    files = files or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leading = min(files.bit_length() - 1, CURVE_BITS * len(columns))
+    cell = F.shiftright(F.expr(curve_key(columns)), CURVE_BITS * len(columns) - leading)
+    return rows.repartitionByRange(files, cell).sortWithinPartitions(F.expr(curve_key(columns)))
+
+
+def _cell(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(INDEX_CELLS))
+
+
+def file_index(stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Which files of a stored table may hold a value: column, cell, paths.
+
+    A cell is a range of hashes, so the index is no larger than its cells
+    times the files a value is in.
+    """
+    named = [F.struct(F.lit(c).alias("column"), _cell(F.col(c)).alias("cell")) for c in columns]
+    listed = stored.select(F.input_file_name().alias("path"), F.inline(F.array(*named)))
+    return listed.distinct().groupBy("column", "cell").agg(F.collect_list("path").alias("paths"))
+
+
+def find_in_files(
+    stored: DataFrame, index: DataFrame, column: str, *values
+) -> tuple[DataFrame, int]:
+    """Rows whose column equals one of the values, and how many files are read.
+
+    Only the files that the index names for the values are opened.
+    """
+    spark = stored.sparkSession
+    kind = stored.schema[column].dataType
+    wanted = spark.createDataFrame([(value,) for value in values], "value " + kind.simpleString())
+    cells = wanted.select(F.lit(column).alias("column"), _cell(F.col("value")).alias("cell"))
+    hits = index.join(F.broadcast(cells.distinct()), ["column", "cell"], "left_semi")
+    paths = [row[0] for row in hits.select(F.explode("paths")).distinct().collect()]
+    if not paths:
+        return stored.limit(0), 0
+    rows = spark.read.schema(stored.schema).parquet(*sorted(paths))
+    return find(rows, column, *values), len(paths)
+
+
 def bloom_filtered(*columns: str) -> dict[str, str]:
     """Parquet options: a Bloom filter per row group on each column."""
     options = {f"parquet.bloom.filter.enabled#{column}": "true" for column in columns}

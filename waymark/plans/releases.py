@@ -22,6 +22,7 @@ from waymark.sources import landing, listing
 
 LOOKUP = "lookup"
 LOOKUP_TOKENS = "lookup_tokens"
+LOOKUP_FILES = "lookup_files"
 COMBINED = "lookup_combined"
 COMBINED_TOKENS = "lookup_combined_tokens"
 PROGRESS = "progress"
@@ -222,10 +223,18 @@ class Releases:
         for old in versions[:-2]:
             self.spark.sql(f"DROP TABLE IF EXISTS `{release}`.`{old}`")
 
-    def build_lookup(self, release: str, postcode_mode: str = "literal") -> None:
+    def build_lookup(
+        self,
+        release: str,
+        postcode_mode: str = "literal",
+        changes: bool = False,
+        curve: bool = False,
+    ) -> None:
         """Write the lookup and its token table, with status steps.
 
-        The narrow joined rows are clustered first and widened afterwards. A
+        With ``changes`` later batches are change-only files: the tables are
+        merged record by record. With ``curve`` the files are laid out for all
+        lookup columns alike and indexed (see ``find``). The narrow joined rows are clustered first and widened afterwards. A
         failure is recorded with its message and raised again.
         """
         steps = iter(status.LOOKUP_STEPS)
@@ -235,9 +244,12 @@ class Releases:
             # Stored before it is sorted: a range exchange samples its input,
             # which would otherwise work out the joins a second time.
             rows = materialise(
-                views.lookup_rows(landing.tables(self.spark, release)), "lookup-rows"
+                views.lookup_rows(self._landed(release, changes)), "lookup-rows"
             )
-            rows = lookups.clustered(rows, "uprn", "usrn", *views.tie_columns(rows))
+            if curve:
+                rows = lookups.on_curve(rows, ["uprn", "postcode", "post_town"])
+            else:
+                rows = lookups.clustered(rows, "uprn", "usrn", *views.tie_columns(rows))
             view = views.shape_lookup(rows, postcode_mode)
             self._save(
                 lookups.with_outcode(view), release, LOOKUP, "uprn", "postcode", "outcode",
@@ -245,6 +257,9 @@ class Releases:
             )
             self.record(release, next(steps))
             stored = self.spark.table(f"`{release}`.`{LOOKUP}`")
+            if curve:
+                index = lookups.file_index(stored, ["uprn", "postcode", "outcode", "posttown"])
+                self._save(index.orderBy("column", "cell"), release, LOOKUP_FILES)
             self._save_tokens(stored, release, LOOKUP_TOKENS)
             # The filters on the key columns were written with the lookup.
             for step in steps:
@@ -259,7 +274,10 @@ class Releases:
             lookups.clustered(rows, "lexeme", "uprn", "positions"), release, table, "lexeme"
         )
 
-    def build_combined(self, release: str, force: bool = False) -> bool:
+    def _landed(self, release: str, changes: bool) -> dict[str, DataFrame]:
+        return (landing.merged_tables if changes else landing.tables)(self.spark, release)
+
+    def build_combined(self, release: str, force: bool = False, changes: bool = False) -> bool:
         """Write the combined view and its tokens, logging progress.
 
         It becomes public at once if the release is within tolerance (or when
@@ -271,7 +289,7 @@ class Releases:
         self.spark.sql(f"DROP TABLE IF EXISTS {progress}")
         self.spark.sql(f"CREATE TABLE {progress} (result BOOLEAN, messages STRING) USING parquet")
         try:
-            self._build_combined(release, progress)
+            self._build_combined(release, progress, changes)
         except Exception as failure:
             self._progress(progress, str(failure), done=False)
             raise
@@ -280,11 +298,11 @@ class Releases:
             self._publish_view(release, COMBINED, views.COMBINED_COLUMNS)
         return allowed
 
-    def _build_combined(self, release: str, progress: str) -> None:
+    def _build_combined(self, release: str, progress: str, changes: bool) -> None:
         lookup = self.spark.table(f"`{release}`.`{LOOKUP}`")
         # Stored first, as in build_lookup.
         combined = materialise(
-            views.combined_view(landing.tables(self.spark, release), lookup), "combined-rows"
+            views.combined_view(self._landed(release, changes), lookup), "combined-rows"
         )
         self._progress(progress, COMBINED_STEPS[0])
         self._save(
@@ -420,6 +438,18 @@ class Releases:
     def public_table(self, table: str = LOOKUP) -> DataFrame:
         return self.spark.table(self._public_view(table))
 
+    def find(self, release: str, column: str, *values) -> DataFrame:
+        """Rows of a lookup by one of its lookup columns.
+
+        Where it was built on a curve, only the files that may hold the values
+        are opened.
+        """
+        stored = self.spark.table(f"`{checked_name(release)}`.`{LOOKUP}`")
+        if not self.spark.catalog.tableExists(f"{release}.{LOOKUP_FILES}"):
+            return lookups.find(stored, column, *values)
+        index = self.spark.table(f"`{release}`.`{LOOKUP_FILES}`")
+        return lookups.find_in_files(stored, index, column, *values)[0]
+
     def find_words(self, release: str, text: str, table: str = LOOKUP) -> DataFrame:
         """Rows of a release whose tokens contain every word of ``text``."""
         one = self.spark.createDataFrame([(text,)], "words string")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators.lookups import bloom_filtered
-from waymark.session import delete_folder, work_folder
+from waymark.session import delete_folder, materialise, work_folder
 from waymark.sources import raw, typed
 from waymark.sources.layouts import TABLE_FILES, TABLES
 
@@ -37,6 +37,21 @@ LOOKUP_KEYS = {
 }
 
 
+# What tells the rows of a table apart in change-only files, besides its lookup
+# key (fixed values).
+RECORD_KEYS = {
+    "abp_blpu": (),
+    "abp_delivery_point": ("udprn",),
+    "abp_lpi": ("lpi_key",),
+    "abp_crossref": ("xref_key",),
+    "abp_classification": ("class_key",),
+    "abp_street": (),
+    "abp_street_descriptor": ("language",),
+    "abp_organisation": ("org_key",),
+    "abp_successor": ("succ_key",),
+}
+DELETED = "D"  # change type of a row that takes its record away (fixed value)
+
 MANIFEST = "loads"
 REJECTS = "rejects"
 REJECT_COLUMNS = ("record_type", "problem", "value")
@@ -81,10 +96,12 @@ def create_tables(spark: SparkSession, release: str) -> int:
 
 
 def committed(spark: SparkSession, release: str) -> DataFrame:
-    """The attempt that counts for every batch: one row per batch."""
+    """The attempt that counts for every batch, and its place in the order of
+    commits (``seq``): one row per batch that is not retired."""
     name = f"`{release}`.`{MANIFEST}`"
     spark.catalog.refreshTable(name)
-    return spark.table(name).groupBy("batch").agg(F.max_by("attempt", "seq").alias("attempt"))
+    newest = F.max_by("attempt", "seq").alias("attempt"), F.max("seq").alias("seq")
+    return spark.table(name).groupBy("batch").agg(*newest).filter(F.col("attempt").isNotNull())
 
 
 def _append(
@@ -108,12 +125,17 @@ def _append(
 
 
 def _append_all(
-    spark: SparkSession, release: str, batch: str, rows_of: dict[str, DataFrame]
+    spark: SparkSession,
+    release: str,
+    batch: str,
+    rows_of: dict[str, DataFrame],
+    instead_of: list[str] | None = None,
 ) -> int:
     """Start all table loads together and commit them as one.
 
     The first failure fails the batch: the manifest keeps the attempt before,
-    or none. The partitions of attempts that no longer count go afterwards.
+    or none. The partitions of attempts that no longer count go afterwards,
+    and so do those of the batches that this one is ``instead_of``.
     """
     number = time.time_ns()
     attempt = f"a{number}"
@@ -124,17 +146,21 @@ def _append_all(
         ]
         for job in jobs:
             job.result()
-    _commit(spark, release, batch, attempt, number)
+    retired = [name for name in instead_of or [] if name != batch]
+    _commit(spark, release, batch, attempt, number, retired)
     _remove_others(spark, release, batch, attempt)
+    for name in retired:
+        _remove_others(spark, release, name, "")
     return sum(table in TABLES for table in rows_of)
 
 
-def _commit(spark: SparkSession, release: str, batch: str, attempt: str, number: int) -> None:
-    """One row in one file: it is there as a whole or not at all."""
-    row = spark.createDataFrame(
-        [(batch, attempt, number)], "batch string, attempt string, seq long"
-    )
-    row.coalesce(1).write.mode("append").insertInto(f"`{release}`.`{MANIFEST}`")
+def _commit(
+    spark: SparkSession, release: str, batch: str, attempt: str, number: int, retired: list[str]
+) -> None:
+    """All rows in one file: it is there as a whole or not at all."""
+    rows = [(batch, attempt, number), *[(name, None, number) for name in retired]]
+    frame = spark.createDataFrame(rows, "batch string, attempt string, seq long")
+    frame.coalesce(1).write.mode("append").insertInto(f"`{release}`.`{MANIFEST}`")
 
 
 def _remove_others(spark: SparkSession, release: str, batch: str, attempt: str) -> None:
@@ -219,6 +245,39 @@ def tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
     }
 
 
+def merged(spark: SparkSession, release: str, table: str) -> DataFrame:
+    """The records of a table after all its changes, in the order of the
+    batches' commits and of ``pro_order`` within a batch.
+
+    The last row of a record counts, and takes it away if it is a deletion. A
+    record stays with its lookup key, which the table is bucketed by: nothing
+    is shuffled.
+    """
+    layout, key = TABLES[table], LOOKUP_KEYS[table][0]
+    name = f"`{release}`.`{table}`"
+    spark.catalog.refreshTable(name)
+    loads = F.broadcast(committed(spark, release))
+    rows = spark.table(name).join(loads, ["batch", "attempt"])
+    last = F.max_by(F.struct(*layout.columns), F.struct("seq", "pro_order")).alias("row")
+    newest = rows.groupBy(key, *RECORD_KEYS[table]).agg(last).select("row.*")
+    return newest.filter(~F.col("change_type").eqNullSafe(DELETED))
+
+
+def merged_tables(spark: SparkSession, release: str) -> dict[str, DataFrame]:
+    return {table: merged(spark, release, table) for table in TABLES}
+
+
+def fold_changes(spark: SparkSession, release: str, batch: str = "folded") -> None:
+    """Make the merged records the only batch of a release, in one commit.
+
+    Readers see the batches before or the folded one. No load may run beside.
+    """
+    batches = [row["batch"] for row in committed(spark, release).select("batch").collect()]
+    # Stored first: a table cannot be read and written by one statement.
+    rows_of = {table: materialise(rows, "merged") for table, rows in merged_tables(spark, release).items()}
+    _append_all(spark, release, batch, rows_of, instead_of=batches)
+
+
 def load_lines_lenient(
     spark: SparkSession, release: str, batch: str, lines: DataFrame, staging: str
 ) -> DataFrame:
