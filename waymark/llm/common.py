@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import zipfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.session import tune
+from waymark.session import ship_package, tune
 
 # Rows of one Arrow batch: texts may be long, and a Python worker holds a few
 # batches at a time.
@@ -27,23 +24,6 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 100_000
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="waymark-package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))  # Spark hands it to every executor
-    _shipped.add(context.applicationId)
-
-
 def prepare(spark: SparkSession) -> None:
     """Session settings of the text operators, where nothing else is set."""
     tune(spark)
