@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -136,6 +137,43 @@ def test_odd_urls(spark):
 # -- 10 ----------------------------------------------------------------------
 
 
+STORY = "<article><h1>Title</h1><p>One two three.</p><p>Four five.</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # Reader comments as articles of their own, behind the main one.
+        (STORY + '<ol class="comment-list"><li><article class="comment-body">Nice!</article></ol>',
+         "Title\nOne two three.\nFour five."),
+        # and inside it.
+        ("<article><p>Text.</p><article class='comment'>Nice!</article><p>End.</p></article>", "Text.\nEnd."),
+        # A teaser article in a side column of a page without a marked article.
+        ("<div><p>The story.</p></div><aside><article>teaser</article></aside>", "The story."),
+        # Class words that are not furniture.
+        ("<article><p class='share-price'>Up 3 %.</p><ul id=notice-board><li>A<li>B</ul></article>",
+         "Up 3 %.\nA\nB"),
+        ("<article><div class='social share'>Tweet</div><p>Text.</p></article>", "Text."),
+        # End tags left out.
+        ("<article><p class='promo'>Buy now<p>Second.</p><p>Third.</p></article>", "Second.\nThird."),
+        ("<article><ul><li class='share'>Tweet<li>One<li>Two</ul><p>End.</article>", "One\nTwo\nEnd."),
+        ("<article><section><div class='promo'>Buy<p>now</section><p>Text.</article>", "Text."),
+        # Furniture that never ends, and an article behind it.
+        ("<div class='cookie'>We use<article><p>Story.</p></article>", "Story."),
+        ("<div class='cookie'>We use</div><article><p>Story.</p></article></div></div>", "Story."),
+    ],
+)
+def test_furniture_and_articles(html, text):
+    assert host_suffixes.extract([html]) == [text]
+
+
+def test_deep_and_broken_pages_are_read_in_linear_time():
+    begun = time.time()
+    host_suffixes.read_blocks("<div>" * 50_000 + "x" + "</span></b>" * 50_000 + "</div>" * 50_000)
+    host_suffixes.read_blocks("<div class=ad><article>x" * 20_000)
+    assert time.time() - begun < 20
+
+
 def article_of(html):
     """The articles of the given test pages, by their known form."""
     body = html.split("<article>", 1)[1].split("</article>")[0].split("<footer>")[0]

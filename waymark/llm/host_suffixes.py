@@ -15,6 +15,7 @@ chunks only are found by a hash of every RUN tokens, counted over the host.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -58,6 +59,14 @@ MARKS = {
     "toolbar", "widget",
 }
 
+# Entries that end the one before, and what such an entry cannot reach out of
+# (fixed names).
+LISTS = {"ul", "ol", "menu", "dl", "table"}
+ENTRIES = {
+    "li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, LISTS), "dd": ({"dt", "dd"}, LISTS),
+    "tr": ({"tr"}, LISTS), "td": ({"td", "th"}, LISTS | {"tr"}), "th": ({"td", "th"}, LISTS | {"tr"}),
+}
+
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -79,35 +88,99 @@ class Block:
 
 
 def _is_furniture(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether an element is none of the text, by its name, role, class or id.
+
+    Inside an article, and for an article itself, a class must say so as a
+    whole ("share", "social-share"): "share-price" is no sharing bar.
+    """
     if tag in FURNITURE or (tag == "header" and not in_main):
         return True
+    strict = in_main or tag in ("article", "main")
     for name, value in _attribute.findall(attributes):
         value = value.strip("\"'").lower()
         if name.lower() == "role":
             if value in ROLES:
                 return True
-        elif tag not in ("body", "html", "article", "main") and MARKS & set(_mark.findall(value)):
+        elif tag in ("body", "html"):
+            continue
+        elif strict:
+            if any(MARKS.issuperset(_mark.findall(word)) and _mark.search(word) for word in value.split()):
+                return True
+        elif MARKS & set(_mark.findall(value)):
             return True
     return False
 
 
-def read_blocks(html: str) -> list[Block]:
+class _Open:
+    """The open elements, with the ends that HTML lets authors leave out."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.counts: Counter = Counter()
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def push(self, name: str) -> None:
+        self.names.append(name)
+        self.counts[name] += 1
+
+    def cut(self, depth: int) -> None:
+        self.counts.subtract(self.names[depth:])
+        del self.names[depth:]
+
+    def begin(self, name: str) -> None:
+        """What the start of ``name`` ends: a paragraph, an entry of its list."""
+        if name in BLOCK and self.counts["p"]:
+            self._end_near({"p"}, BLOCK)
+        if name in ENTRIES:
+            ended, within = ENTRIES[name]
+            if any(self.counts[one] for one in ended):
+                self._end_near(ended, within)
+
+    def _end_near(self, ended: set[str], within: set[str]) -> None:
+        for depth in range(len(self.names) - 1, -1, -1):
+            if self.names[depth] in ended:
+                self.cut(depth)
+                return
+            if self.names[depth] in within:
+                return
+
+    def end(self, name: str) -> None:
+        """The end tag of the nearest ``name`` ends all inside it; only an
+        article's own end tag goes past it."""
+        if not self.counts[name]:
+            return
+        for depth in range(len(self.names) - 1, -1, -1):
+            if self.names[depth] == name:
+                self.cut(depth)
+                return
+            if self.names[depth] in ("article", "main") and name not in ("body", "html", "article", "main"):
+                return
+
+
+def read_blocks(html: str, unclosed: bool = False) -> list[Block]:
     """Blocks of text outside furniture, in page order, white space made single.
 
-    Missing end tags end with what they stand in; an article that begins inside
-    an open piece of furniture ends that.
+    Elements whose end tags are left out end with what they stand in. Articles
+    inside furniture are furniture; only on a page that never ends a piece of
+    furniture (``unclosed``) does an article that begins inside one end it.
     """
     blocks: list[Block] = []
     parts: list[str] = []
-    inside: list[str] = []  # open main elements
-    skipped: list[str] = []  # furniture: the element and its open namesakes
+    opened = _Open()
+    skipped = 0  # depth of the furniture that text stands in, or 0
+    lost = False  # an article began inside the furniture that is open
     tag = "body"
     place = 0
 
+    def inside() -> bool:
+        return bool(opened.counts["article"] or opened.counts["main"])
+
     def flush():
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            blocks.append(Block(text, bool(inside), tag))
+            blocks.append(Block(text, inside(), tag))
         parts.clear()
 
     while place < len(html):
@@ -126,32 +199,34 @@ def read_blocks(html: str) -> list[Block]:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, place)
             place = end.end() if end else len(html)
             continue
-        if skipped:
-            if name in ("article", "main") and not closing:
-                skipped.clear()
-            elif name == skipped[0]:
-                if closing:
-                    skipped.pop()
-                else:
-                    skipped.append(name)
-                continue
-            else:
-                continue
-        if name in BLOCK:
+        if not skipped and name in BLOCK:
             flush()
             tag = name
-        elif name == "br":
+        elif not skipped and name == "br":
             parts.append(" ")
-        if name in ("article", "main"):
-            if not closing:
-                inside.append(name)
-            elif name in inside:
-                del inside[inside.index(name) :]
-        elif not closing and name not in VOID and _is_furniture(name, attributes, bool(inside)):
-            if name not in BLOCK:
-                flush()
-            skipped.append(name)
+        if name in VOID:
+            continue
+        if closing:
+            opened.end(name)
+        else:
+            opened.begin(name)
+        if skipped and len(opened) < skipped:
+            skipped, lost = 0, False
+            tag = name
+        if closing:
+            continue
+        if skipped and name in ("article", "main"):
+            lost = True
+            if unclosed:
+                opened.cut(skipped - 1)
+                skipped, tag = 0, name
+        if not skipped and _is_furniture(name, attributes, inside()):
+            flush()
+            skipped, lost = len(opened) + 1, False
+        opened.push(name)
     flush()
+    if skipped and lost and not unclosed:
+        return read_blocks(html, unclosed=True)
     return blocks
 
 
