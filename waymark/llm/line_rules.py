@@ -160,7 +160,11 @@ def apply_rules(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Kept documents with their cleaned text: ``doc_id``, ``text``."""
+    """Kept documents with their cleaned text: ``doc_id``, ``text``.
+
+    NULL and empty texts have no words and are never kept; repeated rows come
+    back each; an empty table gives an empty result.
+    """
     return apply_rules(docs, rules).filter("kept").select(
         "doc_id", F.col("cleaned").alias("text")
     )

@@ -368,7 +368,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no passage of a test item, all columns unchanged."""
+    """The documents that hold no passage of a test item, all columns unchanged.
+
+    NULL and empty texts hold none and stay as they are; repeated rows stay or
+    go together; without test items all rows stay; an empty table stays empty.
+    """
     prepare(docs.sparkSession)
     hits = fresh_name(docs.columns, "passages")
     kept = docs
