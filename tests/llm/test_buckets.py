@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from waymark.llm import suffix_buckets
@@ -62,11 +63,11 @@ def passages(seed):
     return rows
 
 
-@pytest.mark.parametrize("limits", [(2000, 1 << 21, 1 << 19), (2, 3000, 170)])
-def test_against_all_strings(spark, monkeypatch, limits):
-    for name, limit in zip(("BLOCK_CONTEXTS", "BLOCK_BYTES", "SLICE"), limits):
-        monkeypatch.setattr(suffix_buckets, name, limit)
-    rows = passages(limits[0])
+@pytest.mark.parametrize("contexts", [2000, 2])
+def test_against_all_strings(spark, monkeypatch, contexts):
+    """Also with anchors that are dealt over many blocks."""
+    monkeypatch.setattr(suffix_buckets, "BLOCK_CONTEXTS", contexts)
+    rows = passages(contexts)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     expected = sorted(digest(rows), key=str)
     assert sum(row[2] for row in expected) > 1000
@@ -104,3 +105,45 @@ def test_classes_are_equal_strings():
     every = [c[i : i + 100] for c, n in zip(contexts, strings) for i in range(n)]
     assert len(kind) == len(every)
     assert len(set(zip(kind.tolist(), every))) == len(set(every)) == len(set(kind.tolist()))
+
+
+@pytest.mark.parametrize("size", [1 << 19, 170])
+def test_anchors_in_slices(monkeypatch, size):
+    """Every string has one anchor, and equal strings equal ones."""
+    monkeypatch.setattr(suffix_buckets, "SLICE", size)
+    texts = [text for _, text in passages(9)]
+    batch = pd.DataFrame({"text": texts, "no_id": False, "id": range(len(texts)), "mark": 0})
+    grams, strings = {}, set()
+    for frame in suffix_buckets._list_anchors([batch]):
+        for row in frame.itertuples(index=False):
+            raw = texts[row.id].encode()
+            assert 1 <= row.size <= suffix_buckets.WIDTH and row.gap < suffix_buckets.WIDTH
+            for start in range(row.start, row.start + row.size):
+                assert (row.id, start) not in strings
+                strings.add((row.id, start))
+                string = raw[start : start + LENGTH]
+                assert grams.setdefault(string, row.gram) == row.gram
+    sizes = [len(text.encode()) for text in texts]
+    assert len(strings) == sum(max(0, n - LENGTH + 1) for n in sizes)
+
+
+def test_groups_in_pieces(monkeypatch):
+    """Whole groups are judged, wherever batches and pieces end."""
+    rng = random.Random(11)
+    pool = ["".join(rng.choices("ab", k=150)).encode() for _ in range(9)]
+    rows = []
+    for gram, source in enumerate(pool):
+        for name in range(rng.randint(1, 14)):
+            low, size = rng.randint(0, 20), rng.randint(1, 20)
+            rows.append((gram, 0, gram % 2 == 0, False, name, 0, low, size, source[low : low + size + 99]))
+    columns = ["gram", "block", "open", "no_id", "id", "mark", "start", "size", "bytes"]
+    frame = pd.DataFrame(rows, columns=columns)
+    whole = suffix_buckets._judge(frame)
+    monkeypatch.setattr(suffix_buckets, "BLOCK_BYTES", 900)
+    batches = [frame[low : low + 7] for low in range(0, len(frame), 7)]
+    pieces = pd.concat(list(suffix_buckets._judge_groups(batches)))
+
+    def found(frame):
+        return sorted(map(str, frame.astype(object).where(frame.notna(), None).itertuples(index=False)))
+
+    assert found(pieces) == found(whole) and len(whole) > 20

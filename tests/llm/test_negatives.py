@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from waymark.llm import four_russians
 
@@ -53,9 +54,6 @@ def order(rows):
 
 def test_against_all_scores(spark, monkeypatch):
     monkeypatch.setattr(four_russians, "ANCHOR_BLOCK", 3)
-    monkeypatch.setattr(four_russians, "PIECE", 70)
-    monkeypatch.setattr(four_russians, "TILE", 16)
-    monkeypatch.setattr(four_russians, "TABLE_ANCHORS", 2)
     rng = random.Random(3)
     rows = []
     for key in range(500):
@@ -113,3 +111,40 @@ def test_scores_are_inner_products():
         found = four_russians.Scorer(anchors, bits, 3).scores(planes)
         exact = anchors.astype(object) @ rows.T.astype(object)
         assert (found == np.clip(exact, -(2**63) + 1, 2**63 - 1)).all()
+
+
+def test_candidates_in_pieces(monkeypatch):
+    """The best of many pieces, tiles and tables are the best of one."""
+    rng = np.random.default_rng(5)
+    batches = []
+    for low in range(0, 300, 60):
+        columns = [
+            pa.array([None if key % 41 == 0 else key for key in range(low, low + 60)], pa.int64()),
+            pa.array(rng.integers(0, 3, 60), pa.int64()),
+            pa.array(rng.integers(-2, 3, (60, 10)).tolist(), pa.list_(pa.float64())),
+        ]
+        batches.append(pa.RecordBatch.from_arrays(columns, ["key", "label", "vector"]))
+    packed = [batch.to_pandas() for batch in four_russians._pack(batches)]
+    rows = four_russians.together([four_russians.unpack(row) for f in packed for row in f.itertuples()])
+    chosen = rows.take(np.arange(0, 300, 7))
+    block = four_russians.Block(chosen.ids, chosen.labels, four_russians.components_of(chosen.planes))
+    shape = (len(chosen), four_russians.POSITIVES)
+    block.low, block.high = np.full(shape, -(10**5)), np.full(shape, 10**5)
+
+    def best(add, slots, count):
+        found = four_russians.Best(slots, count)
+        for piece in four_russians._pieces(packed):
+            add(block, piece, found)
+        return found.frame().sort_values(["slot", "score", "key"]).reset_index(drop=True)
+
+    def both():
+        return [
+            best(four_russians.add_positives, len(chosen), 5),
+            best(four_russians.add_negatives, len(chosen) * 5, 3),
+        ]
+
+    whole = both()
+    for name, limit in (("PIECE", 70), ("TILE", 16), ("TABLE_ANCHORS", 2)):
+        monkeypatch.setattr(four_russians, name, limit)
+    for one, other in zip(whole, both()):
+        assert len(one) > 100 and one.equals(other)
