@@ -211,3 +211,25 @@ def test_a_text_with_very_many_spans(spark):
     last = 49_999 * len(one)
     assert rows[1]["base"].split(",")[-2:] == [f"assign:{last}:{last + 18}", f"access:{last + 23}:{last + 44}"]
     assert rows[2]["base"] == "assign:0:18,access:23:44"
+
+
+def test_very_many_addresses_in_one_text():
+    """Spans and terms of 100,000 addresses, in seconds."""
+    text = "plain words " + "write to someone@example.org or call " * 100_000
+    begun = time.time()
+    spans = disclosure.base_spans(text)
+    found = disclosure._candidates(text, spans)
+    terms = disclosure.term_spans(text, spans, {"call", "someone"})
+    assert len(spans) == 100_000 and len(terms) == 100_000
+    assert not any(term == "someone" for _, _, term, _, _ in found)
+    assert time.time() - begun < 60
+
+
+def test_covered_places_against_all_spans():
+    rng = random.Random(21)
+    for _ in range(300):
+        spans = [("ip", start, start + rng.randint(1, 9)) for start in rng.choices(range(60), k=rng.randint(0, 8))]
+        covered = disclosure._Cover(spans)
+        for begin in range(0, 70, 3):
+            stop = begin + rng.randint(1, 6)
+            assert covered.touches(begin, stop) == any(begin < b and stop > a for _, a, b in spans)

@@ -16,6 +16,7 @@ Such spans are generalised (entities) or removed (terms).
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -113,17 +114,33 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+class _Cover:
+    """What the base spans of a text cover, looked up in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted((start, end) for _, start, end in spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, begin: int, stop: int) -> bool:
+        place = bisect_right(self.ends, begin)
+        return place < len(self.starts) and self.starts[place] < stop
+
+
 def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
     """(entity, unit of evidence, term, start, end) beside every base span."""
-    covered = sorted((start, end) for _, start, end in spans)
-    found = []
+    covered, found = _Cover(spans), []
     for kind, start, end in spans:
         value = xxhash.xxh64_hexdigest(text[start:end].lower().encode())
         low, high = max(0, start - CONTEXT_CHARS), end + CONTEXT_CHARS
         context = xxhash.xxh64_hexdigest(text[low:high].encode("utf-8", "surrogatepass"))
-        near = [span for span in covered if span[0] < high and span[1] > low]
         for term, begin, stop in context_terms(text, start, end):
-            if not any(begin < last and stop > first for first, last in near):
+            if not covered.touches(begin, stop):
                 found.append((kind, value, term, begin, stop))
                 found.append((f"{kind}:{value}", context, term, begin, stop))
     return found
@@ -144,16 +161,9 @@ def term_spans(
     """All places of the terms outside base spans, in order."""
     if not terms:
         return []
-    covered = sorted((start, end) for _, start, end in spans)
-    found, first = [], 0
-    for match in _term.finditer(text):
-        if match.group().lower() in terms:
-            begin, stop = match.span()
-            while first < len(covered) and covered[first][1] <= begin:
-                first += 1
-            if not any(begin < end and stop > start for start, end in covered[first:]):
-                found.append((TERM, begin, stop))
-    return found
+    covered = _Cover(spans)
+    places = (match.span() for match in _term.finditer(text) if match.group().lower() in terms)
+    return [(TERM, *place) for place in places if not covered.touches(*place)]
 
 
 def find_base(docs: DataFrame) -> DataFrame:
