@@ -318,5 +318,5 @@ def test_components_like_their_statement(spark):
 
 def test_registered():
     names = set(queries.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 14))
     assert names <= set(entry.queries()) and set(queries.oracle_sql()) <= names

@@ -59,6 +59,12 @@ MARKS = {
     "toolbar", "widget",
 }
 
+# Those of them that are clear wherever they stand in a class.
+CLEAR_MARKS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "comments", "cookie", "cookies",
+    "newsletter", "promo", "sponsor", "sponsored", "subscribe",
+}
+
 # Entries that end the one before, and what such an entry cannot reach out of
 # (fixed names).
 LISTS = {"ul", "ol", "menu", "dl", "table"}
@@ -91,7 +97,8 @@ def _is_furniture(tag: str, attributes: str, in_main: bool) -> bool:
     """Whether an element is none of the text, by its name, role, class or id.
 
     Inside an article, and for an article itself, a class must say so as a
-    whole ("share", "social-share"): "share-price" is no sharing bar.
+    whole ("share", "social-share"): "share-price" is no sharing bar. Words for
+    adverts are clear in any class there too ("ad-slot").
     """
     if tag in FURNITURE or (tag == "header" and not in_main):
         return True
@@ -104,7 +111,10 @@ def _is_furniture(tag: str, attributes: str, in_main: bool) -> bool:
         elif tag in ("body", "html"):
             continue
         elif strict:
-            if any(MARKS.issuperset(_mark.findall(word)) and _mark.search(word) for word in value.split()):
+            named = [_mark.findall(word) for word in value.split()]
+            if any(words and MARKS.issuperset(words) for words in named):
+                return True
+            if in_main and any(CLEAR_MARKS.intersection(words) for words in named):
                 return True
         elif MARKS & set(_mark.findall(value)):
             return True
