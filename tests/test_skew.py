@@ -8,6 +8,7 @@ from waymark.functions import tokens
 from waymark.operators import lookups, skew
 from waymark.operators.skew import Side
 from waymark.plans import views
+from waymark.session import materialise
 
 SF = "/root/testdata/sf0.001"
 
@@ -159,3 +160,58 @@ def test_word_search_checks_each_row(spark):
     assert {r.uprn for r in lookups.keys_with_all(table, ["high", "road"]).collect()} == {1, 2}
     assert [r.uprn for r in lookups.find_words(rows, ["high", "road"], table).collect()] == [2]
     assert [r.uprn for r in lookups.find_words(rows, ["high", "road"]).collect()] == [2]
+
+
+def test_tokens_as_text_and_back(spark):
+    """Lists, an empty one and none come back as they were."""
+    rows = spark.sql(
+        f"select 1 as id, {tokens.tokens('\"The High Streets 3, high 3\"')} as found "
+        f"union all select 2, {tokens.tokens('\"\"')} union all select 3, null"
+    )
+    assert dict(rows.dtypes)["found"] == tokens.TYPE
+    back = rows.withColumn("found", F.expr(tokens.from_text(tokens.tokens_text("found"))))
+    assert back.dtypes == rows.dtypes
+    assert back.orderBy("id").collect() == rows.orderBy("id").collect()
+
+
+def test_duplicates_are_looked_for_in_narrow_rows(spark):
+    """No aggregation or exchange of the views' unions carries token lists."""
+    tables = derived.address_tables(spark, SF)
+    lookup = views.lookup_view(tables)
+    both = views.distinct_union(
+        views.geographic_view(tables).select(*views.COMBINED_COLUMNS),
+        lookup.select(*views.COMBINED_FROM_LOOKUP),
+    )
+    for view in (both, views.combined_view(tables, materialise(lookup, "lookup"))):
+        kinds = _grouped_kinds(view._jdf.queryExecution().optimizedPlan())
+        assert "string" in kinds and not any("array" in kind for kind in kinds)
+
+
+def _grouped_kinds(node):
+    """The types that the aggregations of a plan group by."""
+    found = []
+    if node.nodeName() == "Aggregate":
+        keys = node.groupingExpressions()
+        found = [keys.apply(i).dataType().simpleString() for i in range(keys.size())]
+    for i in range(node.children().size()):
+        found += _grouped_kinds(node.children().apply(i))
+    return found
+
+
+def test_token_rows_are_sorted_in_bounded_parts(spark, monkeypatch):
+    """More parts than the shuffle setting where tasks would get too many rows;
+    the rows of a plain distinct either way, sorted in each part."""
+    words = "concat('street ', id % 7, ' street')"
+    made = spark.range(300).selectExpr("id % 40 as uprn", f"{tokens.tokens(words)} as search_tokens")
+    view = materialise(made.unionByName(made.limit(20)), "view")
+    plain = lookups.token_table(view).distinct()
+    few = lookups.clustered_tokens(view)
+    monkeypatch.setattr(lookups, "TOKENISED_ROWS", 20)
+    many = lookups.clustered_tokens(view)
+    assert many.rdd.getNumPartitions() == 16
+    assert same(few, plain) and same(many, plain)
+    parts = many.withColumn("part", F.spark_partition_id()).collect()
+    lexemes = [(row["part"], row["lexeme"]) for row in parts]
+    assert lexemes == sorted(lexemes)
+    monkeypatch.setattr(lookups, "SORTED_ROWS", 20)
+    assert lookups.clustered(view, "uprn").rdd.getNumPartitions() == 16
