@@ -130,6 +130,30 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs, larger):
     assert toxic_cnn.without_toxic(odd_docs, labels.limit(0)).count() == 15
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """More rows of either label than the sample once had, over several parts;
+    how Spark deals the rows out changes no weight."""
+    rows = [(i, f"{'vile' if i % 2 else 'kind'} word{i % 50} rare{i // 100}x") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    learned = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    stored = toxic_cnn.labelled_rows(docs, labels)
+    assert sorted(row[0] for row in stored.select("doc_id").collect()) == learned
+    rare = {int(toxic_cnn.buckets(f"rare{i}x")[0, 0]) for i in range(80)}
+    known = toxic_cnn.known_buckets(stored.filter("not held"))
+    assert rare <= set(known.tolist())
+    monkeypatch.setattr(toxic_cnn, "PART_ROWS", 1000)
+    monkeypatch.setattr(toxic_cnn, "EPOCHS", 1)
+    first = toxic_cnn.fit(docs, labels)
+    again = toxic_cnn.fit(docs.repartition(11), labels.repartition(5))
+    for one, other in zip(
+        toxic_cnn.State(first.network, []).weights(), toxic_cnn.State(again.network, []).weights()
+    ):
+        assert np.array_equal(one, other)
+    scores = first.scores(["vile word3 rare7x", "kind word3 rare7x"])
+    assert first.centre == again.centre and scores[0] > 0.5 > scores[1]
+
+
 # -- 5 -----------------------------------------------------------------------
 
 
