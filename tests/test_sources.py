@@ -228,6 +228,13 @@ def test_a_line_is_parsed_once(spark):
     assert good.count() == 1 and bad.count() == 0
 
 
+def test_a_line_is_worked_out_once(spark):
+    made = spark.range(3).selectExpr("concat('21,', cast(id as string)) as value")
+    rows = raw.route(made).select("record_type", "value")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("concat(21,") == 1
+    assert sorted(r.value for r in rows.collect()) == ["21,0", "21,1", "21,2"]
+
+
 def test_sizes_are_known_after_measuring(spark):
     landing.create_tables(spark, "sized")
     landing.load_raw_batch(spark, "sized", "b0", derived.raw_folder(spark, SF))
