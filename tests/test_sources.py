@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import os
 import random
+import re
 import time
 
 import pytest
@@ -235,6 +236,35 @@ def test_a_line_is_worked_out_once(spark):
     assert sorted(r.value for r in rows.collect()) == ["21,0", "21,1", "21,2"]
 
 
+def test_lenient_parsing_is_short_enough_to_compile(spark):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    made = spark.range(3).selectExpr("concat('24,', cast(id as string)) as value")
+    for rows in typed.parse_lenient(made, LAYOUTS["24"]):
+        text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+        sizes = [int(size) for size in re.findall("maxMethodCodeSize:([0-9]+)", text)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_lenient_loads_read_the_lines_once(spark):
+    landing.create_tables(spark, "readonce")
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    given = lines(spark, "21,x", "77,x", "nocomma", "", '30,I,1,5,"S",,,,,')
+    given = given.union(spark.createDataFrame([(None,)], "value string"))
+    counted = given.mapInPandas(count, "value string")
+    bad = landing.load_lines_lenient(spark, "readonce", "b0", counted, work_folder(spark, "s"))
+    found = {(r.record_type, r.problem, r.value) for r in bad.collect()}
+    unknown = {(None, "no such record type", value) for value in ("77,x", "nocomma", "", None)}
+    assert found == unknown | {("21", "malformed", "21,x")}
+    assert landing.tables(spark, "readonce")["abp_successor"].count() == 1
+    assert read.value == 6
+
+
 def test_sizes_are_known_after_measuring(spark):
     landing.create_tables(spark, "sized")
     landing.load_raw_batch(spark, "sized", "b0", derived.raw_folder(spark, SF))
