@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from waymark.llm import bpe_lexicon, line_rules, seed_align, toxic_cnn
-from waymark.llm.common import lower_words, words
+from waymark.llm.common import lower_words, word_counts, words
 
 PATH = bpe_lexicon.default_vocabulary()
 
@@ -93,6 +93,26 @@ def test_merging_alone_and_together():
         assert np.frombuffer(packed, "<u4").tolist() == bpe_lexicon.merge_word(word, vocabulary)
 
 
+def test_words_are_counted_as_texts_and_pieces_gathered(spark, library, monkeypatch):
+    texts = ["é 漢 a a", "a é<|endoftext|>a", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    counted = word_counts(rows, str.split).collect()
+    assert {(bytes(r["word"]).decode(), r["count"]) for r in counted} == {
+        ("é", 1), ("漢", 1), ("a", 3), ("é<|endoftext|>a", 1),
+    }
+    vocabulary = bpe_lexicon.load_vocabulary(PATH)
+    encoder = bpe_lexicon.Encoder(
+        bpe_lexicon.Lexicon(bpe_lexicon.compile_lexicon({})), vocabulary
+    )
+    monkeypatch.setattr(bpe_lexicon, "SLICE_IDS", 2)  # a letter's bytes fall apart
+    for text, packed in zip(texts, encoder.encode(texts)):
+        ids, _ = encoded(library, text)
+        assert np.frombuffer(packed, "<u4").tolist() == ids
+        assert encoder.decode(packed) == library.decode(ids, skip_special_tokens=False) == text
+    with pytest.raises((KeyError, IndexError)):
+        encoder.decode(np.array([4_000_000], "<u4").tobytes())
+
+
 # -- 4 -----------------------------------------------------------------------
 
 

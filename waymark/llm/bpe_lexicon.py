@@ -17,6 +17,7 @@ import tempfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ REMEMBERED = 300_000
 SHORT_WORD = 40
 # Characters of the texts that are encoded together.
 SLICE_CHARS = 2_000_000
+# Ids that are decoded together.
+SLICE_IDS = 500_000
 # A merge is its rank and, in the lower 32 bits, the id it makes.
 MERGED = (1 << 32) - 1
 NO_MERGE = 1 << 62
@@ -149,14 +152,18 @@ class Merger:
         self.keys = np.append(keys[order], NO_MERGE)
         self.values = np.append(np.array(list(vocabulary.ranks.values()), np.int64)[order], NO_MERGE)
 
+        # A word begins as single bytes: all their pairs, without a search.
+        self.of_bytes = self._find(self.letters[:, None], self.letters[None, :])
+
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
         place = np.searchsorted(self.keys, key)
         return np.where(self.keys[place] == key, self.values[place], NO_MERGE)
 
     def _same_length(self, words: list[bytes]) -> list[np.ndarray]:
-        ids = self.letters[np.frombuffer(b"".join(words), np.uint8)].reshape(len(words), -1)
-        waiting = self._find(ids[:, :-1], ids[:, 1:])
+        letters = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+        ids = self.letters[letters]
+        waiting = self.of_bytes[letters[:, :-1], letters[:, 1:]]
         rows = np.arange(len(words))
         merged: list[np.ndarray] = [None] * len(words)
         while len(rows):
@@ -316,7 +323,12 @@ class Encoder:
         self.lexicon, self.vocabulary = lexicon, vocabulary
         self.find = word_finder(vocabulary.pattern)
         self.split = special_splitter(vocabulary.special)
-        self.pieces = vocabulary.pieces
+        pieces = vocabulary.pieces
+        listed = [pieces.get(number, b"") for number in range(max(pieces, default=-1) + 1)]
+        self.missing = np.array([number not in pieces for number in range(len(listed))], bool)
+        self.lengths = np.fromiter(map(len, listed), np.int64, len(listed))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.block = np.frombuffer(b"".join(listed), np.uint8)
         self.merger = Merger(vocabulary)
         self.known: dict[str | bytes, bytes] = {}
 
@@ -343,7 +355,7 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        unseen = {word for parts in found for word in parts if word not in known}
+        unseen = set().union(*found).difference(known)
         special = {word for word in unseen if isinstance(word, bytes)}
         known.update((word, word) for word in special)
         self._learn(list(unseen - special))
@@ -363,9 +375,19 @@ class Encoder:
             size += len(text)
         return packed + self._encode_slice(texts[start:])
 
+    def _pieces(self, ids: np.ndarray) -> bytes:
+        """The pieces of the ids, gathered out of the block that holds them all."""
+        if self.missing[ids].any():
+            raise KeyError(f"no such id: {ids[self.missing[ids]][0]}")
+        lengths = self.lengths[ids]
+        places = np.repeat(self.starts[ids] - np.cumsum(lengths) + lengths, lengths)
+        return self.block[places + np.arange(len(places))].tobytes()
+
     def decode(self, packed: bytes) -> str:
-        ids = np.frombuffer(packed, "<u4").tolist()
-        return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
+        ids = np.frombuffer(packed, "<u4")
+        slices = range(0, len(ids), SLICE_IDS)
+        found = [self._pieces(ids[start : start + SLICE_IDS]) for start in slices]
+        return b"".join(found).decode("utf-8", "replace")
 
 
 # Below this code point the word pattern is also written with plain ranges.
@@ -405,6 +427,8 @@ def special_splitter(special: dict[str, int]):
     pattern = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
 
     def split(text: str) -> list[tuple[str, int | None]]:
+        if not any(token in text for token in longest_first):
+            return [(text, None)]
         parts = pattern.split(text)
         return [(part, special.get(part)) for part in parts if part]
 
@@ -416,10 +440,9 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, limit: int) -> list[
     find = word_finder(vocabulary.pattern)
     split_special = special_splitter(vocabulary.special)
 
-    def split(text: str) -> Iterable[bytes]:
-        for part, special in split_special(text):
-            if special is None:
-                yield from (word.encode("utf-8", "surrogatepass") for word in find(part))
+    def split(text: str) -> Iterable[str]:
+        parts = [find(part) for part, special in split_special(text) if special is None]
+        return parts[0] if len(parts) == 1 else chain.from_iterable(parts)
 
     counts = word_counts(docs, split, least=2).filter(F.length("word") <= LEXICON_BYTES)
     return list(most_frequent(materialise(counts, "bpe-counts"), limit))
