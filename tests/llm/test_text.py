@@ -122,6 +122,39 @@ def larger(spark):
     return [spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels")]
 
 
+def test_words_are_stored_and_their_buckets_remembered(spark, monkeypatch):
+    monkeypatch.setattr(toxic_cnn, "REMEMBERED", 3)
+    text = "The cat's on-going tale, é 漢字 the international internationals"
+    tokens = b"the cat s on going tale \xc3\xa9 \xe6\xbc\xa2\xe5\xad\x97 the international internationals"
+    for _ in range(2):
+        kinds = [[t, t[:4] + b"-", t[:5] + b"-", t[:7] + b"-"] for t in tokens.split()]
+        wanted = [[zlib.crc32(kind) % toxic_cnn.BUCKETS for kind in row] for row in kinds]
+        assert toxic_cnn.buckets(text).tolist() == wanted
+    assert toxic_cnn.buckets(None).shape == toxic_cnn.buckets(" ,").shape == (0, 4)
+    docs = spark.createDataFrame([(i, text * i or None, "en") for i in range(9)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    for row in toxic_cnn.labelled_rows(docs, labels).collect():
+        assert zlib.decompress(row["words"]).split() == toxic_cnn.plain_words(text * row["doc_id"])
+
+
+def test_pulls_are_summed_as_one_by_one():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 40, 3000).astype(np.int32) ** 2 % 50
+    pulls = rng.normal(size=(3000, toxic_cnn.DIMENSIONS))
+    values = rng.normal(size=(50, toxic_cnn.DIMENSIONS)).astype(np.float32)
+    sums = np.full_like(values, 1e-6)
+    slope = np.zeros_like(values)
+    np.add.at(slope, rows, pulls)
+    slope[0] = 0
+    wanted_sums = sums + slope**2
+    wanted = values - np.float32(0.1) * slope / np.sqrt(wanted_sums)
+    moved = toxic_cnn._move_rows(values, sums, rows, pulls, 0.1)
+    assert moved.tolist() == sorted(set(rows.tolist()) - {0})
+    assert np.array_equal(sums, wanted_sums) and np.allclose(values, wanted, atol=1e-6)
+    assert len(toxic_cnn._move_rows(values, sums, rows[:9] * 0, pulls[:9], 0.1)) == 0
+    assert np.array_equal(sums, wanted_sums)
+
+
 def test_toxicity_on_held_out_rows(larger):
     documents, labels = larger
     found = toxic_cnn.classify(documents, labels)
