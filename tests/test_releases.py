@@ -293,3 +293,49 @@ def test_a_release_on_a_curve(spark):
         value = stored.filter(f"{column} is not null").head()[column]
         found = work.find(release, column, value)
         assert found.count() and same(found, lookups.find(stored, column, value))
+
+
+def _up_to_join(node, table, above=()):
+    """Nodes between each scan of a table and the join by key that reads it."""
+    name = node.nodeName()
+    above = () if name == "SortMergeJoin" else (*above, name)
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    if not children and table in node.simpleString(1000):
+        return [above]
+    return [found for child in children for found in _up_to_join(child, table, above)]
+
+
+def test_combined_build_keeps_the_buckets(spark, request):
+    """Also where the shuffle setting has more parts than the tables buckets:
+    properties and identifiers are not exchanged before their joins by key."""
+    work = Releases(spark, control="kb_control", public="kb_public")
+    release = work.initialise("76", datetime(2024, 1, 1))
+    lines = derived.raw_lines(spark, SF)
+    landing.load_lines(spark, release, "b0", lines, work_folder(spark, "split"))
+    work.build_lookup(release)
+    rows = []
+    kept, views_rows = views.combined_rows, lambda *a, **k: rows.append(kept(*a, **k)) or rows[-1]
+    settings = {
+        "spark.sql.shuffle.partitions": "50",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    views.combined_rows = views_rows
+
+    def restore():
+        views.combined_rows = kept
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+    request.addfinalizer(restore)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    work.build_combined(release, force=True)
+    plan = rows[0]._jdf.queryExecution().executedPlan()
+    for table in ("abp_blpu", "abp_lpi"):
+        paths = _up_to_join(plan, table)
+        assert paths and not any("Exchange" in path for path in paths)
+    stored = spark.table(f"{release}.lookup")
+    plain = views.shape_combined(kept(landing.tables(spark, release), stored))
+    assert same(work.public_table(releases.COMBINED), plain)
