@@ -137,6 +137,49 @@ def test_words_are_stored_and_their_buckets_remembered(spark, monkeypatch):
         assert zlib.decompress(row["words"]).split() == toxic_cnn.plain_words(text * row["doc_id"])
 
 
+def test_words_of_many_texts_are_hashed_together(monkeypatch):
+    calls, crc32 = [], zlib.crc32
+    monkeypatch.setattr(toxic_cnn.zlib, "crc32", lambda *given: calls.append(1) or crc32(*given))
+    texts = ["", "a", None, " \t\n\v\f\r.,;", "Four FIVES sevenly é 漢字 a\x1cb\x00c\u0085", "x" * 24, "y" * 25 + " z", "w" * 5000]
+    texts += [" ".join(f"{i}word{i * j}" for j in range(i)) for i in range(60)] + [""]
+    plain = [toxic_cnn.plain_text(text or "") for text in texts]
+    for at_once in (5, toxic_cnn.REMEMBERED):
+        monkeypatch.setattr(toxic_cnn, "REMEMBERED", at_once)
+        calls.clear()
+        found, counts = toxic_cnn._hashed(plain)
+        assert len(calls) == 2  # the words over 24 bytes
+        tokens = [toxic_cnn.plain_words(text or "") for text in texts]
+        assert counts.tolist() == [len(own) for own in tokens]
+        kinds = [[t, t[:4] + b"-", t[:5] + b"-", t[:7] + b"-"] for own in tokens for t in own]
+        assert found.T.tolist() == [[crc32(kind) % toxic_cnn.BUCKETS for kind in row] for row in kinds]
+    monkeypatch.setattr(toxic_cnn, "SLICE_WORDS", 100)
+    slices = list(toxic_cnn._slices(iter(plain)))
+    assert len(slices) > 10 and all(own.sum() <= 100 for _, own in slices)
+    assert np.array_equal(np.hstack([ids for ids, _ in slices]), found)
+    assert np.concatenate([own for _, own in slices]).tolist() == counts.tolist()
+    empty = toxic_cnn._hashed([])
+    assert empty[0].shape == (4, 0) and len(empty[1]) == 0 and not list(toxic_cnn._slices([]))
+
+
+def test_strongest_answers_of_texts_end_to_end():
+    """Ties, few different answers and short texts, against one text at a time."""
+    rng = np.random.default_rng(8)
+    sizes = np.array([2, 2, 3, 40, 5, 2, 17])
+    part = rng.integers(-3, 4, (toxic_cnn.FILTERS, sizes.sum())).astype(np.float32)
+    part[:, :2] = 0  # a text without words
+    wanted = []
+    for own in np.split(part, np.cumsum(sizes[:-1]), axis=1):
+        places = []
+        for _ in range(toxic_cnn.TOP):
+            places.append(own.argmax(axis=1))
+            own = np.where(own >= own.max(axis=1)[:, None], np.float32(toxic_cnn.NEVER), own)
+        wanted.append(places)
+    wanted += (np.cumsum(sizes) - sizes)[:, None, None]
+    before = part.copy()
+    assert np.array_equal(toxic_cnn._strongest(part, sizes), wanted)
+    assert np.array_equal(part, before)  # the answers are read again
+
+
 def test_pulls_are_summed_as_one_by_one():
     rng = np.random.default_rng(3)
     rows = rng.integers(0, 40, 3000).astype(np.int32) ** 2 % 50
